@@ -93,8 +93,6 @@ class WordTokens:
         self.known: dict[str, bytes] = {"": b""}
 
     def learn(self, words: set[str]) -> None:
-        if len(self.known) + len(words) > CACHE_WORDS:
-            self.known = {"": b""}
         plain = [w for w in words if "<|" not in w]
         for k in range(0, len(plain), 20_000):
             some = plain[k : k + 20_000]
@@ -109,6 +107,8 @@ class WordTokens:
 
     def encode(self, texts: list[str]) -> list[tuple[bytes, list[int]]]:
         """For each text: ids as bytes, and the token counts of its sentences."""
+        if len(self.known) > CACHE_WORDS:
+            self.known = {"": b""}
         split = [[s.split(" ") for s in SENTENCE.split(t)] for t in texts]
         self.learn({w for text in split for s in text for w in s}.difference(self.known))
         get = self.known.__getitem__
