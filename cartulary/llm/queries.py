@@ -28,6 +28,47 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cartulary.llm.chat import digest, expand_prefix_targets
+
+    odd = spark.sql(
+        r"select -7L conv_id, id turn, if(id = 0, 'user', 'assistant') role, r'\### Assistant: </turn> ok' text from range(0, 2, 1, 1)"
+    )
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return digest(expand_prefix_targets(rows.unionByName(odd)))
+
+
+OP2_SQL = r"""
+with rows as (
+  select conv_id, turn, coalesce(role, '') as r, coalesce(text, '') as t from conversations
+  union all select -7, 0, 'user', '\### Assistant: </turn> ok'
+  union all select -7, 1, 'assistant', '\### Assistant: </turn> ok'
+), escaped as (
+  select *, replace(replace(replace(replace(r, '&', '&amp;'), '###', '&head;'), '</turn>', '&end;'), ':', '&colon;') as er,
+    replace(replace(replace(t, '&', '&amp;'), '###', '&head;'), '</turn>', '&end;') as et from rows
+), placed as (
+  select *, sum(4 + length(er) + 2 + length(et) + 9) over w as upto,
+    row_number() over (partition by conv_id order by turn desc nulls last, r desc, t desc) = 1 as is_last
+  from escaped window w as (partition by conv_id order by turn nulls first, r, t rows unbounded preceding)
+)
+select conv_id, count(*)::bigint as n_turns,
+  sha256(string_agg(r || chr(10) || t || chr(10), '' order by turn nulls first, r, t)) as turns_sha256,
+  coalesce(sum(length(t)) filter (r = 'assistant'), 0)::bigint as loss_chars,
+  sha256(coalesce(string_agg(t, '' order by turn nulls first, r, t) filter (r = 'assistant'), '')) as loss_sha256,
+  (sum(upto) filter (r = 'assistant' or is_last))::bigint as formatted_chars
+from placed group by conv_id
+"""
+
+
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cartulary.llm.common import work_dir
+    from cartulary.llm.warc import read_archives, write_archives
+
+    path = work_dir(spark, "archives")
+    write_archives(table(spark, sf_dir, "pages"), path)
+    return read_archives(spark, path, payloads=False).drop("url")
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cartulary.llm.quality import score_quality
 
@@ -37,8 +78,9 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_packing": op1_packing, "op6_quality_rules": op6_quality_rules}
+    found = (op1_packing, op2_chat_formatting, op4_warc, op6_quality_rules)
+    return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_chat_formatting": OP2_SQL}
