@@ -36,9 +36,8 @@ from cartulary.llm.wordhash import spans
 SENTENCE_PENALTY, FORCED_PENALTY = 12, 64
 FORCED_STEP, LONG_SENTENCE = 256, 512
 BLOCK_TOKENS = 1_000_000
-CACHE_WORDS = 400_000
+CACHE_WORDS = 300_000
 SENTENCE = re.compile(r" (?<=[.!?] )|\n")
-END_OF_TEXT = "<|endoftext|>"
 
 PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
 
@@ -79,31 +78,47 @@ def plan_cuts(pos: list[int], pen: list[int], window: int) -> list[int]:
 
 
 class WordTokens:
-    """Token ids of words, as little-endian 32-bit bytes; new words of a chunk are tokenised together.
+    """Token ids of words, as little-endian 32-bit bytes, remembered by word and by the parts of words.
 
     The tokenizer never joins text over a space or line feed, so a text's ids
-    are its words' ids in order.
+    are its words' ids in order.  A word of letters and then marks is two parts
+    that it never joins either; the parts that a chunk brings anew are tokenised
+    in one call, whose ids are told apart by the tokens that end a part.  Any
+    other word is tokenised by itself.
     """
 
+    PLAIN = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]*)([!-&(-/:-;=?-@\[-`{-}]*)")
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.cut = self.tokenizer.token_to_id(END_OF_TEXT)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.known: dict[str, bytes] = {"": b""}
+        self.parts: dict[str, bytes] = {"": b""}
 
     def learn(self, words: set[str]) -> None:
-        plain = [w for w in words if "<|" not in w]
-        for k in range(0, len(plain), 20_000):
-            some = plain[k : k + 20_000]
-            ids = np.array(self.tokenizer.encode(END_OF_TEXT.join(some), add_special_tokens=False).ids, dtype="<u4")
-            ends = [*np.flatnonzero(ids == self.cut).tolist(), len(ids)]
+        if len(self.parts) > CACHE_WORDS:
+            self.parts = {"": b""}
+        plain, parts, known = self.PLAIN.fullmatch, self.parts, self.known
+        split = []
+        for w in words:
+            if m := plain(w):
+                a, b = m.groups()
+                split.append((w, a.lower(), b))
+            else:
+                known[w] = np.array(self.tokenizer.encode(w, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        new = list({x for _, a, b in split for x in (a, b)}.difference(parts))
+        if new:
+            ids = np.array(self.tokenizer.encode(" ".join(new), add_special_tokens=False).ids, dtype="<u4")
             data, first = ids.tobytes(), 0
-            for w, e in zip(some, ends, strict=True):
-                self.known[w] = data[4 * first : 4 * e]
-                first = e + 1
-        for w in words.difference(plain):
-            self.known[w] = np.array(self.tokenizer.encode(w, add_special_tokens=False).ids, dtype="<u4").tobytes()
+            for x, e in zip(new, ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist(), strict=True):
+                parts[x] = data[first:e]
+                first = e
+        for w, a, b in split:
+            known[w] = parts[a] + parts[b]
 
     def encode(self, texts: list[str]) -> list[tuple[bytes, list[int]]]:
         """For each text: ids as bytes, and the token counts of its sentences."""
