@@ -25,18 +25,20 @@ import re
 import zlib
 from collections import deque
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartulary.llm.wordhash import spans
+from cartulary.llm.wordhash import BYTE, mix, place, spans
 
 SENTENCE_PENALTY, FORCED_PENALTY = 12, 64
 FORCED_STEP, LONG_SENTENCE = 256, 512
 BLOCK_TOKENS = 1_000_000
-CACHE_WORDS = 300_000
+CACHE_UNITS = 800_000
 SENTENCE = re.compile(r" (?<=[.!?] )|\n")
 
 PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
@@ -77,17 +79,29 @@ def plan_cuts(pos: list[int], pen: list[int], window: int) -> list[int]:
     return cuts[::-1]
 
 
-class WordTokens:
-    """Token ids of words, as little-endian 32-bit bytes, remembered by word and by the parts of words.
+class Units:
+    """Token ids of texts, looked up by unit: a run of letters, a run of marks, or a digit.
 
-    The tokenizer never joins text over a space or line feed, so a text's ids
-    are its words' ids in order.  A word of letters and then marks is two parts
-    that it never joins either; the parts that a chunk brings anew are tokenised
-    in one call, whose ids are told apart by the tokens that end a part.  Any
-    other word is tokenised by itself.
+    The tokenizer cuts a text into such units before anything else, so a text's
+    ids are its units' ids in order.  Units are told apart by 64-bit hashes over
+    a whole chunk of texts at once; those not met before are tokenised in one
+    call, whose ids are told apart by the tokens that end a unit.  Texts with
+    characters for which the cut is less simple (apostrophes, control
+    characters, letters beyond Latin, special tokens) go to the tokenizer whole,
+    sentence by sentence.
     """
 
-    PLAIN = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]*)([!-&(-/:-;=?-@\[-`{-}]*)")
+    KIND = np.full(256, 2, dtype=np.uint8)
+    KIND[128:] = 1
+    for _c in b"abcdefghijklmnopqrstuvwxyz":
+        KIND[_c] = 1
+    for _c in b"0123456789":
+        KIND[_c] = 3
+    for _c in b" \t\n\r\v\f":
+        KIND[_c] = 0
+    HARD = np.zeros(256, dtype=bool)
+    HARD[0xCA:] = HARD[0xC2] = HARD[0x27] = HARD[0x7F] = True
+    HARD[:9] = HARD[14:32] = True
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -96,44 +110,103 @@ class WordTokens:
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-        self.known: dict[str, bytes] = {"": b""}
-        self.parts: dict[str, bytes] = {"": b""}
-
-    def learn(self, words: set[str]) -> None:
-        if len(self.parts) > CACHE_WORDS:
-            self.parts = {"": b""}
-        plain, parts, known = self.PLAIN.fullmatch, self.parts, self.known
-        split = []
-        for w in words:
-            if m := plain(w):
-                a, b = m.groups()
-                split.append((w, a.lower(), b))
-            else:
-                known[w] = np.array(self.tokenizer.encode(w, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        new = list({x for _, a, b in split for x in (a, b)}.difference(parts))
-        if new:
-            ids = np.array(self.tokenizer.encode(" ".join(new), add_special_tokens=False).ids, dtype="<u4")
-            data, first = ids.tobytes(), 0
-            for x, e in zip(new, ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist(), strict=True):
-                parts[x] = data[first:e]
-                first = e
-        for w, a, b in split:
-            known[w] = parts[a] + parts[b]
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[int, int] = {}
+        self.pool = np.zeros(1 << 16, dtype="<u4")
+        self.first = np.zeros(1 << 16, dtype=np.int64)  # unit k has pool[first[k]:first[k + 1]]
+
+    def learn(self, hashes: list[int], units: list[str]) -> None:
+        ids = np.array(self.tokenizer.encode(" ".join(units), add_special_tokens=False).ids, dtype="<u4")
+        stops = np.flatnonzero(self.ends[ids]) + 1
+        if len(stops) != len(units):
+            raise ValueError("the tokenizer joins or splits units in another way")
+        n = len(self.known)
+        used = int(self.first[n])
+        while used + len(ids) > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
+        while n + len(units) + 1 > len(self.first):
+            self.first = np.concatenate([self.first, np.zeros_like(self.first)])
+        self.pool[used : used + len(ids)] = ids
+        self.first[n + 1 : n + 1 + len(units)] = used + stops
+        self.known.update(zip(hashes, range(n, n + len(units)), strict=True))
+
+    def whole(self, text: str) -> tuple[bytes, list[int]]:
+        parts = [e.ids for e in self.tokenizer.encode_batch(SENTENCE.split(text), add_special_tokens=False)]
+        return np.array([x for p in parts for x in p], dtype="<u4").tobytes(), [len(p) for p in parts]
 
     def encode(self, texts: list[str]) -> list[tuple[bytes, list[int]]]:
         """For each text: ids as bytes, and the token counts of its sentences."""
-        if len(self.known) > CACHE_WORDS:
-            self.known = {"": b""}
-        split = [[s.split(" ") for s in SENTENCE.split(t)] for t in texts]
-        self.learn({w for text in split for s in text for w in s}.difference(self.known))
-        get = self.known.__getitem__
-        out = []
-        for text in split:
-            parts = [b"".join(map(get, s)) for s in text]
-            out.append((b"".join(parts), [len(p) // 4 for p in parts]))
+        if len(self.known) > CACHE_UNITS:
+            self.forget()
+        low = [t.lower().encode() for t in texts]
+        b = np.frombuffer(b"\n".join(low) + b"\n", dtype=np.uint8)
+        bounds = np.concatenate([[0], np.cumsum(np.fromiter((len(t) + 1 for t in low), np.int64, len(low)))])
+        odd = self.HARD[b]
+        odd[1:] |= (b[:-1] == 0xC3) & ((b[1:] == 0x97) | (b[1:] == 0xB7)) | (b[:-1] == 0x3C) & (b[1:] == 0x7C)
+        hard = np.unique(np.searchsorted(bounds, np.flatnonzero(odd), side="right") - 1).tolist()
+
+        kind = self.KIND[b]
+        new = np.ones(len(b) + 1, dtype=bool)
+        new[1:-1] = (kind[1:] != kind[:-1]) | (kind[1:] == 3)
+        start = np.flatnonzero(new[:-1] & (kind > 0))
+        end = np.flatnonzero(new[1:] & (kind > 0)) + 1
+        if len(start):
+            at = np.arange(start[0], len(b)) - np.repeat(start, np.diff(start, append=len(b)))
+            terms = BYTE[b[start[0] :]] * place(int(at.max()) + 1)[at]
+            terms[kind[start[0] :] == 0] = 0
+            hashes, one, which = np.unique(mix(np.add.reduceat(terms, start - start[0])), return_index=True, return_inverse=True)
+        else:
+            hashes, one, which = np.zeros(0, np.uint64), start, start
+        found = np.fromiter(map(self.known.get, hashes.tolist(), repeat(-1)), np.int64, len(hashes))
+        if len(missing := np.flatnonzero(found < 0)):
+            k = one[missing]
+            inside = np.searchsorted(bounds, start[k], side="right") - 1
+            easy = ~np.isin(inside, hard)
+            joined = b.tobytes()
+            here, k = missing[easy], k[easy]
+            if len(here):
+                n = len(self.known)
+                self.learn(hashes[here].tolist(), [joined[x:y].decode() for x, y in zip(start[k].tolist(), end[k].tolist(), strict=True)])
+                found[here] = np.arange(n, n + len(here))
+        unit = found[which]
+        if hard:
+            owner = np.searchsorted(bounds, start, side="right") - 1
+            again = np.flatnonzero((unit < 0) & ~np.isin(owner, hard))
+            if len(again):  # first met in a text that goes whole
+                seen = {}
+                joined = b.tobytes()
+                for i in again.tolist():
+                    seen.setdefault(int(hashes[which[i]]), joined[start[i] : end[i]].decode())
+                self.learn(list(seen), list(seen.values()))
+                unit[again] = [self.known[int(hashes[which[i]])] for i in again.tolist()]
+            unit[unit < 0] = 0
+        size = np.diff(self.first)[unit] if len(unit) else unit
+        upto = np.concatenate([[0], np.cumsum(size)])
+        flat = self.pool[np.repeat(self.first[unit] - upto[:-1], size) + np.arange(upto[-1])] if len(unit) else self.pool[:0]
+        after, last = b[end % len(b)], b[end - 1]
+        stop = (after == 0x0A) | (after == 0x20) & ((last == 0x2E) | (last == 0x21) | (last == 0x3F))
+        unit_bounds = np.searchsorted(start, bounds)
+        stops = np.flatnonzero(stop)
+        stop_bounds = np.searchsorted(stops, unit_bounds)
+        out, hard_set = [], set(hard)
+        for t in range(len(texts)):
+            if t in hard_set:
+                out.append(self.whole(texts[t]))
+                continue
+            x, y = upto[unit_bounds[t]], upto[unit_bounds[t + 1]]
+            places = upto[stops[stop_bounds[t] : stop_bounds[t + 1]] + 1]
+            out.append((flat[x:y].tobytes(), np.diff(places, prepend=x, append=y).tolist()))
         return out
 
 
+@lru_cache(maxsize=1)
+def units_of(path: str) -> Units:
+    """The units known to this worker process, kept from task to task."""
+    return Units(path)
+
+
 def cut_points(sentences: list[int]) -> tuple[list[int], list[int]]:
     """Token offsets after which one may cut within a document, and their penalties; the last is the document's end (with the end token)."""
     pos, pen, p = [], [], 0
@@ -181,7 +254,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, eos_id: int = 2, window
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        tokens, block, size = WordTokens(tokenizer_path), [], 0
+        tokens, block, size = units_of(tokenizer_path), [], 0
         sequence = TaskContext.get().partitionId() << 40
         schema = pa.schema([(k.split()[0], pa.int64()) for k in PIECES.split(", ")])
 
@@ -190,7 +263,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, eos_id: int = 2, window
 
         for batch in batches:
             ids_column, text_column = batch.columns
-            for a, z in spans(text_column):
+            for a, z in spans(text_column, 1_000_000):
                 texts = text_column[a:z].to_pylist()
                 for doc_id, (ids, sentences) in zip(ids_column[a:z].to_pylist(), tokens.encode(texts), strict=True):
                     block.append((doc_id, ids + end, sentences))
