@@ -77,8 +77,20 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cartulary.llm.decontamination import find_contamination
+
+    return find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cartulary.llm.licenses import scan_licenses
+
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_packing, op2_chat_formatting, op4_warc, op6_quality_rules)
+    found = (op1_packing, op2_chat_formatting, op4_warc, op6_quality_rules, op8_decontamination, op10_license_scans)
     return {f.__name__: f for f in found}
 
 
