@@ -48,8 +48,10 @@ def train_dictionary(pages: DataFrame) -> bytes:
     """A dictionary from a bounded sample (empty if the sample is too small to train on)."""
     import zstandard
 
-    sample = pages.select(F.substring("html", 1, SAMPLE_CHARS).alias("s"), F.xxhash64("page_id").alias("h")).where("s <> ''").orderBy("h", "s").limit(SAMPLE_PAGES)
-    texts = [r.s.encode() for r in sample.collect()]
+    h = F.xxhash64("page_id")
+    picked = [r.h for r in pages.select(h.alias("h")).orderBy("h").limit(SAMPLE_PAGES).collect()]
+    sample = pages.where(h.isin(picked)).select(F.substring("html", 1, SAMPLE_CHARS).alias("s")).where("s <> ''").limit(SAMPLE_PAGES)
+    texts = sorted(r.s.encode() for r in sample.collect())
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, texts, k=256, d=8).as_bytes()
     except (zstandard.ZstdError, ValueError):
