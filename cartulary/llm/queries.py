@@ -77,6 +77,12 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cartulary.llm.toxicity import score_toxicity
+
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cartulary.llm.decontamination import find_contamination
 
@@ -90,7 +96,7 @@ def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_packing, op2_chat_formatting, op4_warc, op6_quality_rules, op8_decontamination, op10_license_scans)
+    found = (op1_packing, op2_chat_formatting, op4_warc, op6_quality_rules, op7_toxicity, op8_decontamination, op10_license_scans)
     return {f.__name__: f for f in found}
 
 
