@@ -45,20 +45,21 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def lookup_join(left: DataFrame, right: DataFrame, key: str, weight: str, total: int) -> DataFrame:
+def lookup_join(left: DataFrame, right: DataFrame, key: str, weight: str, total: int, small: Column | None = None) -> DataFrame:
     """Left join to ``right`` (one row a ``key``; ``weight``: how many left rows have that key) without a hot task.
 
     Keys with more than ``total / HEAVY_SHARE`` left rows number fewer than
     ``HEAVY_SHARE``; those few rows are broadcast and the rest is shuffled.
+    Where rows of ``right`` may be large, ``small`` says which may be broadcast.
     """
     limit = max(1, total // HEAVY_SHARE)
-    heavy = right.where(F.col(weight) > limit)
-    light = right.where(F.col(weight) <= limit)
+    hot = (F.col(weight) > limit) & (F.lit(True) if small is None else small)
+    heavy, light = right.where(hot), right.where(~hot)
     tagged = left.join(F.broadcast(heavy.withColumn("_heavy", F.lit(True))), key, "left")
     added = [c for c in right.columns if c != key]
-    hot = tagged.where("_heavy").drop("_heavy")
+    done = tagged.where("_heavy").drop("_heavy")
     cold = tagged.where("_heavy is null").drop("_heavy", *added).join(light, key, "left")
-    return hot.unionByName(cold)
+    return done.unionByName(cold)
 
 
 def components(edges: DataFrame, rounds: int = 40) -> DataFrame:

@@ -69,6 +69,25 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_archives(spark, path, payloads=False).drop("url")
 
 
+#: Documents arrive in so many batches.
+ARRIVALS = 4
+
+
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cartulary.llm.common import work_dir
+    from cartulary.llm.sharding import ShardStore
+
+    docs = table(spark, sf_dir, "documents")
+    store = ShardStore(spark, work_dir(spark, "shards"))
+    for k in range(ARRIVALS):
+        store.append(docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(ARRIVALS)) == k))
+    store.compact()
+    return store.read().select("doc_id", F.length("text").cast("bigint").alias("text_chars"), F.md5("text").alias("text_md5"), "lang", "source", "n_chars")
+
+
+OP5_SQL = "select doc_id, length(text)::bigint as text_chars, md5(text) as text_md5, lang, source, n_chars from documents"
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cartulary.llm.quality import score_quality
 
@@ -89,6 +108,19 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cartulary.llm.line_dedup import dedup_lines
+
+    return dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id",
+        F.col("_n_lines").alias("n_lines"),
+        F.col("_n_removed").alias("n_removed_lines"),
+        F.length("text").cast("bigint").alias("kept_chars"),
+        F.sha2("text", 256).alias("kept_sha256"),
+        F.col("_emptied").alias("emptied"),
+    )
+
+
 def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cartulary.llm.licenses import scan_licenses
 
@@ -96,9 +128,9 @@ def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_packing, op2_chat_formatting, op4_warc, op6_quality_rules, op7_toxicity, op8_decontamination, op10_license_scans)
+    found = (op1_packing, op2_chat_formatting, op4_warc, op5_sharding, op6_quality_rules, op7_toxicity, op8_decontamination, op9_line_dedup, op10_license_scans)
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_chat_formatting": OP2_SQL}
+    return {"op2_chat_formatting": OP2_SQL, "op5_sharding": OP5_SQL}
