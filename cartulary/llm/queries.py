@@ -60,6 +60,12 @@ from placed group by conv_id
 """
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cartulary.llm.jaccard import link_documents
+
+    return link_documents(table(spark, sf_dir, "documents"))
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cartulary.llm.common import work_dir
     from cartulary.llm.warc import read_archives, write_archives
@@ -128,7 +134,7 @@ def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_packing, op2_chat_formatting, op4_warc, op5_sharding, op6_quality_rules, op7_toxicity, op8_decontamination, op9_line_dedup, op10_license_scans)
+    found = (op1_packing, op2_chat_formatting, op3_jaccard_join, op4_warc, op5_sharding, op6_quality_rules, op7_toxicity, op8_decontamination, op9_line_dedup, op10_license_scans)
     return {f.__name__: f for f in found}
 
 
