@@ -17,11 +17,12 @@ share at least l.  Both uses below rest on that and lose no link:
    takes the l whose candidates cost least to find and verify: its prefix is
    lengthened by l - 1 and a pair must share min(l, l') prefix tokens.
 
-Candidates are verified in two rounds, neither of which expands a group of
+Candidates are verified in rounds, none of which expands a group of
 copies into its pairs.  First each set is compared with one pivot, a set that
-shares most of its prefix; then only pairs of different components are
-enumerated, less those that the pivot's overlaps rule out: sets x, y with the
-same pivot p share at most min(|x&p|, |y&p|) + min(|x\\p|, |y\\p|) tokens.
+shares most of its prefix.  Sets of one pivot that are still in different
+components are then compared in blocks, as bits over the pivot's tokens, less
+those that the pivot rules out: x and y share at most min(|x&p|, |y&p|) +
+min(|x-p|, |y-p|) tokens.  Only pairs without a common pivot are enumerated.
 
 Defined results: null, empty and wordless texts have empty sets and link to
 nothing; a text of fewer than five words is one run; texts of any length are
@@ -101,46 +102,45 @@ def bucket_count(spark: SparkSession) -> int:
 def eliminate(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(sets, alive): doc_id, n, key of every document; and the keys of sets that may have a link."""
     buckets = bucket_count(docs.sparkSession)
-    kinds = {"kind": pa.int32(), "bucket": pa.int32(), "doc_id": pa.int64(), "n": pa.int64(), "key": pa.binary(), "owner": pa.int64(), "tokens": pa.binary(), "index": pa.binary()}
-    schema = "kind int, bucket int, doc_id bigint, n bigint, key binary, owner bigint, tokens binary, index binary"
+    #: kind 0: a document, owner being its set's place in the block; 1: places and counts of shared tokens; 2: tokens and the places of their sets.
+    kinds = {"kind": pa.int32(), "bucket": pa.int32(), "block": pa.int64(), "owner": pa.int32(), "doc_id": pa.int64(), "n": pa.int64(), "key": pa.binary(), "index": pa.binary(), "data": pa.binary()}
+    schema = "kind int, bucket int, block bigint, owner int, doc_id bigint, n bigint, key binary, index binary, data binary"
+    shared_here, no_set = 65_535, 65_534
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        block = TaskContext.get().partitionId() << 24
-        rows: list[tuple[int, int, bytes, int]] = []  # doc_id, n, key, place in the block
+        block = TaskContext.get().partitionId() << 32
+        rows: list[tuple] = []
         places: dict[bytes, int] = {}
         prefixes: list[np.ndarray] = []
         held = 0
 
         def flush() -> pa.RecordBatch:
-            base = block << 16
             out: dict[str, list] = {k: [] for k in kinds}
 
-            def put(kind, bucket, doc_id=None, n=None, key=None, owner=None, tokens=None, index=None):
-                for c, v in zip(out.values(), (kind, bucket, doc_id, n, key, owner, tokens, index), strict=True):
+            def put(kind, bucket, owner=None, doc_id=None, n=None, key=None, index=None, data=None):
+                for c, v in zip(out.values(), (kind, bucket, block, owner, doc_id, n, key, index, data), strict=True):
                     c.append(v)
 
-            for doc_id, n, key, k in rows:
-                put(0, (base + k) % buckets, doc_id, n, key, base + k)
+            for k, (doc_id, n, key, owner) in enumerate(rows):
+                put(0, k % buckets, owner, doc_id, n, key)
             if prefixes:
                 tokens = np.concatenate(prefixes)
                 index = np.repeat(np.arange(len(prefixes)), [len(p) for p in prefixes])
                 order = np.argsort(tokens, kind="stable")
                 tokens, index = tokens[order], index[order]
-                first = np.concatenate([[True], tokens[1:] != tokens[:-1]])
-                start = np.flatnonzero(first)
+                start = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
                 times = np.diff(start, append=len(tokens))
-                shared = np.repeat(times > 1, times)
-                met = np.bincount(index[shared], minlength=len(prefixes))
-                for k in np.flatnonzero(met).tolist():
-                    put(1, (base + k) % buckets, n=int(met[k]), owner=base + k)
+                met = np.bincount(index[np.repeat(times > 1, times)], minlength=len(prefixes))
+                who = np.flatnonzero(met)
+                put(1, block % buckets, index=who.astype("<u2").tobytes(), data=met[who].astype("<u4").tobytes())
                 # a token that is shared here needs no owner: it only tells other blocks that it is not alone
-                mark = np.where(times > 1, 65_535, index[start]).astype("<u2")
+                mark = np.where(times > 1, shared_here, index[start]).astype("<u2")
                 tokens = tokens[start]
                 bounds, numbers = split_by_bucket(tokens, buckets)
                 for a, z, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), numbers.tolist(), strict=True):
-                    put(2, b, owner=base, tokens=tokens[a:z].tobytes(), index=mark[a:z].tobytes())
+                    put(2, b, index=mark[a:z].tobytes(), data=tokens[a:z].tobytes())
             return batch_of(out, kinds)
 
         for batch in batches:
@@ -149,61 +149,89 @@ def eliminate(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
                 for doc_id, tokens in zip(ids[a:z].to_pylist(), token_sets(column[a:z].to_pylist()), strict=True):
                     n = len(tokens)
                     if not n:
-                        rows.append((doc_id, 0, None, 65_534))
-                        continue
-                    key = set_key(tokens)
-                    if key not in places:
-                        places[key] = len(prefixes)
-                        prefixes.append(tokens[: n - overlap(n) + first_matches(n)])
-                        held += len(prefixes[-1])
-                    rows.append((doc_id, n, key, places[key]))
-                if held >= BLOCK_TOKENS or len(prefixes) >= BLOCK_SETS - 20_000 or len(rows) >= BLOCK_SETS:
-                    yield flush()
-                    block += 1
-                    rows, places, prefixes, held = [], {}, [], 0
+                        rows.append((doc_id, 0, None, no_set))
+                    else:
+                        key = set_key(tokens)
+                        if key not in places:
+                            places[key] = len(prefixes)
+                            prefixes.append(tokens[: n - overlap(n) + first_matches(n)])
+                            held += len(prefixes[-1])
+                        rows.append((doc_id, n, key, places[key]))
+                    if held >= BLOCK_TOKENS or len(rows) >= BLOCK_SETS:
+                        yield flush()
+                        block += 1
+                        rows, places, prefixes, held = [], {}, [], 0
         if rows:
             yield flush()
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out_kinds = {k: kinds[k] for k in ("kind", "doc_id", "n", "key", "owner")}
+        """Documents and local counts as they are; of each bucket, the counts of tokens that other blocks share, by block."""
+        counts: dict[int, np.ndarray] = {}
 
-        def close(some: list[tuple[int, bytes, bytes]]) -> pa.RecordBatch:
-            tokens = np.concatenate([np.frombuffer(t, "<u8") for _, t, _ in some])
-            owner = np.concatenate([np.frombuffer(i, "<u2").astype(np.int64) for _, _, i in some])
-            base = np.repeat(np.array([b for b, _, _ in some]), [len(t) // 8 for _, t, _ in some])
+        def close(some: list[tuple[int, bytes, bytes]]) -> None:
+            tokens = np.concatenate([np.frombuffer(t, "<u8") for _, _, t in some])
+            owner = np.concatenate([np.frombuffer(i, "<u2") for _, i, _ in some])
+            block = np.repeat(np.array([b for b, _, _ in some]), [len(t) // 8 for _, _, t in some])
             order = np.argsort(tokens, kind="stable")
-            tokens, owner, base = tokens[order], owner[order], base[order]
+            tokens, owner, block = tokens[order], owner[order], block[order]
             start = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
             times = np.diff(start, append=len(tokens))
-            known = np.maximum.reduceat(owner == 65_535, start)
-            live = np.repeat((times > 1) | known, times) & (owner != 65_535)
-            who, n = np.unique(base[live] + owner[live], return_counts=True)
-            none = [None] * len(who)
-            return batch_of({"kind": [1] * len(who), "doc_id": none, "n": n.tolist(), "key": none, "owner": who.tolist()}, out_kinds)
+            known = np.maximum.reduceat(owner == shared_here, start)
+            live = np.repeat((times > 1) | known, times) & (owner != shared_here)
+            owner, block = owner[live], block[live]
+            for b in np.unique(block).tolist():
+                got = np.bincount(owner[block == b], minlength=BLOCK_SETS + 1).astype(np.uint32)
+                counts[b] = counts[b] + got if b in counts else got
+
+        def told() -> pa.RecordBatch:
+            out: dict[str, list] = {k: [] for k in kinds}
+            for b, n in counts.items():
+                who = np.flatnonzero(n)
+                for c, v in zip(out.values(), (1, 0, b, None, None, None, None, who.astype("<u2").tobytes(), n[who].astype("<u4").tobytes()), strict=True):
+                    c.append(v)
+            counts.clear()
+            return batch_of(out, kinds)
 
         now, some = None, []
         for batch in batches:
             kind = batch.column(0).to_numpy()
-            plain = pa.array(kind < 2)
-            yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index(k)).filter(plain) for k in out_kinds], names=list(out_kinds))
+            yield batch.filter(pa.array(kind < 2))
             for i in np.flatnonzero(kind == 2).tolist():
                 bucket = batch.column(1)[i].as_py()
                 if bucket != now and some:
-                    yield close(some)
+                    close(some)
                     some = []
+                    if len(counts) > 256:
+                        yield told()
                 now = bucket
-                some.append((batch.column(5)[i].as_py(), batch.column(6)[i].as_py(), batch.column(7)[i].as_py()))
+                some.append((batch.column(2)[i].as_py(), batch.column(7)[i].as_py(), batch.column(8)[i].as_py()))
         if some:
-            yield close(some)
+            close(some)
+        yield told()
+
+    def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """With the rows of a block together, counts first: which documents may have a link."""
+        out_kinds = {"doc_id": pa.int64(), "n": pa.int64(), "key": pa.binary(), "alive": pa.bool_()}
+        now, counts = None, np.zeros(BLOCK_SETS + 1, dtype=np.int64)
+        for batch in batches:
+            out: dict[str, list] = {k: [] for k in out_kinds}
+            for kind, block, owner, doc_id, n, key, index, data in zip(*(batch.column(k).to_pylist() for k in (0, 2, 3, 4, 5, 6, 7, 8)), strict=True):
+                if block != now:
+                    now = block
+                    counts[:] = 0
+                if kind == 1:
+                    counts[np.frombuffer(index, "<u2")] += np.frombuffer(data, "<u4")
+                    continue
+                alive = n > 0 and counts[owner] >= first_matches(overlap(n))
+                for c, v in zip(out.values(), (doc_id, n, key, bool(alive)), strict=True):
+                    c.append(v)
+            yield batch_of(out, out_kinds)
 
     told = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    met = told.mapInArrow(scan, schema).repartition("bucket").sortWithinPartitions("bucket").mapInArrow(meet, "kind int, doc_id bigint, n bigint, key binary, owner bigint")
-    met = materialise(met, "prefix-matches")
-    sets = met.where("kind = 0").select("doc_id", "n", "key", "owner")
-    counts = met.where("kind = 1").groupBy("owner").agg(F.sum("n").alias("shared"))
-    needed = 1 + F.floor(F.floor((PERCENT * F.col("n") + 99) / 100) / 8)
-    alive = sets.where("n > 0").join(counts, "owner").where(F.col("shared") >= needed).select("key").distinct()
-    return sets.select("doc_id", "n", "key"), alive
+    met = told.mapInArrow(scan, schema).repartition("bucket").sortWithinPartitions("bucket").mapInArrow(meet, schema)
+    judged = met.repartition("block").sortWithinPartitions("block", F.desc("kind")).mapInArrow(decide, "doc_id bigint, n bigint, key binary, alive boolean")
+    sets = materialise(judged, "sets-of-documents")
+    return sets.drop("alive"), sets.where("alive").select("key").distinct()
 
 
 def shared_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -328,21 +356,79 @@ def shared_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return materialise(chosen, "shared-sets")
 
 
-def verify(pairs: DataFrame) -> DataFrame:
-    """x, y, common, linked of ``pairs(x, nx, tx, y, ny, ty)``."""
-    kinds = {"x": pa.int64(), "y": pa.int64(), "common": pa.int64(), "linked": pa.bool_()}
+def verify(pairs: DataFrame, shapes: bool = False) -> DataFrame:
+    """x, y, common, linked of ``pairs(x, nx, tx, y, ny, ty)``; with ``shapes`` also x as seen from y: which of y's tokens it has, and its other tokens."""
+    kinds = {"x": pa.int64(), "y": pa.int64(), "common": pa.int64(), "linked": pa.bool_(), "bits": pa.binary(), "rest": pa.binary()}
+    kinds = kinds if shapes else dict(list(kinds.items())[:4])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x, nx, tx, y, ny, ty = batch.columns
             out: dict[str, list] = {k: [] for k in kinds}
             for i, (a, n, b, m) in enumerate(zip(x.to_pylist(), nx.to_pylist(), y.to_pylist(), ny.to_pylist(), strict=True)):
-                common = len(np.intersect1d(np.frombuffer(tx[i].as_py(), "<u8"), np.frombuffer(ty[i].as_py(), "<u8"), assume_unique=True))
-                for c, v in zip(out.values(), (a, b, common, 100 * common >= PERCENT * (n + m - common)), strict=True):
+                p, q = np.frombuffer(tx[i].as_py(), "<u8"), np.frombuffer(ty[i].as_py(), "<u8")
+                if shapes:
+                    p, q = np.sort(p), np.sort(q)
+                    has = np.isin(q, p, assume_unique=True)
+                    common = int(has.sum())
+                    more = (np.packbits(has).tobytes(), p[~np.isin(p, q, assume_unique=True)].tobytes())
+                else:
+                    common, more = len(np.intersect1d(p, q, assume_unique=True)), ()
+                for c, v in zip(out.values(), (a, b, common, 100 * common >= PERCENT * (n + m - common), *more), strict=True):
                     c.append(v)
             yield batch_of(out, kinds)
 
-    return pairs.select("x", "nx", "tx", "y", "ny", "ty").mapInArrow(compare, "x bigint, y bigint, common bigint, linked boolean")
+    return pairs.select("x", "nx", "tx", "y", "ny", "ty").mapInArrow(compare, "x bigint, y bigint, common bigint, linked boolean" + ", bits binary, rest binary" * shapes)
+
+
+def compare_within(shapes: DataFrame) -> DataFrame:
+    """(src, dst) links between sets of one pivot but of different components.
+
+    ``shapes(pivot, doc, n, common, c, c_pivot, bits, rest)``: one of such a pair is
+    outside the pivot's component.  Those sets are compared, in blocks, with
+    blocks of all sets of the pivot: overlaps inside the pivot are counts of common
+    bits.  A task has one block of each; a pivot of many sets has many blocks.
+    """
+    counted = shapes.groupBy("pivot").agg(F.count("*").alias("m"), F.count_if(F.col("c") != F.col("c_pivot")).alias("k")).where("k > 0")
+    blocks = lambda n, small, most, large: F.greatest(F.ceil(n / large), F.least(F.lit(most).cast("bigint"), F.ceil(n / small)))
+    sized = counted.select("pivot", "m", blocks(F.col("m"), 64, 32, 2048).alias("bm"), blocks(F.col("k"), 64, 8, 512).alias("bk"))
+    rows = lookup_join(shapes, sized, "pivot", "m", shapes.count()).where("bm is not null")
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), n - 1))
+    part = lambda n: F.pmod(F.xxhash64("doc"), n)
+    columns = ("doc", "n", "common", "c", "bits", "rest")
+    data = rows.select("pivot", part(F.col("bm")).alias("i"), every(F.col("bk")).alias("j"), F.lit(False).alias("asks"), *columns)
+    asks = rows.where("c <> c_pivot").select("pivot", every(F.col("bm")).alias("i"), part(F.col("bk")).alias("j"), F.lit(True).alias("asks"), *columns)
+
+    def compare(group: pa.Table) -> pa.Table:
+        asks = group.column("asks").to_numpy()
+        found: dict[str, list] = {"src": [], "dst": []}
+        if asks.any() and not asks.all():
+            doc, n, common, c = (group.column(k).to_numpy() for k in ("doc", "n", "common", "c"))
+            bits, rest = group.column("bits").to_pylist(), group.column("rest").to_pylist()
+            held = np.array([len(r) // 8 for r in rest]) + common
+            wide = np.frombuffer(b"".join(bits), np.uint8).reshape(len(bits), -1)
+            q, d = np.flatnonzero(asks), np.flatnonzero(~asks)
+            extra = np.zeros((len(q), len(d)), dtype=np.int32)
+            tokens = [np.frombuffer(r, "<u8") for r in rest]
+            qt, dt = np.concatenate([tokens[k] for k in q]), np.concatenate([tokens[k] for k in d])
+            qi, di = np.repeat(np.arange(len(q)), [len(tokens[k]) for k in q]), np.repeat(np.arange(len(d)), [len(tokens[k]) for k in d])
+            order = np.argsort(dt, kind="stable")
+            dt, di = dt[order], di[order]
+            lo, hi = np.searchsorted(dt, qt, side="left"), np.searchsorted(dt, qt, side="right")
+            for k in np.flatnonzero(hi > lo).tolist():
+                extra[qi[k], di[lo[k] : hi[k]]] += 1
+            for k, a in enumerate(q.tolist()):
+                may = d[(c[d] != c[a]) & (100 * np.minimum(n[d], n[a]) >= PERCENT * np.maximum(n[d], n[a]))]
+                most = np.minimum(common[may], common[a]) + np.minimum(held[may] - common[may], held[a] - common[a])
+                may = may[(100 + PERCENT) * most >= PERCENT * (n[may] + n[a])]
+                if len(may):
+                    both = np.bitwise_count(wide[may] & wide[a]).sum(axis=1, dtype=np.int64) + extra[k, np.searchsorted(d, may)]
+                    hit = may[(100 + PERCENT) * both >= PERCENT * (n[may] + n[a])]
+                    found["src"] += [int(doc[a])] * len(hit)
+                    found["dst"] += doc[hit].tolist()
+        return pa.table({k: pa.array(v, pa.int64()) for k, v in found.items()})
+
+    return data.unionByName(asks).groupBy("pivot", "i", "j").applyInArrow(compare, "src bigint, dst bigint")
 
 
 def with_sets(pairs: DataFrame, sets: DataFrame, hot: DataFrame | None, total: int) -> DataFrame:
@@ -361,29 +447,38 @@ def link_sets(sets: DataFrame) -> DataFrame:
     best = F.min(F.struct((1 - F.col("fill")).alias("alone"), F.col("doc").alias("doc")))
     tokens = materialise(entries.groupBy("token").agg(F.count("*").alias("times"), best.alias("b")).where("times > 1").select("token", "times", F.col("b.doc").alias("pivot")), "tokens")
     near = lookup_join(entries.select("token", "doc"), tokens, "token", "times", total).where("pivot is not null and pivot <> doc")
-    votes = near.groupBy("doc", "pivot").agg(F.count("*").alias("k"))
-    first = materialise(votes.groupBy("doc").agg(F.max(F.struct("k", (-F.col("pivot")).alias("p"))).alias("b")).select(F.col("doc").alias("x"), (-F.col("b.p")).alias("y")), "pivots")
+    # of the pivots that share half as much with a set as its best does, it takes the one that most sets could take
+    votes = materialise(near.groupBy("doc", "pivot").agg(F.count("*").alias("k")), "votes")
+    taken = materialise(votes.groupBy("pivot").agg(F.count("*").alias("times")), "votes-of-pivots")
+    ranked = lookup_join(votes, taken, "pivot", "times", votes.count())
+    enough = ranked.join(votes.groupBy("doc").agg(F.max("k").alias("most")), "doc").where("2 * k >= most")
+    first = materialise(enough.groupBy("doc").agg(F.max(F.struct("times", "k", (-F.col("pivot")).alias("p")))["p"].alias("p")).select(F.col("doc").alias("x"), (-F.col("p")).alias("y")), "pivots")
     hot = first.groupBy("y").agg(F.count("*").alias("times"))
-    tried = materialise(verify(with_sets(first, sets, hot, first.count())), "tried")
+    tried = materialise(verify(with_sets(first, sets, hot, first.count()), shapes=True), "tried")
     linked = tried.where("linked").select(F.col("x").alias("src"), F.col("y").alias("dst"))
     groups = components(linked)
 
-    about = sets.select("doc", "n", "ell", (F.octet_length("tokens") / 8).cast("bigint").alias("held")).join(tried.select(F.col("x").alias("doc"), F.col("y").alias("pivot"), "common"), "doc", "left")
+    about = sets.select("doc", "n", "ell").join(tried.select(F.col("x").alias("doc"), F.col("y").alias("pivot"), "common", "bits", "rest"), "doc", "left")
     about = about.join(groups.select(F.col("node").alias("doc"), F.col("component").alias("c")), "doc", "left").withColumn("c", F.coalesce("c", "doc"))
-    rows = materialise(entries.select("token", "doc").join(about, "doc"), "entries-in-groups")
+    about = materialise(about, "sets-in-groups")
+    pivots = materialise(about.select(F.col("doc").alias("pivot"), F.col("c").alias("c_pivot")).join(hot.withColumnRenamed("y", "pivot"), "pivot"), "pivot-groups")
+    shapes = lookup_join(about.where("pivot is not null"), pivots, "pivot", "times", first.count()).drop("times")
+    within = materialise(compare_within(materialise(shapes, "shapes")), "links-within")
+
+    linked = linked.unionByName(within)
+    groups = components(linked)
+    now = about.select("doc", "n", "ell", "pivot").join(groups.select(F.col("node").alias("doc"), F.col("component").alias("c")), "doc", "left").withColumn("c", F.coalesce("c", "doc"))
+    rows = materialise(entries.select("token", "doc").join(now, "doc"), "entries-in-groups")
     mixed = rows.groupBy("token").agg(F.count("*").alias("times"), F.min("c").alias("c1"), F.max("c").alias("c2")).where("c1 <> c2").select("token", "times", "c1")
     mixed = materialise(mixed, "mixed-tokens")
     rows = materialise(lookup_join(rows, mixed, "token", "times", total).where("c1 is not null"), "mixed-entries")
-    x = rows.where("c <> c1").select("token", *(F.col(k).alias(f"x_{k}") for k in ("doc", "n", "ell", "held", "pivot", "common", "c")))
-    y = rows.select("token", *(F.col(k).alias(f"y_{k}") for k in ("doc", "n", "ell", "held", "pivot", "common", "c", "c1")))
-    most = F.least("x_common", "y_common") + F.least(F.col("x_held") - F.col("x_common"), F.col("y_held") - F.col("y_common"))
-    ruled_out = F.coalesce((F.col("x_pivot") == F.col("y_pivot")) & ((100 + PERCENT) * most < PERCENT * (F.col("x_n") + F.col("y_n"))), F.lit(False))
+    side = lambda s, *more: rows.select("token", *(F.col(k).alias(f"{s}_{k}") for k in ("doc", "n", "ell", "pivot", "c", *more)))
+    x, y = side("x", "c1").where("x_c <> x_c1").drop("x_c1"), side("y", "c1")
     met = x.join(y, "token").where(
         (F.col("x_c") != F.col("y_c"))
         & ((F.col("y_c") == F.col("y_c1")) | (F.col("x_doc") < F.col("y_doc")))
         & (100 * F.least("x_n", "y_n") >= PERCENT * F.greatest("x_n", "y_n"))
-        & ~F.coalesce((F.col("x_pivot") == F.col("y_doc")) | (F.col("y_pivot") == F.col("x_doc")), F.lit(False))
-        & ~ruled_out
+        & F.coalesce((F.col("x_pivot") != F.col("y_pivot")) & (F.col("x_pivot") != F.col("y_doc")) & (F.col("y_pivot") != F.col("x_doc")), F.lit(True))
     )
     pairs = met.groupBy(F.least("x_doc", "y_doc").alias("x"), F.greatest("x_doc", "y_doc").alias("y")).agg(F.count("*").alias("k"), F.first(F.least("x_ell", "y_ell")).alias("ell"))
     pairs = materialise(pairs.where("k >= ell").select("x", "y"), "pairs")
