@@ -9,10 +9,13 @@ its first occurrence (smallest id, then place), after its bytes have been
 compared with that one's; neighbouring lines (up to ``EXTEND`` on each side) go too
 where they equal those around the first occurrence.
 
-Chunk keys are counted with partial aggregation; the few keys that hold more
-than a thousandth of all chunks are joined by broadcast, all others by shuffle.
-Texts are shuffled twice, by document: once to fetch repeated chunks for the
-comparison, once to rewrite.
+A first scan counts chunk keys with partial aggregation.  A second one takes the
+texts of the chunks that may be repeated: a Bloom filter of fixed size over the
+repeated keys leaves most others out, and what it lets through in error is found
+single afterwards.  First occurrences come from a partial aggregation too; the
+few keys that hold more than a thousandth of all chunks are compared by
+broadcast, all others by shuffle.  Whole texts are shuffled once, to be
+rewritten.
 
 Defined results: a null text stays null and an empty one empty; rows that repeat
 an id and text are treated alike, as one document; a document that loses all its
@@ -25,13 +28,13 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructType
 
-from cartulary.llm.common import lookup_join, materialise
+from cartulary.llm.common import let, lookup_join, materialise
 from cartulary.llm.wordhash import spans
 
 ROLL_LINES, EVERY = 2, 3
@@ -40,6 +43,9 @@ EXTEND = 4
 #: Texts of first occurrences up to this size may be broadcast (at most HEAVY_SHARE of them).
 BROADCAST_BYTES = 16_384
 
+#: Bits of the Bloom filter: 4 MB whatever the corpus.
+BLOOM_BITS = 1 << 25
+
 MASK = (1 << 64) - 1
 
 
@@ -69,6 +75,10 @@ def countable(lines: list[str]) -> bool:
     return sum(w > 0 for w in words) >= LEAST_LINES or sum(words) >= LEAST_WORDS
 
 
+def digest(lines: list[str]) -> bytes:
+    return hashlib.blake2b("\n".join(lines).encode(), digest_size=16).digest()
+
+
 def chunk_keys(docs: DataFrame) -> DataFrame:
     """doc_id, chunk (its number in the text), key (128-bit digest of its bytes) of the chunks that may be removed."""
 
@@ -83,33 +93,48 @@ def chunk_keys(docs: DataFrame) -> DataFrame:
                         if countable(lines[x:y]):
                             out[0].append(doc_id)
                             out[1].append(k)
-                            out[2].append(hashlib.blake2b("\n".join(lines[x:y]).encode(), digest_size=16).digest())
+                            out[2].append(digest(lines[x:y]))
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int64(), pa.binary()), strict=True)], names=["doc_id", "chunk", "key"])
 
-    return docs.where("text is not null").select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(scan, "doc_id bigint, chunk bigint, key binary")
+    return docs.mapInArrow(scan, "doc_id bigint, chunk bigint, key binary")
+
+
+def bloom_filter(keys: DataFrame) -> bytes:
+    """The filter over ``keys(key)``: two bits a key, put together by partial aggregation; at most BLOOM_BITS / 64 rows reach the driver."""
+    places = F.array(*(F.conv(F.hex(F.substring("key", k, 4)), 16, 10).cast("bigint").bitwiseAND(BLOOM_BITS - 1) for k in (1, 5)))
+    bits = keys.select(F.explode(places).alias("p")).select(F.shiftright("p", 6).alias("w"), F.expr("shiftleft(1L, cast(p & 63 as int))").alias("b"))
+    words = bits.groupBy("w").agg(F.bit_or("b").alias("b")).toPandas()
+    out = np.zeros(BLOOM_BITS // 64, dtype="<i8")
+    out[words["w"].to_numpy(np.int64)] = words["b"].to_numpy(np.int64)
+    return out.tobytes()
 
 
-def fetch_chunks(marked: DataFrame) -> DataFrame:
-    """The marked chunks of ``marked(text, marks array<struct<doc_id, chunk, key, first>>)`` with the lines around them."""
-    kind = "doc_id bigint, chunk bigint, key binary, first boolean, before array<string>, text string, after array<string>"
+def fetch_chunks(docs: DataFrame, bloom: bytes) -> DataFrame:
+    """The chunks that the filter lets through: doc_id, chunk, key, the lines first to last (exclusive), text, and the lines around."""
+    kind = "doc_id bigint, chunk bigint, key binary, first int, last int, before array<string>, text string, after array<string>"
+    mask = BLOOM_BITS - 1
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        types = (pa.int64(), pa.int64(), pa.binary(), pa.bool_(), pa.list_(pa.string()), pa.string(), pa.list_(pa.string()))
+        types = (pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.list_(pa.string()), pa.string(), pa.list_(pa.string()))
         for batch in batches:
-            column, marks = batch.columns
+            ids, column = batch.columns
             for a, z in spans(column):
                 out: list[list] = [[] for _ in types]
-                for text, some in zip(column[a:z].to_pylist(), marks[a:z].to_pylist(), strict=True):
+                for doc_id, text in zip(ids[a:z].to_pylist(), column[a:z].to_pylist(), strict=True):
                     lines = text.split("\n")
-                    chunks = chunk_lines(lines)
-                    for m in some:
-                        x, y = chunks[m["chunk"]]
-                        row = (m["doc_id"], m["chunk"], m["key"], m["first"], lines[max(0, x - EXTEND) : x][::-1], "\n".join(lines[x:y]), lines[y : y + EXTEND])
+                    for k, (x, y) in enumerate(chunk_lines(lines)):
+                        if not countable(lines[x:y]):
+                            continue
+                        key = digest(lines[x:y])
+                        p, q = int.from_bytes(key[:4], "big") & mask, int.from_bytes(key[4:8], "big") & mask
+                        if not (bloom[p >> 3] >> (p & 7) & bloom[q >> 3] >> (q & 7) & 1):
+                            continue
+                        row = (doc_id, k, key, x, y, lines[max(0, x - EXTEND) : x][::-1], "\n".join(lines[x:y]), lines[y : y + EXTEND])
                         for c, v in zip(out, row, strict=True):
                             c.append(v)
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], names=[k.split()[0] for k in kind.split(", ")])
 
-    return marked.select("text", "marks").mapInArrow(scan, kind)
+    return docs.mapInArrow(scan, kind)
 
 
 def common_start(a: Column, b: Column) -> Column:
@@ -120,57 +145,34 @@ def common_start(a: Column, b: Column) -> Column:
 
 
 def repeated_chunks(docs: DataFrame) -> DataFrame:
-    """doc_id, cuts array<struct<chunk, before, after>>: what to remove from each document, byte for byte equal to a first occurrence."""
-    keys = materialise(chunk_keys(docs).distinct(), "chunk-keys")
-    total = keys.count()
-    groups = materialise(
-        keys.groupBy("key").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "chunk")).alias("keeper")).where("n > 1"), "chunk-groups"
-    )
-    found = lookup_join(keys, groups, "key", "n", total).where("keeper is not null")
-    mark = F.struct("doc_id", "chunk", "key", (F.struct("doc_id", "chunk") == F.col("keeper")).alias("first"))
-    marks = found.groupBy("doc_id").agg(F.collect_list(mark).alias("marks"))
-    told = docs.where("text is not null").select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    texts = materialise(fetch_chunks(told.join(marks.hint("shuffle_hash"), "doc_id")), "chunk-texts")
-    firsts = texts.where("first").select("key", F.col("text").alias("text1"), F.col("before").alias("before1"), F.col("after").alias("after1")).dropDuplicates(["key"])
-    firsts = materialise(firsts.join(groups.select("key", "n"), "key"), "chunk-firsts")
-    later = texts.where("not first").select("doc_id", "chunk", "key", "text", "before", "after").dropDuplicates(["doc_id", "chunk"])
-    size = F.octet_length("text1") + F.octet_length(F.array_join("before1", "")) + F.octet_length(F.array_join("after1", ""))
-    same = lookup_join(later, firsts, "key", "n", total, size <= BROADCAST_BYTES).where("text = text1")
-    cut = F.struct("chunk", common_start(F.col("before"), F.col("before1")).alias("before"), common_start(F.col("after"), F.col("after1")).alias("after"))
-    return same.groupBy("doc_id").agg(F.collect_list(cut).alias("cuts"))
+    """doc_id, cuts array<struct<first, last>>: the lines to remove from each document, equal byte for byte to a first occurrence."""
+    told = docs.where("text is not null and doc_id is not null").select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    counts = chunk_keys(told).distinct().groupBy("key").agg(F.count("*").alias("n"))
+    bloom = bloom_filter(counts.where("n > 1").select("key"))
+    texts = materialise(fetch_chunks(told, bloom), "chunk-texts")
+    at = F.struct("doc_id", "chunk")
+    firsts = texts.groupBy("key").agg(F.count("*").alias("n"), F.min(at).alias("keeper"), F.min_by(F.struct("text", "before", "after"), at).alias("one")).where("n > 1")
+    firsts = materialise(firsts, "chunk-firsts")
+    size = F.octet_length("one.text") + F.octet_length(F.array_join("one.before", "")) + F.octet_length(F.array_join("one.after", ""))
+    same = lookup_join(texts, firsts, "key", "n", texts.count(), size <= BROADCAST_BYTES).where((F.col("text") == F.col("one.text")) & (at != F.col("keeper")))
+    cut = F.struct((F.col("first") - common_start(F.col("before"), F.col("one.before"))).alias("first"), (F.col("last") + common_start(F.col("after"), F.col("one.after"))).alias("last"))
+    return same.groupBy("doc_id").agg(F.collect_set(cut).alias("cuts"))
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """``docs`` with repeated chunks cut from ``text``, and _n_lines, _n_removed, _emptied."""
-    cuts = repeated_chunks(docs)
-    packed = docs.select(F.struct("*").alias("_row"), F.col("doc_id").cast("bigint").alias("_id"), "text")
-    joined = packed.join(cuts.select(F.col("doc_id").alias("_id"), "cuts").hint("shuffle_hash"), "_id", "left")
-    clear, cut = joined.where("cuts is null"), joined.where("cuts is not null")
-
-    def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            column, cuts_column = batch.column(batch.schema.get_field_index("text")), batch.column(batch.schema.get_field_index("cuts"))
-            texts, all_lines, removed = [], [], []
-            for text, some in zip(column.to_pylist(), cuts_column.to_pylist(), strict=True):
-                lines = text.split("\n")
-                chunks, gone = chunk_lines(lines), bytearray(len(lines))
-                for c in some:
-                    x, y = chunks[c["chunk"]]
-                    for k in range(x - c["before"], min(len(lines), y + c["after"])):
-                        gone[k] = 1
-                texts.append("\n".join(x for x, g in zip(lines, gone, strict=True) if not g))
-                all_lines.append(len(lines))
-                removed.append(sum(gone))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(batch.schema.get_field_index("_row")), pa.array(texts, pa.string()), pa.array(all_lines, pa.int64()), pa.array(removed, pa.int64())],
-                names=["_row", "_text", "_n_lines", "_n_removed"],
-            )
-
-    slim = StructType([f for f in docs.schema.fields if f.name != "text"])
-    out_kind = StructType().add("_row", slim).add("_text", StringType()).add("_n_lines", LongType()).add("_n_removed", LongType())
-    less = F.struct(*(F.col("_row")[f.name].alias(f.name) for f in slim.fields))
-    changed = cut.select(less.alias("_row"), "text", "cuts").mapInArrow(rewrite, out_kind)
-    same = clear.select(less.alias("_row"), F.col("text").alias("_text"), F.size(F.split(F.coalesce("text", F.lit("")), "\n")).cast("bigint").alias("_n_lines"), F.lit(0).cast("bigint").alias("_n_removed"))
-    both = same.unionByName(changed)
-    columns = [F.col("_text").alias("text") if c == "text" else F.col("_row")[c].alias(c) for c in docs.columns]
-    return both.select(*columns, "_n_lines", "_n_removed", ((F.col("_n_removed") > 0) & ~F.col("_text").rlike(r"\S")).alias("_emptied"))
+    cuts = repeated_chunks(docs).select(F.col("doc_id").alias("_id"), F.col("cuts").alias("_cuts"))
+    joined = docs.select(F.struct("*").alias("_row"), F.col("doc_id").cast("bigint").alias("_id")).join(cuts.hint("shuffle_hash"), "_id", "left")
+    lines = F.split(F.col("_row")["text"], "\n", -1)
+    n_lines = F.coalesce(F.length("_row.text") - F.length(F.replace(F.col("_row.text"), F.lit("\n"), F.lit(""))) + 1, F.lit(0)).cast("bigint")
+    told = joined.select("_row", n_lines.alias("_n_lines"), F.when(F.col("_cuts").isNotNull(), let(F.struct(lines.alias("l"), F.col("_cuts").alias("c")), keep_lines)).alias("_kept"))
+    text = F.when(F.col("_kept").isNull(), F.col("_row.text")).otherwise(F.array_join("_kept", "\n"))
+    removed = F.when(F.col("_kept").isNull(), 0).otherwise(F.col("_n_lines") - F.size("_kept")).cast("bigint")
+    columns = [text.alias("text") if c == "text" else F.col("_row")[c].alias(c) for c in docs.columns]
+    emptied = F.coalesce(F.col("_kept").isNotNull() & ~F.exists("_kept", lambda x: x.rlike("\\S")), F.lit(False))
+    return told.select(*columns, "_n_lines", removed.alias("_n_removed"), emptied.alias("_emptied"))
+
+
+def keep_lines(x: Column) -> Column:
+    """The lines of ``x(l, c)`` outside the cuts."""
+    return F.filter(x["l"], lambda line, i: ~F.exists(x["c"], lambda c: (i >= c["first"]) & (i < c["last"])))
