@@ -46,7 +46,7 @@ from cartulary.llm.wordhash import ROLL, SPACE, Words, mix, spans
 
 RUN_WORDS, PERCENT = 5, 75
 #: Tokens, and sets, of a block of documents.
-BLOCK_TOKENS, BLOCK_SETS = 1_000_000, 65_000
+BLOCK_TOKENS, BLOCK_SETS = 500_000, 65_000
 #: The longest extension of a rare-first prefix, and the cost of verifying a candidate in prefix entries.
 MOST_MATCHES, VERIFY_COST = 8, 8.0
 BROADCAST_BYTES = 16_384
@@ -145,7 +145,7 @@ def eliminate(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
         for batch in batches:
             ids, column = batch.columns
-            for a, z in spans(column):
+            for a, z in spans(column, 1_000_000):
                 for doc_id, tokens in zip(ids[a:z].to_pylist(), token_sets(column[a:z].to_pylist()), strict=True):
                     n = len(tokens)
                     if not n:
@@ -166,7 +166,7 @@ def eliminate(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Documents and local counts as they are; of each bucket, the counts of tokens that other blocks share, by block."""
-        counts: dict[int, np.ndarray] = {}
+        counts: list[tuple[np.ndarray, np.ndarray]] = []  # (block and place, shared tokens)
 
         def close(some: list[tuple[int, bytes, bytes]]) -> None:
             tokens = np.concatenate([np.frombuffer(t, "<u8") for _, _, t in some])
@@ -178,17 +178,16 @@ def eliminate(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
             times = np.diff(start, append=len(tokens))
             known = np.maximum.reduceat(owner == shared_here, start)
             live = np.repeat((times > 1) | known, times) & (owner != shared_here)
-            owner, block = owner[live], block[live]
-            for b in np.unique(block).tolist():
-                got = np.bincount(owner[block == b], minlength=BLOCK_SETS + 1).astype(np.uint32)
-                counts[b] = counts[b] + got if b in counts else got
+            where = np.unique(np.stack([block[live], owner[live].astype(np.int64)]), axis=1, return_counts=True)
+            counts.append(where)
 
         def told() -> pa.RecordBatch:
             out: dict[str, list] = {k: [] for k in kinds}
-            for b, n in counts.items():
-                who = np.flatnonzero(n)
-                for c, v in zip(out.values(), (1, 0, b, None, None, None, None, who.astype("<u2").tobytes(), n[who].astype("<u4").tobytes()), strict=True):
-                    c.append(v)
+            for where, n in counts:
+                cut = np.concatenate([[0], np.flatnonzero(np.diff(where[0])) + 1, [len(n)]])
+                for x, y in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True) if len(n) else ():
+                    for c, v in zip(out.values(), (1, 0, int(where[0, x]), None, None, None, None, where[1, x:y].astype("<u2").tobytes(), n[x:y].astype("<u4").tobytes()), strict=True):
+                        c.append(v)
             counts.clear()
             return batch_of(out, kinds)
 
@@ -201,7 +200,7 @@ def eliminate(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
                 if bucket != now and some:
                     close(some)
                     some = []
-                    if len(counts) > 256:
+                    if sum(len(n) for _, n in counts) > 500_000:
                         yield told()
                 now = bucket
                 some.append((batch.column(2)[i].as_py(), batch.column(7)[i].as_py(), batch.column(8)[i].as_py()))
@@ -246,7 +245,7 @@ def shared_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         kinds = {"block": pa.int64(), "doc": pa.int64(), "tokens": pa.binary()}
         for batch in batches:
             ids, keys, column = batch.columns
-            for a, z in spans(column):
+            for a, z in spans(column, 1_000_000):
                 out: dict[str, list] = {k: [] for k in kinds}
                 for doc, key, tokens in zip(ids[a:z].to_pylist(), keys[a:z].to_pylist(), token_sets(column[a:z].to_pylist()), strict=True):
                     if set_key(tokens) == key:
