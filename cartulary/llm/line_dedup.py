@@ -122,14 +122,18 @@ def fetch_chunks(docs: DataFrame, bloom: bytes) -> DataFrame:
                 out: list[list] = [[] for _ in types]
                 for doc_id, text in zip(ids[a:z].to_pylist(), column[a:z].to_pylist(), strict=True):
                     lines = text.split("\n")
+                    found, taken = [], bytearray(len(lines))
                     for k, (x, y) in enumerate(chunk_lines(lines)):
-                        if not countable(lines[x:y]):
-                            continue
-                        key = digest(lines[x:y])
-                        p, q = int.from_bytes(key[:4], "big") & mask, int.from_bytes(key[4:8], "big") & mask
-                        if not (bloom[p >> 3] >> (p & 7) & bloom[q >> 3] >> (q & 7) & 1):
-                            continue
-                        row = (doc_id, k, key, x, y, lines[max(0, x - EXTEND) : x][::-1], "\n".join(lines[x:y]), lines[y : y + EXTEND])
+                        if countable(lines[x:y]):
+                            key = digest(lines[x:y])
+                            p, q = int.from_bytes(key[:4], "big") & mask, int.from_bytes(key[4:8], "big") & mask
+                            if bloom[p >> 3] >> (p & 7) & bloom[q >> 3] >> (q & 7) & 1:
+                                found.append((k, key, x, y))
+                                taken[x:y] = b"\1" * (y - x)
+                    for k, key, x, y in found:  # neighbours that may be repeated themselves are left to their own chunks
+                        i = next((i for i in range(x, max(0, x - EXTEND), -1) if taken[i - 1]), max(0, x - EXTEND))
+                        j = next((j for j in range(y, min(len(lines), y + EXTEND)) if taken[j]), min(len(lines), y + EXTEND))
+                        row = (doc_id, k, key, x, y, lines[i:x][::-1], "\n".join(lines[x:y]), lines[y:j])
                         for c, v in zip(out, row, strict=True):
                             c.append(v)
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], names=[k.split()[0] for k in kind.split(", ")])
