@@ -430,13 +430,14 @@ def compare_within(shapes: DataFrame) -> DataFrame:
     return data.unionByName(asks).groupBy("pivot", "i", "j").applyInArrow(compare, "src bigint, dst bigint")
 
 
-def with_sets(pairs: DataFrame, sets: DataFrame, hot: DataFrame | None, total: int) -> DataFrame:
-    """``pairs(x, y)`` with sizes and tokens of both; ``hot(y, times)`` tells how often a ``y`` occurs."""
-    left = pairs.join(sets.select(F.col("doc").alias("x"), F.col("n").alias("nx"), F.col("tokens").alias("tx")), "x")
-    right = sets.select(F.col("doc").alias("y"), F.col("n").alias("ny"), F.col("tokens").alias("ty"))
-    if hot is None:
-        return left.join(right, "y")
-    return lookup_join(left, right.join(hot, "y"), "y", "times", total, F.octet_length("ty") <= BROADCAST_BYTES).drop("times")
+def with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """``pairs(x, y)`` with sizes and tokens of both; a set in many pairs is broadcast if it is small."""
+    total = pairs.count()
+    for c in ("x", "y"):
+        times = pairs.groupBy(c).agg(F.count("*").alias("times"))
+        side = sets.select(F.col("doc").alias(c), F.col("n").alias(f"n{c}"), F.col("tokens").alias(f"t{c}")).join(times, c)
+        pairs = lookup_join(pairs, side, c, "times", total, F.octet_length(f"t{c}") <= BROADCAST_BYTES).drop("times")
+    return pairs
 
 
 def link_sets(sets: DataFrame) -> DataFrame:
@@ -453,7 +454,7 @@ def link_sets(sets: DataFrame) -> DataFrame:
     enough = ranked.join(votes.groupBy("doc").agg(F.max("k").alias("most")), "doc").where("2 * k >= most")
     first = materialise(enough.groupBy("doc").agg(F.max(F.struct("times", "k", (-F.col("pivot")).alias("p")))["p"].alias("p")).select(F.col("doc").alias("x"), (-F.col("p")).alias("y")), "pivots")
     hot = first.groupBy("y").agg(F.count("*").alias("times"))
-    tried = materialise(verify(with_sets(first, sets, hot, first.count()), shapes=True), "tried")
+    tried = materialise(verify(with_sets(first, sets), shapes=True), "tried")
     linked = tried.where("linked").select(F.col("x").alias("src"), F.col("y").alias("dst"))
     groups = components(linked)
 
@@ -481,7 +482,7 @@ def link_sets(sets: DataFrame) -> DataFrame:
     )
     pairs = met.groupBy(F.least("x_doc", "y_doc").alias("x"), F.greatest("x_doc", "y_doc").alias("y")).agg(F.count("*").alias("k"), F.first(F.least("x_ell", "y_ell")).alias("ell"))
     pairs = materialise(pairs.where("k >= ell").select("x", "y"), "pairs")
-    more = verify(with_sets(pairs, sets, pairs.groupBy("y").agg(F.count("*").alias("times")), pairs.count())).where("linked")
+    more = verify(with_sets(pairs, sets)).where("linked")
     return linked.unionByName(more.select(F.col("x").alias("src"), F.col("y").alias("dst")))
 
 
