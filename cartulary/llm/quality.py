@@ -128,7 +128,8 @@ def score_quality(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str =
         lambda x: F.struct(*(c.alias(k) for k, c in metrics(x["t"], x["w"], x["l"]).items())),
     )
     base, broken = judge(rules)
-    out = docs.select(*rest, counted.alias("_m")).select(*rest, "_m.*")
+    # a generated row, so that no later filter or projection computes the counts again
+    out = docs.select(*rest, F.explode(F.array(counted)).alias("_m")).select(*rest, "_m.*")
     return out.select("*", base.alias("base_failed"), broken.alias("broken_rules")).withColumn("kept", ~F.col("base_failed") & (F.size("broken_rules") == 0))
 
 
