@@ -3,8 +3,8 @@
 Test items are taken in blocks of bounded size, each against all documents.  One
 scan of the documents finds the runs of ``SEED_WORDS`` words that they share
 with the block and keeps the passages around them; the corpus counts of the
-block's runs then say which are the rarest of each item; passages that hold
-enough of an item's rare runs are aligned with it.  A block's index is bounded,
+block's runs then say which of an item are rare beside its others; passages that
+hold enough of an item's rare runs are aligned with it.  A block's index is bounded,
 so it travels with the tasks; nothing but passages is written and no key is
 shuffled, so a run that a third of all rows share does no harm.
 
@@ -31,8 +31,8 @@ from cartulary.llm.common import materialise
 from cartulary.llm.wordhash import NOT_WORD, Words, mix, spans
 
 SEED_WORDS = 3
-#: An item's seeds: its rarest runs, half of them and at least so many.
-LEAST_SEEDS = 8
+#: An item's seeds are its rare runs: all but those that occur more than RARE_TIMES as often as its median run does (or RARE_FLOOR).
+RARE_TIMES, RARE_FLOOR = 4, 8
 #: A passage is aligned if it holds so many of an item's seeds (one, if the item has no more).
 SHARED_SEEDS = 2
 #: Words of items in a block; bounds the index that tasks hold to a few MB.
@@ -150,10 +150,10 @@ def match_block(docs: DataFrame, block: list[tuple[int, str]], least: float) ->
     seeds, owner, total = [], [], []
     for k, runs in enumerate(item_runs):
         n = times[np.searchsorted(known, runs)]
-        rarest = runs[np.argsort(n, kind="stable")[: max(LEAST_SEEDS, len(runs) // 2)]]
-        seeds.append(rarest)
-        owner.append(np.full(len(rarest), k))
-        total.append(len(rarest))
+        rare = runs[n <= RARE_TIMES * max(np.median(n), RARE_FLOOR)] if len(runs) else runs
+        seeds.append(rare)
+        owner.append(np.full(len(rare), k))
+        total.append(len(rare))
     seed, own = np.concatenate(seeds), np.concatenate(owner)
     order = np.argsort(seed, kind="stable")
     seed, own = seed[order], own[order]

@@ -84,4 +84,4 @@ def test_odd_documents(odd_docs, no_docs, kind):
         by = {r.doc_id: r for r in rows}
         assert by[1].text is None and by[2].text == "" and not by[1]._emptied and not by[2]._emptied
         assert by[7]._emptied and by[6].text and by[5]._n_removed == 0
-        assert all(r.key == "x" and r._row == "r" for r in rows)
+        assert all(r.key == "x" and r._row == "k" for r in rows)
