@@ -356,13 +356,16 @@ def shared_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def verify(pairs: DataFrame, shapes: bool = False) -> DataFrame:
-    """x, y, common, linked of ``pairs(x, nx, tx, y, ny, ty)``; with ``shapes`` also x as seen from y: which of y's tokens it has, and its other tokens."""
-    kinds = {"x": pa.int64(), "y": pa.int64(), "common": pa.int64(), "linked": pa.bool_(), "bits": pa.binary(), "rest": pa.binary()}
-    kinds = kinds if shapes else dict(list(kinds.items())[:4])
+    """x, y, common, linked of ``pairs(x, nx, tx, y, ny, ty)``; with ``shapes`` also x as seen from y: which of y's tokens it has, and its other tokens.
+
+    Without ``shapes``, pairs also have src and dst, which are passed on.
+    """
+    kinds = {"x": pa.int64(), "y": pa.int64(), "common": pa.int64(), "linked": pa.bool_()}
+    kinds |= {"bits": pa.binary(), "rest": pa.binary()} if shapes else {"src": pa.int64(), "dst": pa.int64()}
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x, nx, tx, y, ny, ty = batch.columns
+            x, nx, tx, y, ny, ty, *passed = batch.columns
             out: dict[str, list] = {k: [] for k in kinds}
             for i, (a, n, b, m) in enumerate(zip(x.to_pylist(), nx.to_pylist(), y.to_pylist(), ny.to_pylist(), strict=True)):
                 p, q = np.frombuffer(tx[i].as_py(), "<u8"), np.frombuffer(ty[i].as_py(), "<u8")
@@ -372,16 +375,18 @@ def verify(pairs: DataFrame, shapes: bool = False) -> DataFrame:
                     common = int(has.sum())
                     more = (np.packbits(has).tobytes(), p[~np.isin(p, q, assume_unique=True)].tobytes())
                 else:
-                    common, more = len(np.intersect1d(p, q, assume_unique=True)), ()
+                    common, more = len(np.intersect1d(p, q, assume_unique=True)), tuple(c[i].as_py() for c in passed)
                 for c, v in zip(out.values(), (a, b, common, 100 * common >= PERCENT * (n + m - common), *more), strict=True):
                     c.append(v)
             yield batch_of(out, kinds)
 
-    return pairs.select("x", "nx", "tx", "y", "ny", "ty").mapInArrow(compare, "x bigint, y bigint, common bigint, linked boolean" + ", bits binary, rest binary" * shapes)
+    more = "bits binary, rest binary" if shapes else "src bigint, dst bigint"
+    told = pairs.select("x", "nx", "tx", "y", "ny", "ty", *(() if shapes else ("src", "dst")))
+    return told.mapInArrow(compare, f"x bigint, y bigint, common bigint, linked boolean, {more}")
 
 
 def compare_within(shapes: DataFrame) -> DataFrame:
-    """(src, dst) links between sets of one pivot but of different components.
+    """(src, dst): different components that sets of one pivot link.
 
     ``shapes(pivot, doc, n, common, c, c_pivot, bits, rest)``: one of such a pair is
     outside the pivot's component.  Those sets are compared, in blocks, with
@@ -394,7 +399,7 @@ def compare_within(shapes: DataFrame) -> DataFrame:
     rows = lookup_join(shapes, sized, "pivot", "m", shapes.count()).where("bm is not null")
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), n - 1))
     part = lambda n: F.pmod(F.xxhash64("doc"), n)
-    columns = ("doc", "n", "common", "c", "bits", "rest")
+    columns = ("n", "common", "c", "bits", "rest")
     data = rows.select("pivot", part(F.col("bm")).alias("i"), every(F.col("bk")).alias("j"), F.lit(False).alias("asks"), *columns)
     asks = rows.where("c <> c_pivot").select("pivot", every(F.col("bm")).alias("i"), part(F.col("bk")).alias("j"), F.lit(True).alias("asks"), *columns)
 
@@ -402,7 +407,7 @@ def compare_within(shapes: DataFrame) -> DataFrame:
         asks = group.column("asks").to_numpy()
         found: dict[str, list] = {"src": [], "dst": []}
         if asks.any() and not asks.all():
-            doc, n, common, c = (group.column(k).to_numpy() for k in ("doc", "n", "common", "c"))
+            n, common, c = (group.column(k).to_numpy() for k in ("n", "common", "c"))
             bits, rest = group.column("bits").to_pylist(), group.column("rest").to_pylist()
             held = np.array([len(r) // 8 for r in rest]) + common
             wide = np.frombuffer(b"".join(bits), np.uint8).reshape(len(bits), -1)
@@ -423,25 +428,37 @@ def compare_within(shapes: DataFrame) -> DataFrame:
                 if len(may):
                     both = np.bitwise_count(wide[may] & wide[a]).sum(axis=1, dtype=np.int64) + extra[k, np.searchsorted(d, may)]
                     hit = may[(100 + PERCENT) * both >= PERCENT * (n[may] + n[a])]
-                    found["src"] += [int(doc[a])] * len(hit)
-                    found["dst"] += doc[hit].tolist()
+                    others = np.unique(c[hit])
+                    found["src"] += [int(c[a])] * len(others)
+                    found["dst"] += others.tolist()
         return pa.table({k: pa.array(v, pa.int64()) for k, v in found.items()})
 
     return data.unionByName(asks).groupBy("pivot", "i", "j").applyInArrow(compare, "src bigint, dst bigint")
 
 
-def with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def with_sets(pairs: DataFrame, sets: DataFrame, unique_x: bool = False) -> DataFrame:
     """``pairs(x, y)`` with sizes and tokens of both; a set in many pairs is broadcast if it is small."""
-    total = pairs.count()
+    total, told = pairs.count(), pairs
     for c in ("x", "y"):
-        times = pairs.groupBy(c).agg(F.count("*").alias("times"))
-        side = sets.select(F.col("doc").alias(c), F.col("n").alias(f"n{c}"), F.col("tokens").alias(f"t{c}")).join(times, c)
+        side = sets.select(F.col("doc").alias(c), F.col("n").alias(f"n{c}"), F.col("tokens").alias(f"t{c}"))
+        if unique_x and c == "x":
+            pairs = pairs.join(side, c)
+            continue
+        side = side.join(told.groupBy(c).agg(F.count("*").alias("times")), c)
         pairs = lookup_join(pairs, side, c, "times", total, F.octet_length(f"t{c}") <= BROADCAST_BYTES).drop("times")
     return pairs
 
 
-def link_sets(sets: DataFrame) -> DataFrame:
-    """(src, dst) links between ``sets(doc, n, ell, tokens, prefix)`` that give all components."""
+def merged(groups: DataFrame, c: str, links: DataFrame) -> DataFrame:
+    """``groups`` with its component column ``c`` after joining the components that ``links(src, dst)`` link."""
+    if links.isEmpty():
+        return groups
+    more = components(links).select(F.col("node").alias(c), F.col("component").alias("_to"))
+    return groups.join(more, c, "left").withColumn(c, F.coalesce("_to", c)).drop("_to")
+
+
+def group_sets(sets: DataFrame) -> DataFrame:
+    """doc, c: the component of each of ``sets(doc, n, ell, tokens, prefix)``."""
     entries = materialise(sets.select(F.explode("prefix").alias("token"), "doc", "n", "ell", (F.octet_length("tokens") / 8 / F.col("n")).alias("fill")), "entries")
     total = entries.count()
     best = F.min(F.struct((1 - F.col("fill")).alias("alone"), F.col("doc").alias("doc")))
@@ -454,7 +471,7 @@ def link_sets(sets: DataFrame) -> DataFrame:
     enough = ranked.join(votes.groupBy("doc").agg(F.max("k").alias("most")), "doc").where("2 * k >= most")
     first = materialise(enough.groupBy("doc").agg(F.max(F.struct("times", "k", (-F.col("pivot")).alias("p")))["p"].alias("p")).select(F.col("doc").alias("x"), (-F.col("p")).alias("y")), "pivots")
     hot = first.groupBy("y").agg(F.count("*").alias("times"))
-    tried = materialise(verify(with_sets(first, sets), shapes=True), "tried")
+    tried = materialise(verify(with_sets(first, sets, unique_x=True), shapes=True), "tried")
     linked = tried.where("linked").select(F.col("x").alias("src"), F.col("y").alias("dst"))
     groups = components(linked)
 
@@ -463,11 +480,8 @@ def link_sets(sets: DataFrame) -> DataFrame:
     about = materialise(about, "sets-in-groups")
     pivots = materialise(about.select(F.col("doc").alias("pivot"), F.col("c").alias("c_pivot")).join(hot.withColumnRenamed("y", "pivot"), "pivot"), "pivot-groups")
     shapes = lookup_join(about.where("pivot is not null"), pivots, "pivot", "times", first.count()).drop("times")
-    within = materialise(compare_within(materialise(shapes, "shapes")), "links-within")
-
-    linked = linked.unionByName(within)
-    groups = components(linked)
-    now = about.select("doc", "n", "ell", "pivot").join(groups.select(F.col("node").alias("doc"), F.col("component").alias("c")), "doc", "left").withColumn("c", F.coalesce("c", "doc"))
+    within = materialise(compare_within(materialise(shapes, "shapes")).distinct(), "links-within")
+    now = materialise(merged(about.select("doc", "n", "ell", "pivot", "c"), "c", within), "groups")
     rows = materialise(entries.select("token", "doc").join(now, "doc"), "entries-in-groups")
     mixed = rows.groupBy("token").agg(F.count("*").alias("times"), F.min("c").alias("c1"), F.max("c").alias("c2")).where("c1 <> c2").select("token", "times", "c1")
     mixed = materialise(mixed, "mixed-tokens")
@@ -480,10 +494,14 @@ def link_sets(sets: DataFrame) -> DataFrame:
         & (100 * F.least("x_n", "y_n") >= PERCENT * F.greatest("x_n", "y_n"))
         & F.coalesce((F.col("x_pivot") != F.col("y_pivot")) & (F.col("x_pivot") != F.col("y_doc")) & (F.col("y_pivot") != F.col("x_doc")), F.lit(True))
     )
-    pairs = met.groupBy(F.least("x_doc", "y_doc").alias("x"), F.greatest("x_doc", "y_doc").alias("y")).agg(F.count("*").alias("k"), F.first(F.least("x_ell", "y_ell")).alias("ell"))
-    pairs = materialise(pairs.where("k >= ell").select("x", "y"), "pairs")
-    more = verify(with_sets(pairs, sets)).where("linked")
-    return linked.unionByName(more.select(F.col("x").alias("src"), F.col("y").alias("dst")))
+    ordered = lambda k: (F.when(F.col("x_doc") < F.col("y_doc"), F.col(f"x_{k}")).otherwise(F.col(f"y_{k}")), F.when(F.col("x_doc") < F.col("y_doc"), F.col(f"y_{k}")).otherwise(F.col(f"x_{k}")))
+    (x, y), (src, dst) = ordered("doc"), ordered("c")
+    pairs = met.groupBy(x.alias("x"), y.alias("y")).agg(F.count("*").alias("k"), F.first(F.least("x_ell", "y_ell")).alias("ell"), F.first(src).alias("src"), F.first(dst).alias("dst"))
+    pairs = materialise(pairs.where("k >= ell").select("x", "y", "src", "dst"), "pairs")
+    if pairs.isEmpty():
+        return now.select("doc", "c")
+    more = materialise(verify(with_sets(pairs, sets)).where("linked").select("src", "dst").distinct(), "links-between")
+    return merged(now.select("doc", "c"), "c", more)
 
 
 def link_documents(docs: DataFrame) -> DataFrame:
@@ -491,8 +509,7 @@ def link_documents(docs: DataFrame) -> DataFrame:
     all_sets, alive = eliminate(docs)
     classes = materialise(all_sets.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("doc"), F.count("*").alias("times")), "classes")
     sets = shared_sets(docs, classes.join(alive, "key").select("doc", "key"))
-    groups = components(link_sets(sets))
-    named = classes.join(groups.withColumnRenamed("node", "doc"), "doc", "left").select("key", "times", F.coalesce("component", "doc").alias("c"), "doc")
+    named = classes.join(group_sets(sets), "doc", "left").select("key", "times", F.coalesce("c", "doc").alias("c"), "doc")
     named = materialise(named.where("times > 1 or c <> doc").select("key", "times", "c"), "named-classes")
     out = lookup_join(all_sets, named, "key", "times", all_sets.count())
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("c", "doc_id").alias("component_id"))
