@@ -11,8 +11,9 @@ where they equal those around the first occurrence.
 
 A first scan counts chunk keys with partial aggregation.  A second one takes the
 texts of the chunks that may be repeated: a Bloom filter of fixed size over the
-repeated keys leaves most others out, and what it lets through in error is found
-single afterwards.  First occurrences come from a partial aggregation too; the
+repeated keys leaves most others out and decides nothing else: what it lets
+through in error is found single afterwards, and then serves the chunks beside it
+as neighbouring lines.  First occurrences come from a partial aggregation too; the
 few keys that hold more than a thousandth of all chunks are compared by
 broadcast, all others by shuffle.  Whole texts are shuffled once, to be
 rewritten.
@@ -42,6 +43,8 @@ LONG_LINE, LEAST_LINES, LEAST_WORDS = 40, 2, 20
 EXTEND = 4
 #: Texts of first occurrences up to this size may be broadcast (at most HEAVY_SHARE of them).
 BROADCAST_BYTES = 16_384
+#: Up to so many documents' chunks that the filter let through in error are broadcast.
+BROADCAST_ROWS = 1000
 
 #: Bits of the Bloom filter: 4 MB whatever the corpus.
 BLOOM_BITS = 1 << 25
@@ -130,7 +133,7 @@ def fetch_chunks(docs: DataFrame, bloom: bytes) -> DataFrame:
                             if bloom[p >> 3] >> (p & 7) & bloom[q >> 3] >> (q & 7) & 1:
                                 found.append((k, key, x, y))
                                 taken[x:y] = b"\1" * (y - x)
-                    for k, key, x, y in found:  # neighbours that may be repeated themselves are left to their own chunks
+                    for k, key, x, y in found:  # neighbours that may be repeated themselves are in their own rows; see with_neighbours
                         i = next((i for i in range(x, max(0, x - EXTEND), -1) if taken[i - 1]), max(0, x - EXTEND))
                         j = next((j for j in range(y, min(len(lines), y + EXTEND)) if taken[j]), min(len(lines), y + EXTEND))
                         row = (doc_id, k, key, x, y, lines[i:x][::-1], "\n".join(lines[x:y]), lines[y:j])
@@ -148,12 +151,44 @@ def common_start(a: Column, b: Column) -> Column:
     return F.when(start > 0, start - 1).otherwise(F.size(same)).cast("int")
 
 
+def with_neighbours(texts: DataFrame) -> DataFrame:
+    """``texts`` whose ``before`` and ``after`` run on over chunks that occur once, which the filter let through in error."""
+    at = F.struct("doc_id", "chunk")
+    once = texts.groupBy("key").agg(F.min(at).alias("a"), F.max(at).alias("z")).where("a = z").select("key")
+    edge = lambda lines: F.slice(lines, 1, EXTEND)
+    lines = F.split("text", "\n", -1)
+    pieces = texts.join(once, "key").select(
+        "doc_id",
+        F.struct(
+            "first", "last",
+            edge(F.concat(F.reverse(lines), "before")).alias("up"), (F.col("first") - F.size("before")).alias("top"),
+            edge(F.concat(lines, "after")).alias("down"), (F.col("last") + F.size("after")).alias("bottom"),
+        ).alias("piece"),
+    )
+    pieces = materialise(pieces.groupBy("doc_id").agg(F.array_sort(F.collect_set("piece")).alias("pieces")), "chunks-found-once")
+    pieces = F.broadcast(pieces) if pieces.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else pieces.hint("shuffle_hash")
+
+    def run_on(lines: str, place: Column, pieces: Column, meets: str, more: str, ends: str) -> Column:
+        """The lines and those of each piece that begins where they end, up to EXTEND."""
+        start = F.struct(F.col(lines).alias("lines"), place.cast("int").alias("place"))
+        step = lambda s, p: F.when(
+            (F.size(s["lines"]) < EXTEND) & (p[meets] == s["place"]), F.struct(F.concat(s["lines"], p[more]).alias("lines"), p[ends].cast("int").alias("place"))
+        ).otherwise(s)
+        return F.aggregate(pieces, start, step, lambda s: edge(s["lines"]))
+
+    before = run_on("before", F.col("first") - F.size("before"), F.reverse("pieces"), "last", "up", "top")
+    after = run_on("after", F.col("last") + F.size("after"), F.col("pieces"), "first", "down", "bottom")
+    joined = texts.join(pieces, "doc_id", "left")
+    told = lambda c, full: F.when(F.col("pieces").isNull(), F.col(c)).otherwise(full).alias(c)
+    return joined.select("doc_id", "chunk", "key", "first", "last", told("before", before), "text", told("after", after))
+
+
 def repeated_chunks(docs: DataFrame) -> DataFrame:
     """doc_id, cuts array<struct<first, last>>: the lines to remove from each document, equal byte for byte to a first occurrence."""
     told = docs.where("text is not null and doc_id is not null").select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     counts = chunk_keys(told).distinct().groupBy("key").agg(F.count("*").alias("n"))
     bloom = bloom_filter(counts.where("n > 1").select("key"))
-    texts = materialise(fetch_chunks(told, bloom), "chunk-texts")
+    texts = with_neighbours(materialise(fetch_chunks(told, bloom), "chunk-texts"))
     at = F.struct("doc_id", "chunk")
     firsts = texts.groupBy("key").agg(F.count("*").alias("n"), F.min(at).alias("keeper"), F.min_by(F.struct("text", "before", "after"), at).alias("one")).where("n > 1")
     firsts = materialise(firsts, "chunk-firsts")

@@ -85,3 +85,17 @@ def test_odd_documents(odd_docs, no_docs, kind):
         assert by[1].text is None and by[2].text == "" and not by[1]._emptied and not by[2]._emptied
         assert by[7]._emptied and by[6].text and by[5]._n_removed == 0
         assert all(r.key == "x" and r._row == "k" for r in rows)
+
+
+@pytest.mark.parametrize("rows", [0, 1000])
+def test_filter_decides_nothing(spark, monkeypatch, rows):
+    """A full filter of 64 bits, which lets every chunk through, gives the same texts."""
+    from cartulary.llm import line_dedup
+
+    monkeypatch.setattr(line_dedup, "BLOOM_BITS", 64)
+    monkeypatch.setattr(line_dedup, "BROADCAST_ROWS", rows)
+    shared = [prose(k, 130, line=7) for k in range(6)]
+    docs = [(k, prose(10 + k, 90, line=7) + "\n" + shared[k % 6] + "\n" + prose(300 + k, 90, line=7)) for k in range(30)]
+    got = {r.doc_id: r.text for r in dedup_lines(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()}
+    assert got == brute(docs)
+    assert got[0] == docs[0][1] and all(len(got[k]) < len(docs[k][1]) for k in range(6, 30))
