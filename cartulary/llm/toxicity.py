@@ -4,14 +4,16 @@ Three models, all fitted here:
 
 * a character language model, trigrams of letters counted over every document;
 * a channel: a written character stands for letters it resembles (1 for i or l,
-  @ for a), marks and spaces between single letters may be insertions, and a
-  repeated letter may stand for one;
+  @ for a), marks and spaces may be insertions or set words apart, and a repeated
+  letter may stand for one;
 * a lexicon of words and word beginnings that labelled toxic documents hold far
   more often than clean ones, fitted on a bounded sample of labelled rows
   (``SAMPLE_TOXIC`` and ``SAMPLE_CLEAN``), near copies counted once.
 
 A token that looks disguised becomes a lattice of letters, of which Viterbi
-search under the language model keeps the ``BEST`` likeliest readings.  The
+search under the language model keeps the ``BEST`` likeliest readings, of one or
+several words, each of which is looked up.  Neighbouring words that together are
+an entry of the lexicon count as that word if the likeliest reading joins them.  The
 score of a text is 1 - (1 - base) x product over its lexicon entries of
 (1 - their precision); a text without any has the base rate.
 
@@ -37,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartulary.llm.common import materialise
-from cartulary.llm.wordhash import NOT_WORD, SPACE, Words, spans
+from cartulary.llm.wordhash import BYTE, NOT_WORD, SPACE, Words, mix, place, spans
 
 #: At most so many labelled rows of each kind are fitted on, chosen by a hash of their ids.
 SAMPLE_TOXIC, SAMPLE_CLEAN = 2500, 5000
@@ -59,6 +61,8 @@ CHANNEL = {
 }
 #: Log costs: a character that stands for another letter, an inserted mark, a repetition read as one letter.
 SUBSTITUTED, INSERTED, REPEATED, KEPT_REPEAT = -1.0, -0.7, -0.5, -3.0
+#: Log cost of a mark or space that sets words apart.
+APART = 0.0
 
 ALPHABET = "abcdefghijklmnopqrstuvwxyzàáâãäåæçèéêëìíîïñòóôõöøùúûüýßœ"
 CODES = len(ALPHABET) + 1
@@ -112,14 +116,18 @@ def language_model(docs: DataFrame) -> np.ndarray:
 
 def lattice(token: str) -> list[list[tuple[str, float]]]:
     """For each run of equal characters: the letters it may stand for ('' for none) and their costs."""
-    out, i = [], 0
+    out, i, last = [], 0, ""
     while i < len(token):
         j = i
         while j < len(token) and token[j] == token[i]:
             j += 1
         c, n = token[i], j - i
-        if c in CHANNEL:
+        if c == " ":
+            options = [("", INSERTED), (" ", APART)]
+        elif c in CHANNEL:
             options = [("", INSERTED) if x is None else (x, SUBSTITUTED) for x in CHANNEL[c]]
+            if None in CHANNEL[c]:
+                options.append((" ", APART))
             if n > 1:
                 options += [(x * 2, 2 * SUBSTITUTED) for x in CHANNEL[c] if x]
         elif c.isalpha():
@@ -131,7 +139,11 @@ def lattice(token: str) -> list[list[tuple[str, float]]]:
                 if plain in ALPHABET:
                     options.append((plain, SUBSTITUTED))
         else:
-            options = [("", INSERTED)]
+            options = [("", INSERTED), (" ", APART)]
+        if any(x.strip() for x, _ in options):
+            if c == last:  # the same letter again after a mark or space
+                options.append(("", REPEATED))
+            last = c
         out.append(options)
         i = j
     return out
@@ -155,6 +167,40 @@ def readings(token: str, model: np.ndarray) -> list[str]:
     return list(dict.fromkeys(t for _, t in ended if t))[:BEST]
 
 
+def joined_words(words: Words, hashes: np.ndarray, longest: int) -> Iterator[tuple[int, int]]:
+    """(first word, how many) of neighbouring words, a byte apart, that together are one of the words of sorted ``hashes``, of ``longest`` bytes at most."""
+    size = words.end - words.start
+    if not len(size) or not len(hashes):
+        return
+    apart = np.concatenate([words.start[1:] - words.end[:-1], [2]])
+    last_of_text = np.concatenate([words.text[1:] != words.text[:-1], [True]])
+    linked = (apart == 1) & ~last_of_text
+    mult = place(longest + 1)
+
+    def terms(which: np.ndarray, shift: np.ndarray) -> np.ndarray:
+        """Sums of the hash terms of words that begin ``shift`` bytes into a joined word."""
+        n = size[which]
+        begin = np.concatenate([[0], np.cumsum(n)[:-1]])
+        at = np.arange(int(n.sum())) - np.repeat(begin, n)
+        return np.add.reduceat(BYTE[words.bytes[np.repeat(words.start[which], n) + at]] * mult[np.repeat(shift, n) + at], begin)
+
+    first = np.flatnonzero(linked & (size < longest))
+    total, k = size[first], 1
+    sums = terms(first, np.zeros(len(first), np.int64)) if len(first) else None
+    while len(first):
+        keep = linked[first + k - 1]
+        first, total, sums = first[keep], total[keep], sums[keep]
+        keep = total + size[first + k] <= longest
+        first, total, sums = first[keep], total[keep], sums[keep]
+        if not len(first):
+            return
+        sums = sums + terms(first + k, total)
+        total, k = total + size[first + k], k + 1
+        h = mix(sums)
+        at = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)
+        yield from ((int(i), k) for i in first[hashes[at] == h])
+
+
 def disguised(words: Words, texts: list[bytes]) -> list[tuple[int, str]]:
     """(text, token) for tokens that mix letters with marks or digits or repeat letters, and for runs of single letters."""
     b, found = words.bytes, []
@@ -178,7 +224,7 @@ def disguised(words: Words, texts: list[bytes]) -> list[tuple[int, str]]:
         for t in range(int(words.text[i]), int(words.text[j - 1]) + 1):
             x, y = max(i, int(words.bounds[t])), min(j, int(words.bounds[t + 1]))
             if 3 <= y - x <= 64:
-                found.append((t, "".join(b[words.start[k] : words.end[k]].tobytes().decode(errors="replace") for k in range(x, y))))
+                found.append((t, " ".join(b[words.start[k] : words.end[k]].tobytes().decode(errors="replace") for k in range(x, y))))
     return found
 
 
@@ -211,7 +257,7 @@ def fit_lexicon(docs: DataFrame, labels: DataFrame, model: np.ndarray) -> dict[s
                     s, e = words.start[words.bounds[t] : words.bounds[t + 1]], words.end[words.bounds[t] : words.bounds[t + 1]]
                     held.append({f for w in {words.bytes[x:y].tobytes().decode(errors="ignore") for x, y in zip(s, e, strict=True)} if len(w) > 2 for f in entries(w)})
                 for t, token in disguised(Words(low, SPACE), low):
-                    for w in readings(token, model)[:1]:
+                    for w in (w for reading in readings(token, model)[:1] for w in reading.split()):
                         held[t].update(entries(w))
                 names = ["toxic", "alike", "held"]
                 yield pa.RecordBatch.from_arrays([toxic[a:z], pa.array(alike, pa.int64()), pa.array([sorted(x) for x in held], pa.list_(pa.string()))], names=names)
@@ -244,13 +290,14 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     whole = table({k: p for k, p in lexicon.items() if not k.endswith("~")})
     begun = {n: table({k[:-1]: p for k, p in lexicon.items() if k.endswith("~") and len(k[:-1].encode()) == n}) for n in (3, *PREFIXES)}
+    longest = max((len(k.encode()) for k in whole[2]), default=0)
     memory: dict[str, tuple[tuple[str, float], ...]] = {}
 
     def decoded(token: str) -> tuple[tuple[str, float], ...]:
         if token not in memory:
             if len(memory) > 200_000:
                 memory.clear()
-            memory[token] = tuple({f: lexicon[f] for w in readings(token, model) for f in entries(w) if f in lexicon}.items())
+            memory[token] = tuple({f: lexicon[f] for reading in readings(token, model) for w in reading.split() for f in entries(w) if f in lexicon}.items())
         return memory[token]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -268,6 +315,11 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
                     at = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
                     for k in np.flatnonzero((keys[at] == h) & (size > n)).tolist():
                         found[words.text[k]][names[at[k]] + ("~" if n else "")] = p[at[k]]
+                for k, n in joined_words(words, whole[0], longest):
+                    pieces = [words.bytes[words.start[i] : words.end[i]].tobytes().decode(errors="replace") for i in range(k, k + n)]
+                    word = "".join(pieces)
+                    if word in lexicon and readings(" ".join(pieces), model)[:1] == [word]:
+                        found[words.text[k]][word] = lexicon[word]
                 for t, token in disguised(Words(low, SPACE), low):
                     found[t].update(decoded(token))
                 scores = [1 - (1 - BASE_SCORE) * math.prod(1 - p for p in f.values()) for f in found]

@@ -61,3 +61,16 @@ def test_viterbi_is_exact(corpus):
                 best = (score, text)
         assert readings(token, model)[0] == best[1]
     assert model.shape == (CODES, CODES, CODES)
+
+
+def predicted(spark, corpus, texts):
+    docs, labels = corpus
+    more = spark.createDataFrame([(9000 + k, f"{prose(k, 20)} {w} {prose(k + 1, 20)}", 1.0, "en") for k, w in enumerate(texts)], docs.schema)
+    got = {r.doc_id: r.predicted for r in score_toxicity(docs.union(more), labels).where("doc_id >= 9000").collect()}
+    return [got[9000 + k] for k in range(len(texts))]
+
+
+def test_spaces(spark, corpus):
+    """Spaces are kept or deleted: after a word of one letter, two words in a row, words in pieces."""
+    texts = ["a n i t w i t", "I n i t w i t", "k i n d b l o c k h e a d", "scound rel", "ni tw it", "nit.wit", "k i n d w o r d", "kind words"]
+    assert predicted(spark, corpus, texts) == [1, 1, 1, 1, 1, 1, 0, 0]
