@@ -30,6 +30,7 @@ rows; other columns are not read.
 from __future__ import annotations
 
 import math
+import re
 import unicodedata
 from collections.abc import Iterator
 
@@ -50,6 +51,8 @@ PREFIXES = (4, 5, 6)
 LEAST_RATIO, LEAST_PRECISION = 24.0, 0.8
 BASE_SCORE = 0.02
 BEST = 6
+#: Letters of a window in which a long token is decoded, at least; tokens up to so many characters are remembered.
+LEAST_WINDOW, REMEMBERED = 64, 128
 THRESHOLD = 0.3
 
 #: What a written character may stand for; None: nothing.
@@ -64,6 +67,9 @@ SUBSTITUTED, INSERTED, REPEATED, KEPT_REPEAT = -1.0, -0.7, -0.5, -3.0
 #: Log cost of a mark or space that sets words apart.
 APART = 0.0
 
+#: A letter set apart from itself more than once, read as written twice.
+AGAIN = re.compile(r"([^\W\d_])([\W_])(?:\1\2)+\1")
+
 ALPHABET = "abcdefghijklmnopqrstuvwxyzàáâãäåæçèéêëìíîïñòóôõöøùúûüýßœ"
 CODES = len(ALPHABET) + 1
 
@@ -116,7 +122,7 @@ def language_model(docs: DataFrame) -> np.ndarray:
 
 def lattice(token: str) -> list[list[tuple[str, float]]]:
     """For each run of equal characters: the letters it may stand for ('' for none) and their costs."""
-    out, i, last = [], 0, ""
+    token, out, i, last = AGAIN.sub(r"\1\2\1", token), [], 0, ""
     while i < len(token):
         j = i
         while j < len(token) and token[j] == token[i]:
@@ -150,9 +156,35 @@ def lattice(token: str) -> list[list[tuple[str, float]]]:
 
 
 def readings(token: str, model: np.ndarray) -> list[str]:
-    """The ``BEST`` likeliest letter strings of a written token, by Viterbi search over (last two letters), several paths a state."""
+    """The ``BEST`` likeliest letter strings of a written token."""
+    return search(lattice(token), model)
+
+
+def token_entries(token: str, model: np.ndarray, longest: int = 0, best: int = BEST) -> set[str]:
+    """What the lexicon may hold of the words of the ``best`` readings of a token of any length.
+
+    A long one is read in windows that overlap by half, more than ``longest`` letters; a word that
+    a window's edge cuts is whole in the window beside it, or longer than any entry, so that only its beginning counts.
+    """
+    steps = lattice(token)
+    letters = [i for i, options in enumerate(steps) if any(x.strip() for x, _ in options) and ("", REPEATED) not in options]
+    half = max(LEAST_WINDOW // 2, longest + 1)
+    out: set[str] = set()
+    for begin in range(0, max(1, len(letters) - half), half):
+        opened, closed = begin == 0, begin + 2 * half >= len(letters)
+        part = steps[0 if opened else letters[begin] : None if closed else letters[begin + 2 * half]]
+        for reading in search(part, model)[:best]:
+            held = reading.split()
+            for n, w in enumerate(held):
+                if n or opened:
+                    out.update(entries(w)[n == len(held) - 1 and not closed :])
+    return out
+
+
+def search(steps: list[list[tuple[str, float]]], model: np.ndarray) -> list[str]:
+    """The ``BEST`` likeliest strings of a lattice, by Viterbi search over (last two letters), several paths a state."""
     paths: dict[tuple[int, int], list[tuple[float, str]]] = {(0, 0): [(0.0, "")]}
-    for options in lattice(token):
+    for options in steps:
         after: dict[tuple[int, int], list[tuple[float, str]]] = {}
         for (x, y), held in paths.items():
             for letters, cost in options:
@@ -216,14 +248,13 @@ def disguised(words: Words, texts: list[bytes]) -> list[tuple[int, str]]:
     hit = np.add.reduceat(flag, words.start) > 0
     for k in np.flatnonzero(hit).tolist():
         s, e = int(words.start[k]), int(words.end[k])
-        if e - s <= 64:
-            found.append((int(words.text[k]), b[s:e].tobytes().decode(errors="replace")))
+        found.append((int(words.text[k]), b[s:e].tobytes().decode(errors="replace")))
     single = (words.end - words.start <= 2) & (letter[words.start] | _digit_like[b[words.start]]) & ((words.end - words.start == 1) | (b[words.start] >= 0xC3))
     edge = np.flatnonzero(np.diff(np.concatenate([[False], single, [False]]).astype(np.int8)))
     for i, j in zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True):
         for t in range(int(words.text[i]), int(words.text[j - 1]) + 1):
             x, y = max(i, int(words.bounds[t])), min(j, int(words.bounds[t + 1]))
-            if 3 <= y - x <= 64:
+            if 3 <= y - x:
                 found.append((t, " ".join(b[words.start[k] : words.end[k]].tobytes().decode(errors="replace") for k in range(x, y))))
     return found
 
@@ -257,8 +288,7 @@ def fit_lexicon(docs: DataFrame, labels: DataFrame, model: np.ndarray) -> dict[s
                     s, e = words.start[words.bounds[t] : words.bounds[t + 1]], words.end[words.bounds[t] : words.bounds[t + 1]]
                     held.append({f for w in {words.bytes[x:y].tobytes().decode(errors="ignore") for x, y in zip(s, e, strict=True)} if len(w) > 2 for f in entries(w)})
                 for t, token in disguised(Words(low, SPACE), low):
-                    for w in (w for reading in readings(token, model)[:1] for w in reading.split()):
-                        held[t].update(entries(w))
+                    held[t].update(token_entries(token, model, best=1))
                 names = ["toxic", "alike", "held"]
                 yield pa.RecordBatch.from_arrays([toxic[a:z], pa.array(alike, pa.int64()), pa.array([sorted(x) for x in held], pa.list_(pa.string()))], names=names)
 
@@ -294,11 +324,14 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     memory: dict[str, tuple[tuple[str, float], ...]] = {}
 
     def decoded(token: str) -> tuple[tuple[str, float], ...]:
-        if token not in memory:
+        if token in memory:
+            return memory[token]
+        out = tuple((f, lexicon[f]) for f in sorted(token_entries(token, model, longest)) if f in lexicon)
+        if len(token) <= REMEMBERED:
             if len(memory) > 200_000:
                 memory.clear()
-            memory[token] = tuple({f: lexicon[f] for reading in readings(token, model) for w in reading.split() for f in entries(w) if f in lexicon}.items())
-        return memory[token]
+            memory[token] = out
+        return out
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -74,3 +74,13 @@ def test_spaces(spark, corpus):
     """Spaces are kept or deleted: after a word of one letter, two words in a row, words in pieces."""
     texts = ["a n i t w i t", "I n i t w i t", "k i n d b l o c k h e a d", "scound rel", "ni tw it", "nit.wit", "k i n d w o r d", "kind words"]
     assert predicted(spark, corpus, texts) == [1, 1, 1, 1, 1, 1, 0, 0]
+
+
+def test_long_tokens(spark, corpus):
+    """Tokens of more than 64 bytes and runs of more than 64 letters are decoded to their end."""
+    spelled = " ".join("".join(prose(70, 30).split()) + "nitwit" + "".join(prose(71, 30).split())).replace(".", "")
+    clean = " ".join("".join(prose(72, 60).split())).replace(".", "")
+    chained = "_".join([*prose(73, 25).replace(".", "").split(), "blockhead", *prose(74, 25).replace(".", "").split()])
+    texts = [spelled, "nit" + "w" * 80 + "it", " ".join("nit" + "w" * 80 + "it"), chained, clean, "_".join(prose(75, 60).replace(".", "").split())]
+    assert len(chained) > 300 and len(spelled) > 300
+    assert predicted(spark, corpus, texts) == [1, 1, 1, 1, 0, 0]
