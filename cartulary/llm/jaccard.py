@@ -27,8 +27,9 @@ min(|x-p|, |y-p|) tokens.  Only pairs without a common pivot are enumerated.
 Defined results: null, empty and wordless texts have empty sets and link to
 nothing; a text of fewer than five words is one run; texts of any length are
 whole; rows that repeat an id keep a row each, with the component of their own
-text; a null id names no component (its row has that of its equals, or null);
-an empty table gives no rows; other columns are not read.
+text (classes are told apart by their sets, never by ids); a null id names no
+component (its row has the least id of its component, or null without one); an
+empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -41,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartulary.llm.common import components, lookup_join, materialise
+from cartulary.llm.common import NO_ID, components, discard, keyed, lookup_join, materialise, split_by_keys
 from cartulary.llm.wordhash import ROLL, SPACE, Words, mix, spans
 
 RUN_WORDS, PERCENT = 5, 75
@@ -49,7 +50,8 @@ RUN_WORDS, PERCENT = 5, 75
 BLOCK_TOKENS, BLOCK_SETS = 500_000, 65_000
 #: The longest extension of a rare-first prefix, and the cost of verifying a candidate in prefix entries.
 MOST_MATCHES, VERIFY_COST = 8, 8.0
-BROADCAST_BYTES = 16_384
+#: Bytes of texts whose tokens make up a bucket of hash range, which a task holds at once, and buckets of a partition.
+BUCKET_BYTES, BUCKETS = 8 << 20, 8
 
 
 def overlap(n):
@@ -95,16 +97,18 @@ def split_by_bucket(tokens: np.ndarray, buckets: int) -> tuple[np.ndarray, np.nd
     return np.concatenate([[0], cut, [len(tokens)]]), bucket[np.concatenate([[0], cut])] if len(tokens) else bucket
 
 
-def bucket_count(spark: SparkSession) -> int:
-    return 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+def bucket_count(spark: SparkSession, size: int) -> tuple[int, int]:
+    """(buckets, partitions) for texts of ``size`` bytes: both grow with the texts, so that neither a bucket nor a partition does."""
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = max(4 * partitions, size // BUCKET_BYTES)
+    return buckets, max(partitions, buckets // BUCKETS)
 
 
-def eliminate(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(sets, alive): doc_id, n, key of every document; and the keys of sets that may have a link."""
-    buckets = bucket_count(docs.sparkSession)
+def eliminate(docs: DataFrame, buckets: int, partitions: int) -> tuple[DataFrame, DataFrame]:
+    """(sets, alive): d, h, n, key of every one of ``docs(d, h, text)``; and the keys of sets that may have a link."""
     #: kind 0: a document, owner being its set's place in the block; 1: places and counts of shared tokens; 2: tokens and the places of their sets.
-    kinds = {"kind": pa.int32(), "bucket": pa.int32(), "block": pa.int64(), "owner": pa.int32(), "doc_id": pa.int64(), "n": pa.int64(), "key": pa.binary(), "index": pa.binary(), "data": pa.binary()}
-    schema = "kind int, bucket int, block bigint, owner int, doc_id bigint, n bigint, key binary, index binary, data binary"
+    kinds = {"kind": pa.int32(), "bucket": pa.int32(), "block": pa.int64(), "owner": pa.int32(), "d": pa.int64(), "h": pa.int64(), "n": pa.int64(), "key": pa.binary(), "index": pa.binary(), "data": pa.binary()}
+    schema = "kind int, bucket int, block bigint, owner int, d bigint, h bigint, n bigint, key binary, index binary, data binary"
     shared_here, no_set = 65_535, 65_534
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -119,12 +123,12 @@ def eliminate(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         def flush() -> pa.RecordBatch:
             out: dict[str, list] = {k: [] for k in kinds}
 
-            def put(kind, bucket, owner=None, doc_id=None, n=None, key=None, index=None, data=None):
-                for c, v in zip(out.values(), (kind, bucket, block, owner, doc_id, n, key, index, data), strict=True):
+            def put(kind, bucket, owner=None, d=None, h=None, n=None, key=None, index=None, data=None):
+                for c, v in zip(out.values(), (kind, bucket, block, owner, d, h, n, key, index, data), strict=True):
                     c.append(v)
 
-            for k, (doc_id, n, key, owner) in enumerate(rows):
-                put(0, k % buckets, owner, doc_id, n, key)
+            for k, (d, h, n, key, owner) in enumerate(rows):
+                put(0, k % buckets, owner, d, h, n, key)
             if prefixes:
                 tokens = np.concatenate(prefixes)
                 index = np.repeat(np.arange(len(prefixes)), [len(p) for p in prefixes])
@@ -144,19 +148,19 @@ def eliminate(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
             return batch_of(out, kinds)
 
         for batch in batches:
-            ids, column = batch.columns
+            ids, hashes, column = batch.columns
             for a, z in spans(column, 1_000_000):
-                for doc_id, tokens in zip(ids[a:z].to_pylist(), token_sets(column[a:z].to_pylist()), strict=True):
+                for d, h, tokens in zip(ids[a:z].to_pylist(), hashes[a:z].to_pylist(), token_sets(column[a:z].to_pylist()), strict=True):
                     n = len(tokens)
                     if not n:
-                        rows.append((doc_id, 0, None, no_set))
+                        rows.append((d, h, 0, None, no_set))
                     else:
                         key = set_key(tokens)
                         if key not in places:
                             places[key] = len(prefixes)
                             prefixes.append(tokens[: n - overlap(n) + first_matches(n)])
                             held += len(prefixes[-1])
-                        rows.append((doc_id, n, key, places[key]))
+                        rows.append((d, h, n, key, places[key]))
                     if held >= BLOCK_TOKENS or len(rows) >= BLOCK_SETS:
                         yield flush()
                         block += 1
@@ -186,7 +190,7 @@ def eliminate(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
             for where, n in counts:
                 cut = np.concatenate([[0], np.flatnonzero(np.diff(where[0])) + 1, [len(n)]])
                 for x, y in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True) if len(n) else ():
-                    for c, v in zip(out.values(), (1, 0, int(where[0, x]), None, None, None, None, where[1, x:y].astype("<u2").tobytes(), n[x:y].astype("<u4").tobytes()), strict=True):
+                    for c, v in zip(out.values(), (1, 0, int(where[0, x]), None, None, None, None, None, where[1, x:y].astype("<u2").tobytes(), n[x:y].astype("<u4").tobytes()), strict=True):
                         c.append(v)
             counts.clear()
             return batch_of(out, kinds)
@@ -203,18 +207,18 @@ def eliminate(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
                     if sum(len(n) for _, n in counts) > 500_000:
                         yield told()
                 now = bucket
-                some.append((batch.column(2)[i].as_py(), batch.column(7)[i].as_py(), batch.column(8)[i].as_py()))
+                some.append((batch.column(2)[i].as_py(), batch.column(8)[i].as_py(), batch.column(9)[i].as_py()))
         if some:
             close(some)
         yield told()
 
     def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """With the rows of a block together, counts first: which documents may have a link."""
-        out_kinds = {"doc_id": pa.int64(), "n": pa.int64(), "key": pa.binary(), "alive": pa.bool_()}
+        out_kinds = {"d": pa.int64(), "h": pa.int64(), "n": pa.int64(), "key": pa.binary(), "alive": pa.bool_()}
         now, counts = None, np.zeros(BLOCK_SETS + 1, dtype=np.int64)
         for batch in batches:
             out: dict[str, list] = {k: [] for k in out_kinds}
-            for kind, block, owner, doc_id, n, key, index, data in zip(*(batch.column(k).to_pylist() for k in (0, 2, 3, 4, 5, 6, 7, 8)), strict=True):
+            for kind, block, owner, d, h, n, key, index, data in zip(*(batch.column(k).to_pylist() for k in (0, 2, 3, 4, 5, 6, 7, 8, 9)), strict=True):
                 if block != now:
                     now = block
                     counts[:] = 0
@@ -222,21 +226,19 @@ def eliminate(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
                     counts[np.frombuffer(index, "<u2")] += np.frombuffer(data, "<u4")
                     continue
                 alive = n > 0 and counts[owner] >= first_matches(overlap(n))
-                for c, v in zip(out.values(), (doc_id, n, key, bool(alive)), strict=True):
+                for c, v in zip(out.values(), (d, h, n, key, bool(alive)), strict=True):
                     c.append(v)
             yield batch_of(out, out_kinds)
 
-    told = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    met = told.mapInArrow(scan, schema).repartition("bucket").sortWithinPartitions("bucket").mapInArrow(meet, schema)
-    judged = met.repartition("block").sortWithinPartitions("block", F.desc("kind")).mapInArrow(decide, "doc_id bigint, n bigint, key binary, alive boolean")
+    told = docs.select("d", "h", F.coalesce("text", F.lit("")).alias("text"))
+    met = told.mapInArrow(scan, schema).repartition(partitions, "bucket").sortWithinPartitions("bucket").mapInArrow(meet, schema)
+    judged = met.repartition(partitions, "block").sortWithinPartitions("block", F.desc("kind")).mapInArrow(decide, "d bigint, h bigint, n bigint, key binary, alive boolean")
     sets = materialise(judged, "sets-of-documents")
     return sets.drop("alive"), sets.where("alive").select("key").distinct()
 
 
-def shared_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """doc, n, ell, tokens (shared ones, rare first), prefix of the ``wanted(doc, key)`` sets that have enough shared tokens."""
-    spark = docs.sparkSession
-    buckets = bucket_count(spark)
+def shared_sets(docs: DataFrame, wanted: DataFrame, buckets: int, partitions: int) -> DataFrame:
+    """doc, n, ell, tokens (shared ones, rare first), prefix of the sets ``wanted(doc, d, h)``, found in ``docs(d, h, text)``, that have enough shared tokens."""
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -244,20 +246,19 @@ def shared_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         block, held = TaskContext.get().partitionId() << 32, 0
         kinds = {"block": pa.int64(), "doc": pa.int64(), "tokens": pa.binary()}
         for batch in batches:
-            ids, keys, column = batch.columns
+            ids, column = batch.columns
             for a, z in spans(column, 1_000_000):
                 out: dict[str, list] = {k: [] for k in kinds}
-                for doc, key, tokens in zip(ids[a:z].to_pylist(), keys[a:z].to_pylist(), token_sets(column[a:z].to_pylist()), strict=True):
-                    if set_key(tokens) == key:
-                        for c, v in zip(out.values(), (block, doc, tokens.tobytes()), strict=True):
-                            c.append(v)
-                        held += len(tokens)
-                        if held >= BLOCK_TOKENS:
-                            block, held = block + 1, 0
+                for doc, tokens in zip(ids[a:z].to_pylist(), token_sets(column[a:z].to_pylist()), strict=True):
+                    for c, v in zip(out.values(), (block, doc, tokens.tobytes()), strict=True):
+                        c.append(v)
+                    held += len(tokens)
+                    if held >= BLOCK_TOKENS:
+                        block, held = block + 1, 0
                 yield batch_of(out, kinds)
 
-    told = docs.where("text is not null").select(F.col("doc_id").cast("bigint").alias("doc"), "text")
-    found = told.join(wanted.hint("shuffle_hash"), "doc").select("doc", "key", "text")
+    may, _ = split_by_keys(docs.where("text is not null"), wanted, ["d", "h"])
+    found = may.join(wanted.hint("shuffle_hash"), ["d", "h"]).select("doc", "text")  # once for each row that repeats id and text
     sets = materialise(found.mapInArrow(extract, "block bigint, doc bigint, tokens binary").dropDuplicates(["doc"]), "sets")
 
     def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -348,11 +349,13 @@ def shared_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             yield batch_of(out, kinds)
 
     told = sets.select("block", "tokens").mapInArrow(tell, "bucket int, block bigint, tokens binary, times binary")
-    counted = told.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(count, "block bigint, tokens binary, times binary")
+    counted = told.repartition(partitions, "bucket").sortWithinPartitions("bucket").mapInArrow(count, "block bigint, tokens binary, times binary")
     counted = counted.select("block", F.lit(0).alias("kind"), F.lit(None).cast("bigint").alias("doc"), "tokens", "times")
     both = counted.unionByName(sets.select("block", F.lit(1).alias("kind"), "doc", "tokens", F.lit(None).cast("binary").alias("times")))
-    chosen = both.repartition("block").sortWithinPartitions("block", "kind").mapInArrow(choose, "doc bigint, n bigint, ell int, tokens binary, prefix array<bigint>")
-    return materialise(chosen, "shared-sets")
+    chosen = both.repartition(partitions, "block").sortWithinPartitions("block", "kind").mapInArrow(choose, "doc bigint, n bigint, ell int, tokens binary, prefix array<bigint>")
+    shared = materialise(chosen, "shared-sets")
+    discard(sets)
+    return shared
 
 
 def verify(pairs: DataFrame, shapes: bool = False) -> DataFrame:
@@ -437,7 +440,7 @@ def compare_within(shapes: DataFrame) -> DataFrame:
 
 
 def with_sets(pairs: DataFrame, sets: DataFrame, unique_x: bool = False) -> DataFrame:
-    """``pairs(x, y)`` with sizes and tokens of both; a set in many pairs is broadcast if it is small."""
+    """``pairs(x, y)`` with sizes and tokens of both."""
     total, told = pairs.count(), pairs
     for c in ("x", "y"):
         side = sets.select(F.col("doc").alias(c), F.col("n").alias(f"n{c}"), F.col("tokens").alias(f"t{c}"))
@@ -445,7 +448,7 @@ def with_sets(pairs: DataFrame, sets: DataFrame, unique_x: bool = False) -> Data
             pairs = pairs.join(side, c)
             continue
         side = side.join(told.groupBy(c).agg(F.count("*").alias("times")), c)
-        pairs = lookup_join(pairs, side, c, "times", total, F.octet_length(f"t{c}") <= BROADCAST_BYTES).drop("times")
+        pairs = lookup_join(pairs, side, c, "times", total, "inner").drop("times")
     return pairs
 
 
@@ -478,17 +481,22 @@ def group_sets(sets: DataFrame) -> DataFrame:
     about = sets.select("doc", "n", "ell").join(tried.select(F.col("x").alias("doc"), F.col("y").alias("pivot"), "common", "bits", "rest"), "doc", "left")
     about = about.join(groups.select(F.col("node").alias("doc"), F.col("component").alias("c")), "doc", "left").withColumn("c", F.coalesce("c", "doc"))
     about = materialise(about, "sets-in-groups")
+    discard(tokens, votes, taken, tried)
     pivots = materialise(about.select(F.col("doc").alias("pivot"), F.col("c").alias("c_pivot")).join(hot.withColumnRenamed("y", "pivot"), "pivot"), "pivot-groups")
-    shapes = lookup_join(about.where("pivot is not null"), pivots, "pivot", "times", first.count()).drop("times")
-    within = materialise(compare_within(materialise(shapes, "shapes")).distinct(), "links-within")
+    shapes = materialise(lookup_join(about.where("pivot is not null"), pivots, "pivot", "times", first.count()).drop("times"), "shapes")
+    within = materialise(compare_within(shapes).distinct(), "links-within")
     now = materialise(merged(about.select("doc", "n", "ell", "pivot", "c"), "c", within), "groups")
+    discard(shapes, pivots, about, first)
     rows = materialise(entries.select("token", "doc").join(now, "doc"), "entries-in-groups")
     mixed = rows.groupBy("token").agg(F.count("*").alias("times"), F.min("c").alias("c1"), F.max("c").alias("c2")).where("c1 <> c2").select("token", "times", "c1")
     mixed = materialise(mixed, "mixed-tokens")
     rows = materialise(lookup_join(rows, mixed, "token", "times", total).where("c1 is not null"), "mixed-entries")
-    side = lambda s, *more: rows.select("token", *(F.col(k).alias(f"{s}_{k}") for k in ("doc", "n", "ell", "pivot", "c", *more)))
+    # sets of sizes that may link are of the same size class or of neighbouring ones
+    size = F.floor(F.log("n") / F.log(F.lit(100 / PERCENT))).cast("int")
+    side = lambda s, *more: rows.select("token", size.alias("size"), *(F.col(k).alias(f"{s}_{k}") for k in ("doc", "n", "ell", "pivot", "c", *more)))
     x, y = side("x", "c1").where("x_c <> x_c1").drop("x_c1"), side("y", "c1")
-    met = x.join(y, "token").where(
+    x = x.withColumn("size", F.explode(F.array(F.col("size") - 1, F.col("size"), F.col("size") + 1)))
+    met = x.join(y, ["token", "size"]).where(
         (F.col("x_c") != F.col("y_c"))
         & ((F.col("y_c") == F.col("y_c1")) | (F.col("x_doc") < F.col("y_doc")))
         & (100 * F.least("x_n", "y_n") >= PERCENT * F.greatest("x_n", "y_n"))
@@ -504,18 +512,36 @@ def group_sets(sets: DataFrame) -> DataFrame:
     return merged(now.select("doc", "c"), "c", more)
 
 
+def grouped(docs: DataFrame) -> DataFrame:
+    """d, h, n, component (least id of the documents linked to it), keeper (d and h of the first of them) of each of ``docs(d, h, text)``; the last two are null for empty sets."""
+    size = docs.agg(F.sum(F.octet_length("text").cast("bigint"))).first()[0] or 0
+    buckets, partitions = bucket_count(docs.sparkSession, size)
+    all_sets, alive = eliminate(docs, buckets, partitions)
+    keyed_sets = all_sets.where("n > 0").groupBy("key").agg(F.min(F.struct("d", "h")).alias("least"), F.count("*").alias("times"))
+    # written, the numbers stay: every later use reads the same
+    classes = materialise(keyed_sets.withColumn("doc", F.monotonically_increasing_id()), "classes")
+    sets = shared_sets(docs, classes.join(alive, "key").select("doc", "least.d", "least.h"), buckets, partitions)
+    named = classes.join(group_sets(sets), "doc", "left").where("times > 1 or c is not null").select("key", "times", F.coalesce("c", "doc").alias("c"), "least")
+    named = materialise(named, "named-classes")
+    firsts = named.groupBy("c").agg(F.count("*").alias("classes"), F.min("least").alias("first"))
+    firsts = lookup_join(named.select("c", "key", "times"), firsts, "c", "classes", named.count(), "inner").where("times > 1 or classes > 1")
+    firsts = materialise(firsts.select("key", "times", "first"), "firsts-of-classes")
+    out = lookup_join(all_sets, firsts, "key", "times", all_sets.count())
+    keeper = F.when(F.col("n") > 0, F.coalesce("first", F.struct("d", "h")))
+    return out.select("d", "h", "n", keeper.alias("keeper")).withColumn("component", F.nullif("keeper.d", F.lit(NO_ID)))
+
+
 def link_documents(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id for every row of ``docs``; see the module's text."""
-    all_sets, alive = eliminate(docs)
-    classes = materialise(all_sets.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("doc"), F.count("*").alias("times")), "classes")
-    sets = shared_sets(docs, classes.join(alive, "key").select("doc", "key"))
-    named = classes.join(group_sets(sets), "doc", "left").select("key", "times", F.coalesce("c", "doc").alias("c"), "doc")
-    named = materialise(named.where("times > 1 or c <> doc").select("key", "times", "c"), "named-classes")
-    out = lookup_join(all_sets, named, "key", "times", all_sets.count())
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("c", "doc_id").alias("component_id"))
+    out = grouped(keyed(docs).select("d", "h", F.col("row.text").alias("text")))
+    doc_id = F.nullif("d", F.lit(NO_ID))
+    return out.select(doc_id.alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("component", doc_id).alias("component_id"))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """``docs`` with one document of each component: that with the smallest id; rows that repeat it stay."""
-    gone = link_documents(docs).where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone.hint("shuffle_hash"), docs["doc_id"].cast("bigint") == F.col("_gone"), "left_anti")
+    """``docs`` with one document of each component: that with the smallest id (and text hash, where texts share it); rows that repeat it stay."""
+    rows = keyed(docs)
+    out = grouped(rows.select("d", "h", F.col("row.text").alias("text")))
+    gone = materialise(out.where("keeper.d <> d or keeper.h <> h").select("d", "h").distinct(), "not-kept")
+    may, kept = split_by_keys(rows, gone, ["d", "h"])
+    return kept.unionByName(may.join(gone.hint("shuffle_hash"), ["d", "h"], "left_anti")).select("row.*")

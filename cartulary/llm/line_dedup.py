@@ -1,217 +1,172 @@
 """Line dedup by content-defined chunks of lines.
 
-A chunk ends after a line where the rolling hash over the hashes of the last
-``ROLL_LINES`` lines is a multiple of ``EVERY``; a line of ``LONG_LINE`` words is a
-chunk of its own.  Boundaries depend on nearby content alone, so inserted or
-removed lines shift no other chunk.  A chunk of several lines with words, or of
-``LEAST_WORDS`` words, that occurs again anywhere in the corpus is removed but for
-its first occurrence (smallest id, then place), after its bytes have been
-compared with that one's; neighbouring lines (up to ``EXTEND`` on each side) go too
-where they equal those around the first occurrence.
-
-A first scan counts chunk keys with partial aggregation.  A second one takes the
-texts of the chunks that may be repeated: a Bloom filter of fixed size over the
-repeated keys leaves most others out and decides nothing else: what it lets
-through in error is found single afterwards, and then serves the chunks beside it
-as neighbouring lines.  First occurrences come from a partial aggregation too; the
-few keys that hold more than a thousandth of all chunks are compared by
-broadcast, all others by shuffle.  Whole texts are shuffled once, to be
-rewritten.
-
-Defined results: a null text stays null and an empty one empty; rows that repeat
-an id and text are treated alike, as one document; a document that loses all its
-words is ``emptied``; a text without a repeated chunk is unchanged to the byte;
-an empty table gives no rows; other columns pass through.
+A chunk is a run of lines between two boundaries.  From each line onwards the
+first boundary, and from each line backwards the first one before, is where the
+lines in between hold ``LEAST_LINES`` lines and ``LEAST_WORDS`` words and the rolling
+hash over their line hashes is a multiple of ``EVERY``, or where they reach
+``MOST_WORDS`` words.  So a chunk depends on nothing but its own lines: whatever
+stands around a passage of ``MOST_WORDS`` words in whole lines, in both places the
+chunks inside it are the same.  A chunk that occurs again anywhere in the corpus
+is removed but for its first occurrence (smallest id, text hash, place): each
+line of the others goes, if its bytes equal those of the first one's line.  Such
+a line's like stands earlier and either stays or goes for a still earlier one,
+so every removed line stays once.  Paragraphs are often one long line; a line of
+``MOST_WORDS`` words is a chunk by itself, and what goes for such one-line chunks
+alone is reported apart (``n_single``).  Lines without words belong to the line
+before them.
+
+One scan gives chunk keys (128-bit rolling hashes); first occurrences come from
+a partial aggregation.  The lines to compare, not chunks or texts, are then
+fetched from the documents that hold first occurrences, joined to the lines
+that may go, and compared.  Documents without either pass through unshuffled.  No
+filter or size decides what is removed.
+
+Defined results: a null text stays null and an empty one empty; documents
+without an id come after all others; different texts under one id are different
+documents, rows that repeat id and text are one and are treated alike; a
+document that loses all its words is ``emptied``; a text without a repeated chunk
+is unchanged to the byte; texts of any length are whole; an empty table gives
+no rows; other columns, whatever their names, pass through.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, LongType, StringType, StructField, StructType
 
-from cartulary.llm.common import let, lookup_join, materialise
+from cartulary.llm.common import discard, fresh, keyed, lookup_join, materialise, split_by_keys
 from cartulary.llm.wordhash import spans
 
-ROLL_LINES, EVERY = 2, 3
-LONG_LINE, LEAST_LINES, LEAST_WORDS = 40, 2, 20
-EXTEND = 4
-#: Texts of first occurrences up to this size may be broadcast (at most HEAVY_SHARE of them).
-BROADCAST_BYTES = 16_384
-#: Up to so many documents' chunks that the filter let through in error are broadcast.
-BROADCAST_ROWS = 1000
-
-#: Bits of the Bloom filter: 4 MB whatever the corpus.
-BLOOM_BITS = 1 << 25
-
-MASK = (1 << 64) - 1
-
-
-def chunk_lines(lines: list[str]) -> list[tuple[int, int]]:
-    """(first, last) line numbers, the last exclusive, of the chunks."""
-    out, first, recent = [], 0, [0] * ROLL_LINES
-    for i, line in enumerate(lines):
-        long = line.count(" ") >= LONG_LINE - 1 and len(line.split()) >= LONG_LINE
-        if long and first < i:
-            out.append((first, i))
-            first = i
-        recent = [*recent[1:], xxhash.xxh3_64_intdigest(line)]
-        rolled = 0
-        for h in recent:
-            rolled = (rolled * 0x9E3779B97F4A7C15 + h) & MASK
-        if long or (rolled >> 20) % EVERY == 0:
-            out.append((first, i + 1))
-            first = i + 1
-    if first < len(lines):
-        out.append((first, len(lines)))
-    return out
+EVERY, LEAST_LINES, LEAST_WORDS, MOST_WORDS = 3, 2, 20, 40
 
+MASK = (1 << 128) - 1
+#: An odd multiplier of the rolling hash.
+ROLL = 0x9E3779B97F4A7C15F39CC0605CEDC835
+#: Space, tab, line feed, vertical tab, form feed, carriage return: what is no word.
+BLANK = " \t\n\x0b\x0c\r"
+HAS_WORD = r"[^\x20\x09-\x0D]"
 
-def countable(lines: list[str]) -> bool:
-    """Whether a repeated chunk of these lines may be removed."""
-    words = [len(x.split()) for x in lines]
-    return sum(w > 0 for w in words) >= LEAST_LINES or sum(words) >= LEAST_WORDS
+REPORT = StructType([StructField("n_lines", LongType()), StructField("n_removed", LongType()), StructField("n_single", LongType()), StructField("emptied", BooleanType())])
 
 
-def digest(lines: list[str]) -> bytes:
-    return hashlib.blake2b("\n".join(lines).encode(), digest_size=16).digest()
+def chunk_lines(lines: list[bytes]) -> dict[tuple[int, int], int]:
+    """(first, last) to key of the chunks of lines that have words each."""
+    words = [len(x.split()) for x in lines]
+    hashes = [xxhash.xxh3_128_intdigest(x) for x in lines]
+    out: dict[tuple[int, int], int] = {}
+    for i in range(len(lines)):
+        total, rolled = 0, 0
+        for j in range(i, len(lines)):
+            total += words[j]
+            rolled = (rolled * ROLL + hashes[j]) & MASK
+            if total >= MOST_WORDS or (total >= LEAST_WORDS and j - i + 1 >= LEAST_LINES and (rolled >> 40) % EVERY == 0):
+                out[i, j] = rolled
+                break
+        total, rolled, power = 0, 0, 1
+        for j in range(i, -1, -1):
+            total += words[j]
+            rolled = (rolled + hashes[j] * power) & MASK
+            power = power * ROLL & MASK
+            if total >= MOST_WORDS or (total >= LEAST_WORDS and i - j + 1 >= LEAST_LINES and (rolled >> 40) % EVERY == 0):
+                out[j, i] = rolled
+                break
+    return out
 
 
 def chunk_keys(docs: DataFrame) -> DataFrame:
-    """doc_id, chunk (its number in the text), key (128-bit digest of its bytes) of the chunks that may be removed."""
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, column = batch.columns
-            for a, z in spans(column):
-                out: list[list] = [[], [], []]
-                for doc_id, text in zip(ids[a:z].to_pylist(), column[a:z].to_pylist(), strict=True):
-                    lines = text.split("\n")
-                    for k, (x, y) in enumerate(chunk_lines(lines)):
-                        if countable(lines[x:y]):
-                            out[0].append(doc_id)
-                            out[1].append(k)
-                            out[2].append(digest(lines[x:y]))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int64(), pa.binary()), strict=True)], names=["doc_id", "chunk", "key"])
-
-    return docs.mapInArrow(scan, "doc_id bigint, chunk bigint, key binary")
-
-
-def bloom_filter(keys: DataFrame) -> bytes:
-    """The filter over ``keys(key)``: two bits a key, put together by partial aggregation; at most BLOOM_BITS / 64 rows reach the driver."""
-    places = F.array(*(F.conv(F.hex(F.substring("key", k, 4)), 16, 10).cast("bigint").bitwiseAND(BLOOM_BITS - 1) for k in (1, 5)))
-    bits = keys.select(F.explode(places).alias("p")).select(F.shiftright("p", 6).alias("w"), F.expr("shiftleft(1L, cast(p & 63 as int))").alias("b"))
-    words = bits.groupBy("w").agg(F.bit_or("b").alias("b")).toPandas()
-    out = np.zeros(BLOOM_BITS // 64, dtype="<i8")
-    out[words["w"].to_numpy(np.int64)] = words["b"].to_numpy(np.int64)
-    return out.tobytes()
-
-
-def fetch_chunks(docs: DataFrame, bloom: bytes) -> DataFrame:
-    """The chunks that the filter lets through: doc_id, chunk, key, the lines first to last (exclusive), text, and the lines around."""
-    kind = "doc_id bigint, chunk bigint, key binary, first int, last int, before array<string>, text string, after array<string>"
-    mask = BLOOM_BITS - 1
+    """d, h, first, last (numbers of lines with words), key of every chunk of ``docs(d, h, text)``."""
+    kinds = {"d": pa.int64(), "h": pa.int64(), "first": pa.int32(), "last": pa.int32(), "key": pa.binary()}
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        types = (pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.list_(pa.string()), pa.string(), pa.list_(pa.string()))
         for batch in batches:
-            ids, column = batch.columns
+            d, h, column = batch.columns
             for a, z in spans(column):
-                out: list[list] = [[] for _ in types]
-                for doc_id, text in zip(ids[a:z].to_pylist(), column[a:z].to_pylist(), strict=True):
-                    lines = text.split("\n")
-                    found, taken = [], bytearray(len(lines))
-                    for k, (x, y) in enumerate(chunk_lines(lines)):
-                        if countable(lines[x:y]):
-                            key = digest(lines[x:y])
-                            p, q = int.from_bytes(key[:4], "big") & mask, int.from_bytes(key[4:8], "big") & mask
-                            if bloom[p >> 3] >> (p & 7) & bloom[q >> 3] >> (q & 7) & 1:
-                                found.append((k, key, x, y))
-                                taken[x:y] = b"\1" * (y - x)
-                    for k, key, x, y in found:  # neighbours that may be repeated themselves are in their own rows; see with_neighbours
-                        i = next((i for i in range(x, max(0, x - EXTEND), -1) if taken[i - 1]), max(0, x - EXTEND))
-                        j = next((j for j in range(y, min(len(lines), y + EXTEND)) if taken[j]), min(len(lines), y + EXTEND))
-                        row = (doc_id, k, key, x, y, lines[i:x][::-1], "\n".join(lines[x:y]), lines[y:j])
-                        for c, v in zip(out, row, strict=True):
-                            c.append(v)
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], names=[k.split()[0] for k in kind.split(", ")])
-
-    return docs.mapInArrow(scan, kind)
-
-
-def common_start(a: Column, b: Column) -> Column:
-    """How many of the first elements of two arrays are equal."""
-    same = F.zip_with(a, b, lambda x, y: F.coalesce(x == y, F.lit(False)))
-    start = F.array_position(same, False)
-    return F.when(start > 0, start - 1).otherwise(F.size(same)).cast("int")
-
-
-def with_neighbours(texts: DataFrame) -> DataFrame:
-    """``texts`` whose ``before`` and ``after`` run on over chunks that occur once, which the filter let through in error."""
-    at = F.struct("doc_id", "chunk")
-    once = texts.groupBy("key").agg(F.min(at).alias("a"), F.max(at).alias("z")).where("a = z").select("key")
-    edge = lambda lines: F.slice(lines, 1, EXTEND)
-    lines = F.split("text", "\n", -1)
-    pieces = texts.join(once, "key").select(
-        "doc_id",
-        F.struct(
-            "first", "last",
-            edge(F.concat(F.reverse(lines), "before")).alias("up"), (F.col("first") - F.size("before")).alias("top"),
-            edge(F.concat(lines, "after")).alias("down"), (F.col("last") + F.size("after")).alias("bottom"),
-        ).alias("piece"),
-    )
-    pieces = materialise(pieces.groupBy("doc_id").agg(F.array_sort(F.collect_set("piece")).alias("pieces")), "chunks-found-once")
-    pieces = F.broadcast(pieces) if pieces.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else pieces.hint("shuffle_hash")
-
-    def run_on(lines: str, place: Column, pieces: Column, meets: str, more: str, ends: str) -> Column:
-        """The lines and those of each piece that begins where they end, up to EXTEND."""
-        start = F.struct(F.col(lines).alias("lines"), place.cast("int").alias("place"))
-        step = lambda s, p: F.when(
-            (F.size(s["lines"]) < EXTEND) & (p[meets] == s["place"]), F.struct(F.concat(s["lines"], p[more]).alias("lines"), p[ends].cast("int").alias("place"))
-        ).otherwise(s)
-        return F.aggregate(pieces, start, step, lambda s: edge(s["lines"]))
-
-    before = run_on("before", F.col("first") - F.size("before"), F.reverse("pieces"), "last", "up", "top")
-    after = run_on("after", F.col("last") + F.size("after"), F.col("pieces"), "first", "down", "bottom")
-    joined = texts.join(pieces, "doc_id", "left")
-    told = lambda c, full: F.when(F.col("pieces").isNull(), F.col(c)).otherwise(full).alias(c)
-    return joined.select("doc_id", "chunk", "key", "first", "last", told("before", before), "text", told("after", after))
-
-
-def repeated_chunks(docs: DataFrame) -> DataFrame:
-    """doc_id, cuts array<struct<first, last>>: the lines to remove from each document, equal byte for byte to a first occurrence."""
-    told = docs.where("text is not null and doc_id is not null").select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    counts = chunk_keys(told).distinct().groupBy("key").agg(F.count("*").alias("n"))
-    bloom = bloom_filter(counts.where("n > 1").select("key"))
-    texts = with_neighbours(materialise(fetch_chunks(told, bloom), "chunk-texts"))
-    at = F.struct("doc_id", "chunk")
-    firsts = texts.groupBy("key").agg(F.count("*").alias("n"), F.min(at).alias("keeper"), F.min_by(F.struct("text", "before", "after"), at).alias("one")).where("n > 1")
-    firsts = materialise(firsts, "chunk-firsts")
-    size = F.octet_length("one.text") + F.octet_length(F.array_join("one.before", "")) + F.octet_length(F.array_join("one.after", ""))
-    same = lookup_join(texts, firsts, "key", "n", texts.count(), size <= BROADCAST_BYTES).where((F.col("text") == F.col("one.text")) & (at != F.col("keeper")))
-    cut = F.struct((F.col("first") - common_start(F.col("before"), F.col("one.before"))).alias("first"), (F.col("last") + common_start(F.col("after"), F.col("one.after"))).alias("last"))
-    return same.groupBy("doc_id").agg(F.collect_set(cut).alias("cuts"))
+                out: list[list] = [[] for _ in kinds]
+                for one, two, text in zip(d[a:z].to_pylist(), h[a:z].to_pylist(), column[a:z].to_pylist(), strict=True):
+                    found = chunk_lines([x for x in text.encode("utf-8", "surrogatepass").split(b"\n") if x.strip()])
+                    out[0] += [one] * len(found)
+                    out[1] += [two] * len(found)
+                    out[2] += [i for i, _ in found]
+                    out[3] += [j for _, j in found]
+                    out[4] += [k.to_bytes(16, "big") for k in found.values()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds.values(), strict=True)], names=list(kinds))
+
+    return docs.select("d", "h", "text").mapInArrow(scan, "d bigint, h bigint, first int, last int, key binary")
+
+
+def lines_with_words(text: Column) -> Column:
+    return F.filter(F.split(text, "\n", -1), lambda x: x.rlike(HAS_WORD))
+
+
+def repeated_lines(docs: DataFrame) -> DataFrame:
+    """d, h, u, single, k: the lines of ``docs(d, h, text)``, counting those with words, that are in later occurrences, and the place (d, h, u) of the first one's line."""
+    chunks = materialise(chunk_keys(docs), "chunks")
+    at = F.struct("d", "h", "first")
+    keys = chunks.groupBy("key").agg(F.count("*").alias("n"), F.min(at).alias("keeper"), F.max(at).alias("latest")).where("keeper < latest").drop("latest")
+    keys = materialise(keys, "repeated-chunks")
+    later = lookup_join(chunks, keys, "key", "n", chunks.count(), "inner").where(at != F.col("keeper"))
+    each = later.select("d", "h", "keeper", F.col("first").alias("f"), (F.col("first") == F.col("last")).alias("single"), F.explode(F.sequence("first", "last")).alias("u"))
+    first = F.struct(F.col("keeper.d").alias("d"), F.col("keeper.h").alias("h"), (F.col("keeper.first") + F.col("u") - F.col("f")).alias("u"))
+    lines = materialise(each.groupBy("d", "h", "u").agg(F.min(first).alias("k"), F.bool_and("single").alias("single")), "repeated-lines")
+    discard(chunks, keys)
+    return lines
+
+
+def with_first_lines(docs: DataFrame, lines: DataFrame) -> DataFrame:
+    """d, h, cuts array<struct<u, single, line>>: ``lines`` by document, with the bytes of the first occurrence's line."""
+    wanted = lines.groupBy("k").agg(F.count("*").alias("n"))
+    holders, _ = split_by_keys(docs, lines.select("k.d", "k.h"), ["d", "h"])
+    known = holders.select("d", "h", F.posexplode(lines_with_words(F.col("text"))).alias("u", "line")).select(F.struct("d", "h", "u").alias("k"), "line")
+    first_lines = materialise(known.join(wanted, "k").groupBy("k").agg(F.first("line").alias("line"), F.first("n").alias("n")), "first-lines")
+    joined = lookup_join(lines, first_lines, "k", "n", lines.count(), "inner")
+    return joined.groupBy("d", "h").agg(F.collect_list(F.struct("u", "single", "line")).alias("cuts"))
+
+
+@F.arrow_udf(StructType([StructField("text", StringType()), StructField("report", REPORT)]))
+def without_lines(texts: pa.Array, cuts: pa.Array) -> pa.Array:
+    """The texts less the lines of ``cuts`` that have the same bytes, with the blank lines after each."""
+    kept, reports = [], []
+    for text, some in zip(texts, cuts, strict=True):
+        if not some.is_valid:
+            kept.append(None)
+            reports.append(None)
+            continue
+        lines = text.as_py().split("\n")
+        first_lines = {c["u"]: c for c in some.as_py()}
+        out, removed, single, u, gone, left = [], 0, 0, -1, None, False
+        for line in lines:
+            if line.strip(BLANK):
+                u += 1
+                c = first_lines.get(u)
+                gone = c if c is not None and c["line"] == line else None
+                left |= gone is None
+            if gone is None:
+                out.append(line)
+            else:
+                removed += 1
+                single += gone["single"]
+        kept.append("\n".join(out))
+        reports.append({"n_lines": len(lines), "n_removed": removed, "n_single": single, "emptied": not left})
+    kind = pa.struct([("n_lines", pa.int64()), ("n_removed", pa.int64()), ("n_single", pa.int64()), ("emptied", pa.bool_())])
+    return pa.StructArray.from_arrays([pa.array(kept, pa.string()), pa.array(reports, kind)], names=["text", "report"])
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
-    """``docs`` with repeated chunks cut from ``text``, and _n_lines, _n_removed, _emptied."""
-    cuts = repeated_chunks(docs).select(F.col("doc_id").alias("_id"), F.col("cuts").alias("_cuts"))
-    joined = docs.select(F.struct("*").alias("_row"), F.col("doc_id").cast("bigint").alias("_id")).join(cuts.hint("shuffle_hash"), "_id", "left")
-    lines = F.split(F.col("_row")["text"], "\n", -1)
-    n_lines = F.coalesce(F.length("_row.text") - F.length(F.replace(F.col("_row.text"), F.lit("\n"), F.lit(""))) + 1, F.lit(0)).cast("bigint")
-    told = joined.select("_row", n_lines.alias("_n_lines"), F.when(F.col("_cuts").isNotNull(), let(F.struct(lines.alias("l"), F.col("_cuts").alias("c")), keep_lines)).alias("_kept"))
-    text = F.when(F.col("_kept").isNull(), F.col("_row.text")).otherwise(F.array_join("_kept", "\n"))
-    removed = F.when(F.col("_kept").isNull(), 0).otherwise(F.col("_n_lines") - F.size("_kept")).cast("bigint")
-    columns = [text.alias("text") if c == "text" else F.col("_row")[c].alias(c) for c in docs.columns]
-    emptied = F.coalesce(F.col("_kept").isNotNull() & ~F.exists("_kept", lambda x: x.rlike("\\S")), F.lit(False))
-    return told.select(*columns, "_n_lines", removed.alias("_n_removed"), emptied.alias("_emptied"))
-
-
-def keep_lines(x: Column) -> Column:
-    """The lines of ``x(l, c)`` outside the cuts."""
-    return F.filter(x["l"], lambda line, i: ~F.exists(x["c"], lambda c: (i >= c["first"]) & (i < c["last"])))
+    """``docs`` with repeated chunks cut from ``text``, and a struct ``dedup`` (n_lines, n_removed, n_single, emptied; with underscores after its name where ``docs`` has such a column)."""
+    rows = keyed(docs).withColumn("text", F.col("row.text"))
+    told = rows.where("text is not null").select("d", "h", "text")
+    lines = repeated_lines(told)
+    may, plain = split_by_keys(rows, lines.select("d", "h"), ["d", "h"])
+    may = may.join(with_first_lines(told, lines).hint("shuffle_hash"), ["d", "h"], "left")
+    name = fresh(docs.columns, "dedup")
+    n_lines = F.coalesce(F.length("text") - F.length(F.replace(F.col("text"), F.lit("\n"), F.lit(""))) + 1, F.lit(0))
+    untouched = F.struct(n_lines.alias("n_lines"), F.lit(0).alias("n_removed"), F.lit(0).alias("n_single"), F.lit(False).alias("emptied")).cast(REPORT)
+    told = lambda text, report: [*(text.alias(c) if c == "text" else F.col("row")[c].alias(c) for c in docs.columns), report.alias(name)]
+    cut = may.select("row", "text", without_lines(F.when(F.col("cuts").isNotNull(), F.col("text")), "cuts").alias("new"))
+    cut = cut.select(*told(F.coalesce("new.text", "text"), F.coalesce("new.report", untouched)))
+    return plain.select(*told(F.col("text"), untouched)).unionByName(cut)

@@ -119,11 +119,12 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     return dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
         "doc_id",
-        F.col("_n_lines").alias("n_lines"),
-        F.col("_n_removed").alias("n_removed_lines"),
+        "dedup.n_lines",
+        F.col("dedup.n_removed").alias("n_removed_lines"),
+        F.col("dedup.n_single").alias("n_single_lines"),
         F.length("text").cast("bigint").alias("kept_chars"),
         F.sha2("text", 256).alias("kept_sha256"),
-        F.col("_emptied").alias("emptied"),
+        "dedup.emptied",
     )
 
 

@@ -1,17 +1,19 @@
 """WARC archives in Zstandard: a dictionary in the leading skippable frame, one frame a record.
 
-Writing: each partition becomes one archive file.  Its frames are rows of
-Spark's text writer, whose line separator is an empty skippable frame (all
-ASCII, valid Zstandard), so plain Spark writes the archives wherever Spark can
-write.  Payloads equal to that of a page with a smaller id become revisit
-records.  Reading: each archive is read whole by Spark's binary source (archives
-are as large as the partitions written, so bounded by the split size), its
-frames are walked by their block headers, one is decoded at a time, and every
-header, length and digest is checked.
-
-Defined results: a null html is an empty payload; null ids are kept; pages that
-share the smallest id of a payload are all responses; a page of any size is one
-record; control characters in an address are percent-encoded, a null address
+Writing: bundles of frames, of about ``BUNDLE_BYTES``, are rows of Spark's text
+writer, whose line separator is an empty skippable frame (all ASCII, valid
+Zstandard), so plain Spark writes the archives wherever Spark can write.  After
+``BUNDLES`` of them a partition goes on in a new archive, so an archive stays at
+about 64 MB however large the partitions are; each begins with the dictionary.
+Payloads equal to that of a page with a smaller id become revisit records; pages
+that surely aren't such are not shuffled.  Reading: each archive is read whole
+by Spark's binary source, its frames are walked by their block headers, one is
+decoded at a time, and every header, length and digest is checked.
+
+Defined results: a null html is an empty payload; null ids are kept, as
+responses; several payloads under one id are several pages; pages that share
+the smallest id of a payload are all responses; a page of any size is one record
+(an archive holds at least one); control characters in an address are percent-encoded, a null address
 has no Target-URI; an empty table gives an archive folder without records;
 other columns are not read.
 """
@@ -26,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartulary.llm.common import lookup_join, materialise
+from cartulary.llm.common import lookup_join, materialise, split_by_keys
 from cartulary.llm.wordhash import spans
 
 #: Fixed values of the Zstandard format and of its use for WARC.
@@ -37,6 +39,9 @@ EMPTY_FRAME = "P*M\x18\x00\x00\x00\x00"
 #: The dictionary is trained on at most so many pages, of at most so many characters each; it changes sizes, never contents.
 SAMPLE_PAGES, SAMPLE_CHARS, DICTIONARY_BYTES, LEVEL = 256, 8192, 16384, 3
 
+#: Bytes of frames in a row of the writer, and rows of an archive.
+BUNDLE_BYTES, BUNDLES = 1 << 20, 64
+
 RECORDS = "page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint, url string, payload binary"
 
 
@@ -60,15 +65,14 @@ def train_dictionary(pages: DataFrame) -> bytes:
 
 def mark_revisits(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     """page_id, url, html, refers_to: the smallest page with an equal payload of ``least_bytes`` or more, null for that page itself."""
-    told = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"))
-    keys = materialise(
-        told.select("page_id", F.unhex(F.sha2("html", 256)).alias("key"), F.octet_length("html").alias("size")).where(F.col("size") >= least_bytes).drop("size"),
-        "payload-keys",
-    )
+    told = pages.select(F.col("page_id").cast("bigint").alias("page_id"), "url", F.coalesce("html", F.lit("")).alias("html")).withColumn("key", F.unhex(F.sha2("html", 256)))
+    keys = materialise(told.where(F.octet_length("html") >= least_bytes).select("page_id", "key"), "payload-keys")
     groups = materialise(keys.groupBy("key").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1"), "payload-groups")
-    again = lookup_join(keys, groups, "key", "n", keys.count()).where("first is not null and page_id <> first")
-    again = again.select("page_id", F.col("first").alias("refers_to")).distinct()
-    return told.join(again.hint("shuffle_hash"), "page_id", "left")
+    again = lookup_join(keys, groups, "key", "n", keys.count(), "inner").where("page_id <> first")
+    again = materialise(again.select("page_id", "key", F.col("first").alias("refers_to")).distinct(), "revisits")
+    may, first = split_by_keys(told, again, ["page_id", "key"])
+    columns = ("page_id", "url", "html", "refers_to")
+    return first.withColumn("refers_to", F.lit(None).cast("bigint")).select(*columns).unionByName(may.join(again.hint("shuffle_hash"), ["page_id", "key"], "left").select(*columns))
 
 
 def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None, date: str) -> bytes:
@@ -93,27 +97,36 @@ def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int
 
 
 def write_archives(pages: DataFrame, path: str, least_bytes: int = 0, date: str = "2024-01-01T00:00:00Z") -> None:
-    """Write an archive for each partition of ``pages(page_id, url, html)`` below ``path``."""
+    """Write archives of bounded size of ``pages(page_id, url, html)`` below ``path``."""
     trained = train_dictionary(pages)
 
-    def frames(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def frames_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
         dictionary = zstandard.ZstdCompressionDict(trained) if trained else None
         packer = zstandard.ZstdCompressor(level=LEVEL, dict_data=dictionary, write_content_size=True, write_checksum=True)
-        begun = False
+        head = DICTIONARY_MAGIC + len(trained).to_bytes(4, "little") + trained
+        bundles, frames, size = 0, [head], 0
+
+        def bundle() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([b"".join(frames)], pa.binary())], names=["frame"])
+
         for batch in batches:
             for a, z in spans(batch.column(2)):
-                out = [] if begun else [DICTIONARY_MAGIC + len(trained).to_bytes(4, "little") + trained]
-                begun = True
                 part = batch.slice(a, z - a)
                 for page_id, url, html, first in zip(*(c.to_pylist() for c in part.columns), strict=True):
-                    out.append(packer.compress(record(page_id, url, html, first, date)))
-                yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["frame"])
+                    frames.append(packer.compress(record(page_id, url, html, first, date)))
+                    size += len(frames[-1])
+                    if size >= BUNDLE_BYTES:
+                        yield bundle()
+                        bundles += 1
+                        frames, size = [head] if bundles % BUNDLES == 0 else [], 0
+        if size:
+            yield bundle()
 
     marked = mark_revisits(pages, least_bytes).select("page_id", "url", F.col("html").cast("binary"), "refers_to")
-    framed = marked.mapInArrow(frames, "frame binary")
-    framed.select(F.col("frame").cast("string").alias("value")).write.option("lineSep", EMPTY_FRAME).text(path)
+    bundled = marked.mapInArrow(frames_of, "frame binary").select(F.col("frame").cast("string").alias("value"))
+    bundled.write.option("lineSep", EMPTY_FRAME).option("maxRecordsPerFile", BUNDLES).text(path)
 
 
 def frame_end(data: memoryview, at: int) -> int:

@@ -18,8 +18,9 @@ def prose(seed: int, words: int, line: int = 12) -> str:
 def odd_docs(spark):
     """Nulls, empty and long texts, repeated rows, and extra columns whose names clash with working columns."""
     rows = [(1, None), (2, ""), (3, " \n\t "), (4, "one"), (5, prose(5, 40_000)), (6, prose(6, 200)), (6, prose(6, 200)), (7, prose(6, 200)), (None, prose(8, 60)), (9, "naïve café 中文 🙂 \x00 'quoted' don't")]
-    rows = [(i, t, 1, "x", [1], 2.0, "k", 3, "r") for i, t in rows]
-    return spark.createDataFrame(rows, "doc_id bigint, text string, n int, key string, tokens array<int>, score double, _row string, bucket int, block string")
+    more = "n int, key string, tokens array<int>, score double, _row string, bucket int, block string, row int, d string, h int, _m int, _gone string, _n_lines int, dedup string, cuts int, item_id int, k string, kept int, n_words string"
+    rows = [(i, t, 1, "x", [1], 2.0, "k", 3, "r", 1, "d", 2, 3, "g", 4, "e", 5, 6, "k", 7, "w") for i, t in rows]
+    return spark.createDataFrame(rows, f"doc_id bigint, text string, {more}")
 
 
 @pytest.fixture(scope="session")

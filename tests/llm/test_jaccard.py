@@ -2,6 +2,7 @@ import random
 
 import pytest
 
+from cartulary.llm import jaccard
 from cartulary.llm.jaccard import keep_one, link_documents
 from tests.llm.conftest import prose
 
@@ -57,3 +58,27 @@ def test_odd_documents(odd_docs, no_docs):
     assert link_documents(no_docs).count() == 0
     kept = keep_one(odd_docs)
     assert kept.columns == odd_docs.columns and sorted(r.doc_id for r in kept.where("doc_id is not null").collect()) == [1, 2, 3, 4, 5, 6, 6, 9]
+
+
+def test_one_id_under_several_texts(spark):
+    """Every row has the component of its own text, though classes share their least id."""
+    a, b, x = prose(1, 100), prose(2, 100), prose(3, 60)
+    rows = [(5, a), (5, b), (5, x), (7, edited(b, 1, 0.01)), (8, edited(a, 2, 0.01)), (9, edited(a, 3, 0.01)), (9, x), (9, x), (12, prose(4, 70))]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert sorted(map(tuple, link_documents(df).collect())) == brute(rows)
+    kept = sorted(map(tuple, keep_one(df).collect()))
+    assert kept == sorted([(5, a), (5, b), (5, x), (12, prose(4, 70))])
+
+
+def test_rows_without_id(spark):
+    a = prose(1, 100)
+    rows = [(None, a), (4, edited(a, 1, 0.01)), (None, prose(2, 90)), (None, prose(2, 90)), (None, edited(prose(2, 90), 1, 0.01)), (None, "")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = sorted(((r.doc_id, r.component_id) for r in link_documents(df).collect()), key=str)
+    assert got == sorted([(None, 4), (4, 4)] + [(None, None)] * 4, key=str)
+    assert len([r for r in keep_one(df).collect() if r.text]) in (2, 3)  # the pair's smaller text hash, which may be the repeated row
+
+
+def test_buckets_grow_with_the_texts(spark):
+    buckets, partitions = jaccard.bucket_count(spark, 100 << 40)
+    assert (100 << 40) / buckets <= jaccard.BUCKET_BYTES * 1.01 and buckets / partitions <= jaccard.BUCKETS * 1.01
