@@ -31,9 +31,11 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without chunks of lines that occur earlier in the corpus, less those that lose every word."""
-    out = dedup_lines(docs).where("not _emptied")
+    out = dedup_lines(docs)
+    report = out.columns[-1]
+    out = out.where(~F.col(report)["emptied"])
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_n_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
+        out = out.withColumn("n_chars", F.when(F.col(report)["n_removed"] > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)
 
 
