@@ -1,21 +1,28 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
-
-Test items are taken in blocks of bounded size, each against all documents.  One
-scan of the documents finds the runs of ``SEED_WORDS`` words that they share
-with the block and keeps the passages around them; the corpus counts of the
-block's runs then say which of an item are rare beside its others; passages that
-hold enough of an item's rare runs are aligned with it.  A block's index is bounded,
-so it travels with the tasks; nothing but passages is written and no key is
-shuffled, so a run that a third of all rows share does no harm.
+"""Benchmark decontamination: rare n-gram seeds join training passages to test items, Smith-Waterman scores them.
+
+1. One scan of the documents gives the runs of ``SEED_WORDS`` words (with their
+   places) that test items may hold: a bitmap of bounded size over the items'
+   runs travels with the tasks and leaves most others out; it decides nothing
+   else.  The size of the benchmark changes neither the number of scans nor what
+   a task or the driver holds.
+2. The corpus counts of the items' runs say which of an item are rare beside its
+   others: those are its seeds.  Runs are joined to seeds by shuffle; runs that
+   hold more than a thousandth of all rows are split.
+3. Seeds of one item that stand close together in a document make a candidate:
+   a window of the document and a band of diagonals.  Windows are cut from the
+   texts of candidate documents and aligned within their band, so a document of
+   any length costs memory for its windows only.
 
 Words are letters and digits of the lower-cased text.  An alignment scores +2 a
 match, -1 a mismatch or gap; a pair is reported if that reaches ``least`` of the
 score of a whole copy.
 
 Defined results: null or empty texts and items match nothing; an item of fewer
-words than a seed is one seed of its own; equal items are reported each;
-repeated rows of a document are reported once; an empty table gives no rows;
-other columns are not read.
+words than a seed is one seed of its own and matches texts of just those words;
+equal items are reported each, several texts under one item id as one, by the
+better; different texts under one document id are reported each, rows that
+repeat id and text once; a document without an id has a null one; an empty table
+gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -27,25 +34,29 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartulary.llm.common import materialise
-from cartulary.llm.wordhash import NOT_WORD, Words, mix, spans
+from cartulary.llm.alignment import align
+from cartulary.llm.common import NO_ID, discard, keyed, lookup_join, materialise, split_by_keys
+from cartulary.llm.wordhash import NOT_WORD, ROLL, Words, mix, spans
 
 SEED_WORDS = 3
 #: An item's seeds are its rare runs: all but those that occur more than RARE_TIMES as often as its median run does (or RARE_FLOOR).
 RARE_TIMES, RARE_FLOOR = 4, 8
-#: A passage is aligned if it holds so many of an item's seeds (one, if the item has no more).
+#: A window is aligned if it holds so many of an item's seeds (one, if the item has no more).
 SHARED_SEEDS = 2
-#: Words of items in a block; bounds the index that tasks hold to a few MB.
-BLOCK_WORDS = 200_000
-MATCH, MISMATCH, GAP = 2, -1, -1
+#: Bits of the map of the items' runs: 8 MB whatever the benchmark.
+MAP_BITS = 1 << 26
 LEAST_SCORE = 0.5
 
-PASSAGES = "doc_id bigint, first_word bigint, text string, runs array<bigint>"
-MATCHES = "doc_id bigint, item_id bigint, score double, matched_words bigint, item_words bigint, first_word bigint, last_word bigint"
+MATCHES = "d bigint, h bigint, item_id bigint, score double, matched_words bigint, item_words bigint, first_word bigint, last_word bigint"
+
+
+def slack(words: int) -> int:
+    """How far from the diagonals of its seeds an alignment of an item of ``words`` words may run: as far as any that is reported, for short items."""
+    return min(words, 64 + words // 8)
 
 
 def word_hashes(texts: list[str]) -> Words:
-    return Words([t.lower().encode() for t in texts], NOT_WORD)
+    return Words([t.lower().encode("utf-8", "surrogatepass") for t in texts], NOT_WORD)
 
 
 def runs_of(h: np.ndarray) -> np.ndarray:
@@ -53,146 +64,187 @@ def runs_of(h: np.ndarray) -> np.ndarray:
     n = min(SEED_WORDS, len(h))
     if not n:
         return h
-    from cartulary.llm.wordhash import ROLL
-
     return mix(sum(h[k : len(h) - n + 1 + k] * ROLL[k] for k in range(n)))
 
 
-def align(a: np.ndarray, b: np.ndarray) -> tuple[int, int, int, int]:
-    """(score, matches, first, last place in ``b``) of the best local alignment of word hashes ``a`` and ``b``."""
-    m = len(b)
-    steps = -GAP * np.arange(m + 1)
-    rows = np.zeros((len(a) + 1, m + 1), dtype=np.int32)
-    for i, w in enumerate(a):
-        row = np.zeros(m + 1, dtype=np.int64)
-        row[1:] = np.maximum(rows[i, :-1] + np.where(b == w, MATCH, MISMATCH), rows[i, 1:] + GAP)
-        np.maximum(row, 0, out=row)
-        rows[i + 1] = np.maximum.accumulate(row + steps) - steps
-    i, j = np.unravel_index(int(rows.argmax()), rows.shape)
-    score, last, matches = int(rows[i, j]), int(j) - 1, 0
-    while rows[i, j] > 0:
-        here, same = rows[i, j], a[i - 1] == b[j - 1]
-        if here == rows[i - 1, j - 1] + (MATCH if same else MISMATCH):
-            matches += bool(same)
-            i, j = i - 1, j - 1
-        elif here == rows[i - 1, j] + GAP:
-            i -= 1
-        else:
-            j -= 1
-    return score, matches, int(j), last
-
-
-def blocks(items: DataFrame) -> Iterator[list[tuple[int, str]]]:
-    """The test items in blocks of about ``BLOCK_WORDS`` words, by id."""
-    block, words = [], 0
-    for r in items.select("item_id", "text").where("text is not null").distinct().orderBy("item_id", "text").toLocalIterator():
-        block.append((r.item_id, r.text))
-        words += r.text.count(" ") + 1
-        if words >= BLOCK_WORDS:
-            yield block
-            block, words = [], 0
-    if block:
-        yield block
-
-
-def find_passages(docs: DataFrame, known: np.ndarray, reach: int) -> DataFrame:
-    """Passages of documents with runs of ``known`` (sorted), ``reach`` words to either side, and the runs in each."""
+def batch(kinds: dict[str, pa.DataType], rows: list[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) or [[]] * len(kinds)
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds.values(), strict=True)], names=list(kinds))
+
+
+def hashed_items(items: DataFrame) -> DataFrame:
+    """q (a number of its own), item_id, n, words (64-bit hashes), runs array<struct<run, first, last>> of the test items that have words."""
+    run = pa.struct([("run", pa.int64()), ("first", pa.int32()), ("last", pa.int32())])
+    kinds = {"q": pa.int64(), "item_id": pa.int64(), "n": pa.int32(), "words": pa.binary(), "runs": pa.list_(run)}
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for some in batches:
+            out = []
+            for q, item_id, text in zip(*(c.to_pylist() for c in some.columns), strict=True):
+                h = word_hashes([text]).hash
+                if len(h):
+                    places: dict[int, list[int]] = {}
+                    for i, r in enumerate(runs_of(h).view(np.int64).tolist()):
+                        places.setdefault(r, [i, i])[1] = i
+                    out.append((q, item_id, len(h), h.tobytes(), [{"run": r, "first": x, "last": y} for r, (x, y) in places.items()]))
+            yield batch(kinds, out)
+
+    told = items.where("text is not null").select(F.col("item_id").cast("bigint").alias("item_id"), "text").distinct().select(F.monotonically_increasing_id().alias("q"), "item_id", "text")
+    return materialise(told.mapInArrow(scan, "q bigint, item_id bigint, n int, words binary, runs array<struct<run: bigint, first: int, last: int>>"), "items")
+
+
+def run_map(runs: DataFrame) -> bytes:
+    """A bit for each hash of ``runs(run)``; at most MAP_BITS / 64 rows reach the driver."""
+    p = runs.select(F.col("run").bitwiseAND(MAP_BITS - 1).alias("p"))
+    words = p.groupBy(F.shiftright("p", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 as int))")).alias("b")).toPandas()
+    out = np.zeros(MAP_BITS // 64, dtype="<i8")
+    out[words["w"].to_numpy(np.int64)] = words["b"].to_numpy(np.int64)
+    return out.tobytes()
+
+
+def find_runs(docs: DataFrame, mapped: bytes) -> DataFrame:
+    """d, h, run, place of the runs of ``docs(d, h, text)`` that the map lets through."""
+    kinds = {"d": pa.int64(), "h": pa.int64(), "run": pa.int64(), "place": pa.int64()}
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, column = batch.columns
+        bits = np.frombuffer(mapped, np.uint8)
+        for some in batches:
+            d, h, column = (some.column(0).to_numpy(), some.column(1).to_numpy(), some.column(2))
             for a, z in spans(column):
-                out: list[list] = [[], [], [], []]
-                texts = column[a:z].to_pylist()
-                words = word_hashes(texts)
-                for n in {SEED_WORDS, 1, 2}:
+                words = word_hashes(column[a:z].to_pylist())
+                for n in range(1, SEED_WORDS + 1):
                     runs, at = words.grams(n)
                     if n < SEED_WORDS:  # only whole texts may be that short
-                        whole = np.flatnonzero(np.diff(words.bounds) == n)
-                        keep = np.isin(at, words.bounds[whole])
+                        keep = np.isin(at, words.bounds[np.flatnonzero(np.diff(words.bounds) == n)])
                         runs, at = runs[keep], at[keep]
-                    hit = known[np.minimum(np.searchsorted(known, runs), len(known) - 1)] == runs
+                    p = runs & np.uint64(MAP_BITS - 1)
+                    hit = (bits[p >> np.uint64(3)] >> (p & np.uint64(7)).astype(np.uint8)) & 1 > 0
                     runs, at = runs[hit], at[hit]
-                    if not len(at):
-                        continue
-                    text = words.text[at]
-                    split = np.flatnonzero((np.diff(text) != 0) | (np.diff(at) > 2 * reach)) + 1
-                    for some, places in zip(np.split(runs, split), np.split(at, split), strict=True):
-                        t = int(words.text[places[0]])
-                        first = max(int(words.bounds[t]), int(places[0]) - reach)
-                        last = min(int(words.bounds[t + 1]), int(places[-1]) + n + reach) - 1
-                        out[0].append(ids[a + t].as_py())
-                        out[1].append(first - int(words.bounds[t]))
-                        out[2].append(words.bytes[words.start[first] : words.end[last]].tobytes().decode())
-                        out[3].append(np.unique(some).view(np.int64).tolist())
-                if out[0]:
-                    kinds = (pa.int64(), pa.int64(), pa.string(), pa.list_(pa.int64()))
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names=["doc_id", "first_word", "text", "runs"])
-
-    told = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    return told.mapInArrow(scan, PASSAGES)
-
-
-def match_block(docs: DataFrame, block: list[tuple[int, str]], least: float) -> DataFrame | None:
-    item_words = []
-    all_words = word_hashes([t for _, t in block])
-    for k in range(len(block)):
-        item_words.append(all_words.hash[all_words.bounds[k] : all_words.bounds[k + 1]])
-    item_runs = [np.unique(runs_of(h)) for h in item_words]
-    known = np.unique(np.concatenate(item_runs)) if item_runs else np.zeros(0, dtype=np.uint64)
-    if not len(known):
-        return None
-    reach = max(len(h) for h in item_words) + 8
-    passages = materialise(find_passages(docs, known, reach).distinct(), "passages")
-    counts = {r.run: r.n for r in passages.select(F.explode("runs").alias("run")).groupBy("run").agg(F.count("*").alias("n")).collect()}  # no more than the block's runs
-    times = np.array([counts.get(int(x), 0) for x in known.view(np.int64)])
-
-    seeds, owner, total = [], [], []
-    for k, runs in enumerate(item_runs):
-        n = times[np.searchsorted(known, runs)]
-        rare = runs[n <= RARE_TIMES * max(np.median(n), RARE_FLOOR)] if len(runs) else runs
-        seeds.append(rare)
-        owner.append(np.full(len(rare), k))
-        total.append(len(rare))
-    seed, own = np.concatenate(seeds), np.concatenate(owner)
-    order = np.argsort(seed, kind="stable")
-    seed, own = seed[order], own[order]
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+                    t = words.text[at]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (d[a + t], h[a + t], runs.view(np.int64), at - words.bounds[t])], names=list(kinds))
+
+    return docs.mapInArrow(scan, "d bigint, h bigint, run bigint, place bigint")
+
+
+def rare_seeds(items: DataFrame, hits: DataFrame) -> DataFrame:
+    """run, times (rows of ``hits`` that have it), at array<struct<q, n, first, last, need>>: the items of which it is a seed."""
+    counts = hits.groupBy("run").agg(F.count("*").alias("times"))
+    runs = items.select("q", "n", F.inline("runs"))
+    held = runs.groupBy("run").agg(F.count("*").alias("items"))
+    told = runs.join(held, "run").join(counts, "run", "left").withColumn("times", F.coalesce("times", F.lit(0)))
+    cost = F.col("times") * F.col("items")  # pairs that the run would make
+    usual = told.groupBy("q").agg(F.median(cost).alias("usual"))
+    rare = told.join(usual, "q").where(cost <= RARE_TIMES * F.greatest("usual", F.lit(RARE_FLOOR)))
+    need = rare.groupBy("q").agg(F.least(F.count("*"), F.lit(SHARED_SEEDS)).cast("int").alias("need"))
+    return rare.join(need, "q").where("times > 0").groupBy("run").agg(F.first("times").alias("times"), F.collect_list(F.struct("q", "n", "first", "last", "need")).alias("at"))
+
+
+def find_windows(pairs: DataFrame) -> DataFrame:
+    """d, h, q, n, low, high of the bands of diagonals in which close seeds of ``pairs(d, h, q, n, need, run, place, first, last)`` lie.
+
+    A pair's places come in order; a cluster ends where none follows within n words, and one of
+    more than 3n words is cut, with 2n words in common, which no reported alignment exceeds.
+    """
+    kinds = {"d": pa.int64(), "h": pa.int64(), "q": pa.int64(), "n": pa.int32(), "low": pa.int64(), "high": pa.int64()}
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held, out = None, [], []  # held: run, place, first, last
+
+        def close() -> None:
+            d, h, q, n, need = now
+            if len({r[0] for r in held}) >= need:
+                out.append((d, h, q, n, min(p - last for _, p, _, last in held), max(p - first for _, p, first, _ in held)))
+
+        for some in batches:
+            for d, h, q, n, need, *hit in zip(*(c.to_pylist() for c in some.columns), strict=True):
+                if now != (d, h, q, n, need):
+                    if held:
+                        close()
+                    now, held = (d, h, q, n, need), []
+                elif hit[1] - held[-1][1] > n + SEED_WORDS:
+                    close()
+                    held = []
+                elif hit[1] - held[0][1] > 3 * n:
+                    close()
+                    held = [x for x in held if x[1] > held[-1][1] - 2 * n]
+                held.append(hit)
+            yield batch(kinds, out)
+            out.clear()
+        if held:
+            close()
+        yield batch(kinds, out)
+
+    told = pairs.select("d", "h", "q", "n", "need", "run", "place", "first", "last").distinct()
+    return told.repartition("d", "h", "q").sortWithinPartitions("d", "h", "q", "place", "run").mapInArrow(scan, "d bigint, h bigint, q bigint, n int, low bigint, high bigint")
+
+
+def cut_windows(docs: DataFrame, windows: DataFrame) -> DataFrame:
+    """``windows`` with first and part: their first word's place in the document and their words' hashes."""
+    kinds = {"d": pa.int64(), "h": pa.int64(), "q": pa.int64(), "low": pa.int64(), "high": pa.int64(), "first": pa.int64(), "part": pa.binary()}
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for some in batches:
+            for d, h, text, at in zip(*(c.to_pylist() for c in some.columns), strict=True):
+                words, out, size = word_hashes([text]).hash, [], 0
+                for w in at:
+                    low, high = w["low"] - slack(w["n"]), w["high"] + slack(w["n"])
+                    first = max(0, low)
+                    part = words[first : max(first, w["n"] + high)]
+                    out.append((d, h, w["q"], low - first, high - first, first, part.tobytes()))
+                    size += len(part)
+                    if size > 500_000:
+                        yield batch(kinds, out)
+                        out, size = [], 0
+                yield batch(kinds, out)
+
+    by_doc = windows.groupBy("d", "h").agg(F.collect_list(F.struct("q", "n", "low", "high")).alias("at"))
+    may, _ = split_by_keys(docs, windows, ["d", "h"])
+    return may.join(by_doc.hint("shuffle_hash"), ["d", "h"]).select("d", "h", "text", "at").mapInArrow(scan, "d bigint, h bigint, q bigint, low bigint, high bigint, first bigint, part binary")
+
+
+def score_windows(parts: DataFrame, least: float) -> DataFrame:
+    """The alignments of ``parts(d, h, item_id, n, words, low, high, first, part)`` that reach ``least`` (columns of ``MATCHES``)."""
+    kinds = {"d": pa.int64(), "h": pa.int64(), "item_id": pa.int64(), "score": pa.float64(), "matched_words": pa.int64(), "item_words": pa.int64(), "first_word": pa.int64(), "last_word": pa.int64()}
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for some in batches:
             out = []
-            for doc_id, first_word, text, runs in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                runs = np.array(runs, dtype=np.int64).view(np.uint64)
-                lo, hi = np.searchsorted(seed, runs, side="left"), np.searchsorted(seed, runs, side="right")
-                found = np.concatenate([own[x:y] for x, y in zip(lo, hi, strict=True)]) if len(runs) else own[:0]
-                h = None
-                for k, n in zip(*np.unique(found, return_counts=True), strict=True):
-                    if n < min(SHARED_SEEDS, total[k]):
-                        continue
-                    h = word_hashes([text]).hash if h is None else h
-                    score, same, first, last = align(item_words[k], h)
-                    whole = MATCH * len(item_words[k])
-                    if score >= least * whole:
-                        out.append((doc_id, block[k][0], score / whole, same, len(item_words[k]), first_word + first, first_word + last))
-            kinds = (pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64(), pa.int64(), pa.int64())
-            columns = list(zip(*out, strict=True)) or [[]] * len(kinds)
-            names = [x.split()[0] for x in MATCHES.split(", ")]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=names)
-
-    return passages.mapInArrow(compare, MATCHES)
+            for d, h, item_id, n, words, low, high, first, part in zip(*(c.to_pylist() for c in some.columns), strict=True):
+                score, same, x, y = align(np.frombuffer(words, np.uint64), np.frombuffer(part, np.uint64), low, high)
+                if score >= least * 2 * n:
+                    out.append((d, h, item_id, score / (2 * n), same, n, first + x, first + y))
+            yield batch(kinds, out)
+
+    return parts.select("d", "h", "item_id", "n", "words", "low", "high", "first", "part").mapInArrow(scan, MATCHES)
+
+
+def matches(docs: DataFrame, items: DataFrame, least: float) -> DataFrame:
+    """The best alignment of each of ``docs(d, h, text)`` and test item that reaches ``least`` (columns of ``MATCHES``)."""
+    told = docs.where("text is not null")
+    known = hashed_items(items)
+    hits = materialise(find_runs(told, run_map(known.select(F.explode("runs.run").alias("run")))), "runs")
+    seeds = materialise(rare_seeds(known, hits), "seeds")
+    pairs = lookup_join(hits, seeds, "run", "times", hits.count(), "inner").select("d", "h", "run", "place", F.inline("at"))
+    windows = materialise(find_windows(pairs), "windows")
+    discard(hits, seeds)
+    parts = cut_windows(told, windows)
+    wanted = known.join(windows.groupBy("q").agg(F.count("*").alias("times")), "q").select("q", "item_id", "n", "words", "times")
+    found = score_windows(lookup_join(parts, wanted, "q", "times", windows.count(), "inner"), least)
+    columns = [c.split()[0] for c in MATCHES.split(", ")][3:]
+    best = F.max_by(F.struct(*columns), F.struct(F.col("score"), -F.col("first_word"))).alias("b")
+    return found.groupBy("d", "h", "item_id").agg(best).select("d", "h", "item_id", "b.*")
 
 
 def find_contamination(docs: DataFrame, items: DataFrame, least: float = LEAST_SCORE) -> DataFrame:
-    """The best alignment of each document and test item that reaches ``least`` (columns of ``MATCHES``)."""
-    found = docs.sparkSession.createDataFrame([], MATCHES)
-    for block in blocks(items):
-        part = match_block(docs, block, least)
-        found = found.unionByName(part) if part is not None else found
-    best = F.max_by(F.struct("score", "matched_words", "item_words", "first_word", "last_word"), F.struct(F.col("score"), -F.col("first_word"))).alias("b")
-    return found.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "b.*")
+    """doc_id, item_id, score, matched_words, item_words, first_word, last_word: the best alignment of each document and test item that reaches ``least``."""
+    found = matches(keyed(docs).select("d", "h", F.col("row.text").alias("text")), items, least)
+    return found.select(F.nullif("d", F.lit(NO_ID)).alias("doc_id"), *found.columns[2:])
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, least: float = LEAST_SCORE) -> DataFrame:
-    """The documents that match no test item; rows with a null id are kept."""
-    bad = find_contamination(docs, items, least).select("doc_id").distinct()
-    return docs.join(bad.hint("shuffle_hash"), "doc_id", "left_anti")
+    """The documents that match no test item."""
+    rows = keyed(docs)
+    found = matches(rows.select("d", "h", F.col("row.text").alias("text")), items, least)
+    bad = materialise(found.select("d", "h").distinct(), "contaminated")
+    may, kept = split_by_keys(rows, bad, ["d", "h"])
+    return kept.unionByName(may.join(bad.hint("shuffle_hash"), ["d", "h"], "left_anti")).select("row.*")
