@@ -22,7 +22,9 @@ one by one, each distinct one once a worker.  The models are bounded: the
 trigram table by the alphabet, the lexicon by ``LEXICON_SIZE``.
 
 Defined results: null and empty texts get the base score; texts of any length
-are read whole; repeated rows are scored each; without labels of both kinds the
+are read whole; repeated rows, and several texts under one id, are scored each; a
+row without an id is scored and never held out; labels without an id or without
+a value are passed over; without labels of both kinds the
 lexicon is empty and every text gets the base score; an empty table gives no
 rows; other columns are not read.
 """
@@ -40,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartulary.llm.common import materialise
-from cartulary.llm.wordhash import BYTE, NOT_WORD, SPACE, Words, mix, place, spans
+from cartulary.llm.wordhash import BYTE, NOT_WORD, ROLL, SPACE, Words, mix, place, spans
 
 #: At most so many labelled rows of each kind are fitted on, chosen by a hash of their ids.
 SAMPLE_TOXIC, SAMPLE_CLEAN = 2500, 5000
@@ -50,6 +52,8 @@ PREFIXES = (4, 5, 6)
 #: A log-likelihood ratio that a chance entry doesn't reach, and the least precision of an entry.
 LEAST_RATIO, LEAST_PRECISION = 24.0, 0.8
 BASE_SCORE = 0.02
+#: Labelled rows count as copies of one another if in so many random orders the same run of so many words comes first.
+ALIKE, ALIKE_WORDS = 4, 5
 BEST = 6
 #: Letters of a window in which a long token is decoded, at least; tokens up to so many characters are remembered.
 LEAST_WINDOW, REMEMBERED = 64, 128
@@ -265,6 +269,21 @@ def entries(word: str) -> list[str]:
     return [word, *(w[:n].decode(errors="ignore") + "~" for n in PREFIXES if len(w) > n)]
 
 
+def alike_keys(words: Words, texts: int) -> list[int]:
+    """A hash of each text that near copies share: of the least of its runs' hashes in ``ALIKE`` orders; of all its words, if they are fewer than a run."""
+    runs, at = words.grams(ALIKE_WORDS)
+    bounds = np.searchsorted(words.text[at], np.arange(texts + 1)) if len(at) else np.zeros(texts + 1, np.int64)
+    out = []
+    for t in range(texts):
+        some = runs[bounds[t] : bounds[t + 1]]
+        if len(some):
+            least = np.array([mix(some ^ ROLL[k]).min() for k in range(ALIKE)])
+        else:
+            least = words.hash[words.bounds[t] : words.bounds[t + 1]]
+        out.append(int(mix((least * ROLL[: len(least)]).sum(keepdims=True))[0].view(np.int64)))
+    return out
+
+
 def fit_lexicon(docs: DataFrame, labels: DataFrame, model: np.ndarray) -> dict[str, float]:
     """Entry to precision, from a bounded sample of the labelled rows outside the held-out fold."""
     open_rows = labels.where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 != 2).where("doc_id is not null and toxic is not null")
@@ -281,10 +300,8 @@ def fit_lexicon(docs: DataFrame, labels: DataFrame, model: np.ndarray) -> dict[s
             for a, z in spans(column):
                 low = [t.lower().encode() for t in column[a:z].to_pylist()]
                 words = Words(low, NOT_WORD)
-                alike, held = [], []
+                alike, held = alike_keys(words, len(low)), []
                 for t in range(len(low)):
-                    h = words.hash[words.bounds[t] : words.bounds[t + 1]]
-                    alike.append(int((h ^ np.roll(h, 1)).min().view(np.int64)) if len(h) else 0)
                     s, e = words.start[words.bounds[t] : words.bounds[t + 1]], words.end[words.bounds[t] : words.bounds[t + 1]]
                     held.append({f for w in {words.bytes[x:y].tobytes().decode(errors="ignore") for x, y in zip(s, e, strict=True)} if len(w) > 2 for f in entries(w)})
                 for t, token in disguised(Words(low, SPACE), low):
@@ -360,5 +377,5 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     told = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     scored = told.mapInArrow(score, "doc_id bigint, score double")
-    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))

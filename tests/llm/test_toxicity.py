@@ -84,3 +84,45 @@ def test_long_tokens(spark, corpus):
     texts = [spelled, "nit" + "w" * 80 + "it", " ".join("nit" + "w" * 80 + "it"), chained, clean, "_".join(prose(75, 60).replace(".", "").split())]
     assert len(chained) > 300 and len(spelled) > 300
     assert predicted(spark, corpus, texts) == [1, 1, 1, 1, 0, 0]
+
+
+def test_disguises_beside_single_letters(spark, corpus):
+    texts = ["you are a s c o u n d r e l", "i a m s c o u n d r e l o k", "y o u s c o u n d r e l", "sc0undrel" + "!" * 60, "k i n d " * 12 + "s c o u n d r e l", "you are a k i n d man", "n o t h i n g here"]
+    assert predicted(spark, corpus, texts) == [1, 1, 1, 1, 1, 0, 0]
+
+
+def test_small_vocabulary(spark):
+    """Texts of few different words aren't taken for copies of one another."""
+    r = random.Random(1)
+    some = prose(1, 12).replace(".", "").split()
+    rows = []
+    for k in range(400):
+        words = r.choices(some, k=30)
+        if k % 4 == 0:
+            words[r.randrange(30)] = "scoundrel"
+        rows.append((k, " ".join(words)))
+    labels = [(k, int(k % 4 == 0)) for k in range(400)]
+    rows += [(900, f"{rows[1][1]} sc0undrel"), (901, f"{rows[2][1]} s c o u n d r e l"), (902, rows[3][1])]
+    got = {x.doc_id: x.predicted for x in score_toxicity(spark.createDataFrame(rows, "doc_id bigint, text string"), spark.createDataFrame(labels, "doc_id bigint, toxic int")).collect()}
+    assert [got[k] for k in (900, 901, 902)] == [1, 1, 0]
+
+
+def test_copies_share_a_key():
+    from cartulary.llm.toxicity import alike_keys
+    from cartulary.llm.wordhash import NOT_WORD, Words
+
+    text = prose(5, 300)
+    texts = [text, text, text + " and more", prose(6, 300), "a b", "a b", "b a", "", ""]
+    keys = alike_keys(Words([t.encode() for t in texts], NOT_WORD), len(texts))
+    assert keys[0] == keys[1] == keys[2] != keys[3] and keys[4] == keys[5] != keys[6] and keys[7] == keys[8]
+
+
+def test_odd_rows(spark, corpus, odd_docs):
+    """Rows without an id are scored and never held out; rows that repeat are scored each; labels without an id or value are passed over."""
+    docs, labels = corpus
+    more = spark.createDataFrame([(None, "you scoundrel"), (None, "kind"), (3, "you scoundrel"), (3, "you scoundrel")], "doc_id bigint, text string")
+    odd = labels.union(spark.createDataFrame([(None, 1, 1), (5000, 1, None)], labels.schema))
+    got = [r for r in score_toxicity(docs.select("doc_id", "text").union(more), odd).collect() if r.doc_id is None or r.doc_id == 3]
+    assert sorted((r.doc_id or 0, r.predicted) for r in got) == [(0, 0), (0, 1), (3, 0), (3, 1), (3, 1)]
+    assert all(r.held_out is (r.doc_id == 3 and __import__("zlib").crc32(b"3") % 4 == 2) for r in got)
+    assert score_toxicity(odd_docs, labels).count() == odd_docs.count()
