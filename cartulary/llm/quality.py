@@ -58,7 +58,9 @@ def repeated_words(words: Column) -> Column:
     """Words that lie in a run of three words found twice or more in ``words``.
 
     Runs are hashed to 64 bits; sorting (hash, place) packed into one long
-    brings equal runs together, and the places are then swept once.
+    brings equal runs together, and the places are then swept once.  Of a hash
+    40 bits are sorted by (32 from 16 million words on), so that different runs
+    that agree in those, one pair in 10^12, could stand between equal ones and hide them.
     """
     n = F.size(words) - 2
     runs = F.when(
@@ -120,7 +122,7 @@ def score_quality(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str =
     """``docs`` with the counts of ``metrics``, ``base_failed``, ``broken_rules`` and ``kept``."""
     whole = F.coalesce(F.col(text), F.lit(""))
     names = list(metrics(F.lit(""), F.array(F.lit("")), F.array(F.lit(""))))
-    rest = [c for c in docs.columns if c not in {*names, "base_failed", "broken_rules", "kept"}]
+    rest = [c for c in docs.columns if c.lower() not in {*names, "base_failed", "broken_rules", "kept"}]
     words = F.filter(F.split(whole, WORD_GAP), lambda w: w != "")
     lines = F.filter(F.split(whole, "\n"), lambda x: x.rlike("[^\\x20\\x09-\\x0D]"))
     counted = let(
@@ -129,7 +131,7 @@ def score_quality(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str =
     )
     base, broken = judge(rules)
     # a generated row, so that no later filter or projection computes the counts again
-    out = docs.select(*rest, F.explode(F.array(counted)).alias("_m")).select(*rest, "_m.*")
+    out = docs.select(F.struct(*rest).alias("row"), F.explode(F.array(counted)).alias("counts")).select("row.*", "counts.*")
     return out.select("*", base.alias("base_failed"), broken.alias("broken_rules")).withColumn("kept", ~F.col("base_failed") & (F.size("broken_rules") == 0))
 
 
