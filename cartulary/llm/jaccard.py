@@ -51,7 +51,7 @@ BLOCK_TOKENS, BLOCK_SETS = 500_000, 65_000
 #: The longest extension of a rare-first prefix, and the cost of verifying a candidate in prefix entries.
 MOST_MATCHES, VERIFY_COST = 8, 8.0
 #: Bytes of texts whose tokens make up a bucket of hash range, which a task holds at once, and buckets of a partition.
-BUCKET_BYTES, BUCKETS = 8 << 20, 8
+BUCKET_BYTES, BUCKETS = 4 << 20, 8
 
 
 def overlap(n):
@@ -98,10 +98,9 @@ def split_by_bucket(tokens: np.ndarray, buckets: int) -> tuple[np.ndarray, np.nd
 
 
 def bucket_count(spark: SparkSession, size: int) -> tuple[int, int]:
-    """(buckets, partitions) for texts of ``size`` bytes: both grow with the texts, so that neither a bucket nor a partition does."""
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets = max(4 * partitions, size // BUCKET_BYTES)
-    return buckets, max(partitions, buckets // BUCKETS)
+    """(buckets, partitions) for texts of ``size`` bytes: both grow with the texts alone, so that neither a bucket nor a partition does."""
+    buckets = max(1, -(-size // BUCKET_BYTES))
+    return buckets, max(min(int(spark.conf.get("spark.sql.shuffle.partitions")), buckets), buckets // BUCKETS)
 
 
 def eliminate(docs: DataFrame, buckets: int, partitions: int) -> tuple[DataFrame, DataFrame]:
