@@ -10,7 +10,9 @@ import re
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -53,12 +55,18 @@ def from_start(regex: str) -> str:
 
 
 def compile_patterns(patterns: dict[str, str]) -> dict[str, str | None]:
-    """Blank patterns become None; one that isn't a regular expression raises ``ValueError`` naming its key, before any plan is built."""
+    """Blank patterns become None; one that isn't a regular expression raises ``ValueError`` naming its key, before any plan is built.
+
+    Patterns are checked by the Java library that runs them in the plan, or by Python's where there is no session yet.
+    """
+    session = SparkSession.getActiveSession()
     out: dict[str, str | None] = {}
     for key, p in patterns.items():
         try:
-            out[key] = None if not p or not p.strip() else re.compile(p).pattern
-        except re.error as e:
+            out[key] = None if not p or not p.strip() else p
+            if out[key]:
+                session._jvm.java.util.regex.Pattern.compile(p) if session else re.compile(p)
+        except (re.error, Py4JJavaError, PySparkException) as e:
             raise ValueError(f"pattern of {key}: {e}") from e
     return out
 

@@ -48,4 +48,4 @@ class Registry:
         return df.transform(lambda x: step(x, **settings))
 
 
-mappers, preprocessors, visualisers, validators = Registry(), Registry(), Registry(), Registry()
+mappers, validators, preprocessors, exporters = Registry(), Registry(), Registry(), Registry()

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartulary.functions.scalars import latex_escape, normalise_nfc
+from cartulary.operators.ranking import numbered_lines
 
 
 def markdown_row(columns: Sequence[str]) -> Column:
@@ -15,19 +17,26 @@ def markdown_row(columns: Sequence[str]) -> Column:
 
 
 def markdown_lines(df: DataFrame, order: Sequence[str]) -> DataFrame:
-    """(line_no, line): header, rule and a line a row; meant for reports, whose rows are numbered in one window."""
-    from pyspark.sql import Window
-
+    """(line_no, line): header, rule and a line a row."""
     head = [f"| {' | '.join(df.columns)} |", f"|{'---|' * len(df.columns)}"]
     top = df.sparkSession.range(2).select((F.col("id") + 1).alias("line_no"), F.when(F.col("id") == 0, head[0]).otherwise(head[1]).alias("line"))
-    body = df.select((F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*order)) + 2).cast("bigint").alias("line_no"), markdown_row(df.columns).alias("line"))
-    return top.unionByName(body)
+    return top.unionByName(numbered_lines(df, order, markdown_row(df.columns), 3))
 
 
 def latex_row(columns: Sequence[str]) -> Column:
     return F.concat(F.concat_ws(" & ", *(latex_escape(F.coalesce(F.col(c).cast("string"), F.lit(""))) for c in columns)), F.lit(" \\\\"))
 
 
+def longtable(df: DataFrame, order: Sequence[str], caption: str, label: str) -> DataFrame:
+    """(line_no, line) of a LaTeX table that may run over several pages: opening with a repeated header, a line a row, closing."""
+    spark, header = df.sparkSession, " & ".join(re.sub(r"([&%$#_{}])", r"\\\1", c) for c in df.columns) + " \\\\"
+    opening = ["\\begin{longtable}{" + "l" * len(df.columns) + "}", f"\\caption{{{caption}}} \\label{{{label}}} \\\\", "\\hline", header, "\\hline", "\\endhead"]
+    top = spark.createDataFrame([(i + 1, x) for i, x in enumerate(opening)], "line_no bigint, line string")
+    body = numbered_lines(df, order, latex_row(df.columns), len(opening) + 1)
+    end = df.agg((F.count("*") + len(opening) + 1).alias("at")).select(F.explode(F.array(F.struct(F.col("at").alias("line_no"), F.lit("\\hline").alias("line")), F.struct((F.col("at") + 1).alias("line_no"), F.lit("\\end{longtable}").alias("line")))).alias("x")).select("x.*")
+    return top.unionByName(body).unionByName(end)
+
+
 def grouped_labels(df: DataFrame, label: str, order: Sequence[str]) -> DataFrame:
     """``label`` shown in the first row of each group only."""
     from pyspark.sql import Window

@@ -26,7 +26,7 @@ def catalogue_counts(df: DataFrame, dataset: str, kind: str) -> DataFrame:
     """For each kind: rows, datasets that have any, and the percentage of all rows."""
     per = df.groupBy(dataset, kind).agg(F.count("*").alias("n"))
     out = per.groupBy(kind).agg(F.sum("n").cast("bigint").alias("n_rows"), F.count("*").alias("n_datasets"))
-    return out.withColumn("pct", F.round(100.0 * F.col("n_rows") / F.sum("n_rows").over(Window.partitionBy(F.lit(0))), 4))  # a row a kind
+    return out.withColumn("pct", F.round(100.0 * F.col("n_rows") / df.agg(F.count("*")).scalar(), 4))
 
 
 def conditional_counts(df: DataFrame, conditions: Mapping[str, Column], keys: Sequence[str] = ()) -> DataFrame:
@@ -42,8 +42,51 @@ def combination_counts(df: DataFrame, keys: Mapping[str, Column], within: str) -
 
 def category_shares(df: DataFrame, column: str) -> DataFrame:
     """Count of each present value and its percentage of all present ones, values outside any known list included."""
-    counted = df.where(present(F.col(column))).groupBy(F.col(column).alias("category")).agg(F.count("*").alias("n"))
-    return counted.withColumn("pct", F.round(100.0 * F.col("n") / F.sum("n").over(Window.partitionBy(F.lit(0))), 4))  # a row a category
+    told = df.where(present(F.col(column))).select(F.col(column).alias("category"))
+    return told.groupBy("category").agg(F.count("*").alias("n")).withColumn("pct", F.round(100.0 * F.col("n") / told.agg(F.count("*")).scalar(), 4))
+
+
+def images_only(df: DataFrame, kind: str, skip: Sequence[str] = ("seg",)) -> DataFrame:
+    """``df`` without the kinds that aren't images; rows without a kind stay."""
+    return df.where(~F.coalesce(F.col(kind).isin(*skip), F.lit(False)))
+
+
+def scanner_coverage(df: DataFrame, kind: str, maker: str, strength: str) -> DataFrame:
+    """One row: rows with and without scanner details, their coverage in percent, and the makers in order; segmentations aside."""
+    known = present(F.col(maker)) | present(F.col(strength))
+    return images_only(df, kind).agg(
+        F.count("*").alias("n_total"), F.count_if(~known).alias("n_missing"), F.round(100.0 * F.count_if(known) / F.count("*"), 2).alias("coverage"),
+        F.array_join(F.array_sort(F.collect_set(F.when(present(F.col(maker)), F.col(maker)))), ", ").alias("makers"),
+    )
+
+
+def scanner_missing(df: DataFrame, kind: str, maker: str, strength: str) -> DataFrame:
+    """For each kind: rows, and those without scanner details."""
+    known = present(F.col(maker)) | present(F.col(strength))
+    return images_only(df, kind).groupBy(kind).agg(F.count("*").alias("n_total"), F.count_if(~known).alias("n_missing"))
+
+
+def placed(df: DataFrame, order: Sequence[Column | str], most: int = 100_000) -> DataFrame:
+    """A report's rows with their ``place`` in ``order``; more than ``most`` rows are no report and raise."""
+    if df.limit(most + 1).count() > most:
+        raise ValueError(f"a report of more than {most} rows")
+    return df.withColumn("place", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*order)).cast("bigint"))
+
+
+def strength_counts(df: DataFrame, kind: str, strength: str) -> DataFrame:
+    """Rows of each present field strength, a text, with its place in numeric order."""
+    told = images_only(df, kind).where(present(F.col(strength)))
+    return placed(told.groupBy(strength).agg(F.count("*").alias("n")), [F.expr(f"try_cast(`{strength}` as double)").asc_nulls_last(), strength])
+
+
+def most_in_group(df: DataFrame, keys: Sequence[str], kind: str) -> DataFrame:
+    """For each kind, the most rows that one group of ``keys`` has of it."""
+    return df.groupBy(*keys, kind).agg(F.count("*").alias("n")).groupBy(kind).agg(F.max("n").alias("most"))
+
+
+def distinct_sorted(df: DataFrame, key: str, value: str, group: str) -> DataFrame:
+    """For each key: its distinct values in order, and its least group."""
+    return df.groupBy(key).agg(F.array_sort(F.collect_set(value)).alias("found"), F.min(group).alias("least_group"))
 
 
 def mean_and_spread(df: DataFrame, column: str, keys: Sequence[str] = (), digits: int = 6) -> DataFrame:

@@ -50,6 +50,18 @@ def upsert(table: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataFra
     return table.join(changes, list(keys), "left_anti").unionByName(changes)
 
 
+def stage_actions(state: DataFrame, done: str = "done", filled: str = "filled", redo: bool = False) -> DataFrame:
+    """``state`` (a flag and whether the stage's folder has content) with an action.
+
+    ``skip``: done, or content without the flag, which is left alone; ``reset``: the flag is set but the
+    folder is missing or empty, so the flag is cleared and the stage run; ``run``: neither is
+    there.  ``redo`` runs again where there is content without the flag (``rerun``).
+    """
+    d, f = F.coalesce(F.col(done), F.lit(False)), F.coalesce(F.col(filled), F.lit(False))
+    action = F.when(d & f, "skip").when(d, "reset").when(f, "rerun" if redo else "skip").otherwise("run")
+    return state.withColumn("action", action)
+
+
 def pending(datasets: DataFrame, ledger: DataFrame, flag: str, key: str = "dataset", redo: bool = False) -> DataFrame:
     """Datasets for which a stage has not been done."""
     if redo:

@@ -9,9 +9,11 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cartulary.operators.ranking import rank_by_digest
+
 SPLITS = ("train", "val", "test")
 
 
@@ -26,6 +28,10 @@ class Ratios:
             raise ValueError("the ratios must add up to 1")
 
 
+def digest_of(column: str, seed: int) -> Column:
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(column)).cast("binary"))
+
+
 def assign_splits(records: DataFrame, ratios: Ratios | None = None, seed: int = 42) -> DataFrame:
     """dataset, subject, stratum, split of every subject of ``records(dataset, subject, modality)``; subjects that differ in case only are one.
 
@@ -37,9 +43,7 @@ def assign_splits(records: DataFrame, ratios: Ratios | None = None, seed: int =
     held = records.select("dataset", F.lower("subject").alias("subject"), "modality").distinct()
     coverage = held.groupBy("dataset", "modality").agg(F.count("*").alias("coverage"))
     rarest = held.join(coverage, ["dataset", "modality"]).groupBy("dataset", "subject").agg(F.min(F.struct("coverage", "modality"))["modality"].alias("stratum"))
-    by = Window.partitionBy("dataset", "stratum")
-    order = by.orderBy(F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("subject")).cast("binary")), "subject")
-    ranked = rarest.select("*", F.row_number().over(order).alias("_rn"), F.count("*").over(by).alias("_n"))
+    ranked = rank_by_digest(rarest, ["dataset", "stratum"], digest_of("subject", seed), ["subject"], "_rn", "_n")
     train, val = F.floor(F.col("_n") * F.lit(float(ratios.train))), F.floor(F.col("_n") * F.lit(float(ratios.val)))
     split = F.when(F.col("_rn") <= train, "train").when(F.col("_rn") <= train + val, "val").otherwise("test")
     return ranked.select("dataset", "subject", "stratum", split.alias("split"))
@@ -60,14 +64,20 @@ def assign_two_pools(subjects: DataFrame, ratios: Ratios | None = None, seed: in
     if test > counted.v:
         raise ValueError(f"{test} subjects to test, {counted.v} in the validation pool")
     top_up = max(0, val - (counted.v - test))
-    order = Window.partitionBy("pool").orderBy(F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("subject")).cast("binary")), "subject")
     split = (
         F.when((F.col("pool") == "validation") & (F.col("_rn") <= test), "test")
         .when(F.col("pool") == "validation", "val")
         .when(F.col("_rn") <= top_up, "val")
         .otherwise("train")
     )
-    return subjects.withColumn("_rn", F.row_number().over(order)).select("subject", "pool", split.alias("split"))
+    return rank_by_digest(subjects.select("subject", "pool"), ["pool"], digest_of("subject", seed), ["subject"], "_rn", "_n").select("subject", "pool", split.alias("split"))
+
+
+def modality_order(records: DataFrame) -> DataFrame:
+    """dataset, modalities: those of its subjects, the one that the fewest have first."""
+    held = records.select("dataset", F.lower("subject").alias("subject"), "modality").distinct()
+    coverage = held.groupBy("dataset", "modality").agg(F.count("*").alias("coverage"))
+    return coverage.groupBy("dataset").agg(F.array_sort(F.collect_list(F.struct("coverage", "modality")))["modality"].alias("modalities"))
 
 
 def label_records(records: DataFrame, splits: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartulary.functions import patterns, scalars
-from cartulary.operators.joins import contains_join, exactly_one, missing_extra, select_datasets
+from cartulary.operators.joins import contains_join, exactly_one, last_containing, missing_extra, select_datasets
 from cartulary.operators.paths import PathRules, parse_paths, rebuilt
 from cartulary.plans.base import query, table
 from cartulary.sources.listing import parse_remote_listing
@@ -101,10 +101,10 @@ def verify_missing_extra(spark, sf_dir):
 
 
 @query("""
-select p_partkey, p_name, l_orderkey from part join (select l_partkey, min(l_orderkey) as l_orderkey from lineitem where l_quantity >= 49 group by l_partkey having count(*) = 1) on p_partkey = l_partkey""")
+select o_orderkey, o_orderstatus, l_partkey from orders join (select l_orderkey, min(l_partkey) as l_partkey from lineitem group by l_orderkey having count(*) = 1) on o_orderkey = l_orderkey""")
 def exactly_one_match(spark, sf_dir):
-    lines = table(spark, sf_dir, "lineitem").where("l_quantity >= 49").select(F.col("l_partkey").alias("p_partkey"), "l_orderkey")
-    return table(spark, sf_dir, "part").select("p_partkey", "p_name").join(exactly_one(lines, ["p_partkey"], "l_orderkey"), "p_partkey")
+    lines = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_partkey")
+    return table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus").join(exactly_one(lines, ["o_orderkey"], "l_partkey"), "o_orderkey")
 
 
 @query("select doc_id, item_id from documents d join benchmark b on contains(d.text, b.text)")
@@ -112,3 +112,12 @@ def contains_match(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     items = table(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("needle"))
     return contains_join(docs, items, "text", "needle").select("doc_id", "item_id")
+
+
+@query(f"""
+with p as (select page_id, {PATH_SQL} as path from pages), w as (select n_nationkey, case n_nationkey % 3 when 0 then 'en' when 1 then 'de' else 'xx' end as lang, (n_nationkey % 10)::varchar as digit from nation)
+select n_nationkey, lang, digit, arg_max(path, (page_id, path)) as path from w left join p on list_contains(regexp_split_to_array(path, '[/_.]'), lang) and contains(path, digit) group by 1, 2, 3""")
+def last_match_wins(spark, sf_dir):
+    k = F.col("n_nationkey")
+    wanted = table(spark, sf_dir, "nation").select("n_nationkey", F.when(k % 3 == 0, "en").when(k % 3 == 1, "de").otherwise("xx").alias("lang"), (k % 10).cast("string").alias("digit"))
+    return last_containing(page_paths(spark, sf_dir), wanted, "path", ["lang", "digit"], ["page_id"])

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import gzip
+import math
 import struct
+import uuid
 
 from pyspark.sql import functions as F
 
 from cartulary.functions import scalars
 from cartulary.operators import render, reports
-from cartulary.operators.validate import validate_headers
-from cartulary.plans.base import query, table
+from cartulary.operators.validate import HeaderRules, validate_headers
+from cartulary.plans.base import query, shared_dir, table
 
 
 @query("""select count(distinct conv_id) as n_subjects, count(distinct (conv_id, role)) as n_sessions, count(*) as n_total, count(*) filter (role = 'user') as n_user,
@@ -18,10 +21,10 @@ def stats_summary(spark, sf_dir):
     return reports.subject_summary(table(spark, sf_dir, "conversations"), "conv_id", "role", "role", ["user", "assistant", "system"])
 
 
-@query("""with per as (select s_nationkey, l_returnflag, count(*) as n from lineitem join supplier on l_suppkey = s_suppkey where l_quantity > 45 group by all)
+@query("""with per as (select s_nationkey, l_returnflag, count(*) as n from lineitem join supplier on l_suppkey = s_suppkey group by all)
 select l_returnflag, sum(n)::bigint as n_rows, count(*) as n_datasets, round(100.0 * sum(n) / sum(sum(n)) over (), 4) as pct from per group by 1""")
 def catalogue_counts(spark, sf_dir):
-    lines = table(spark, sf_dir, "lineitem").where("l_quantity > 45").select("l_suppkey", "l_returnflag")
+    lines = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_returnflag")
     suppliers = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
     return reports.catalogue_counts(lines.join(suppliers, "l_suppkey"), "s_nationkey", "l_returnflag")
 
@@ -148,42 +151,167 @@ def readme_text(spark, sf_dir):
     return table(spark, sf_dir, "region").select("r_regionkey", render.readme(F.col("r_name"), [("Note", note), ("Use", F.lit("free"))]).alias("text"))
 
 
-def volume(edge: int, value: int, unit: int = 2, form: int = 1) -> bytes:
-    """A small uncompressed volume for the scan below."""
-    dim = struct.pack("<8h", 3, edge, edge, edge, 1, 1, 1, 1)
+def volume(shape=(80, 80, 60), value: int = 100, zooms=(1.0, 1.0, 1.0), unit: int = 2, forms=(1, 1), qfac: float = 1.0, turned: bool = False) -> bytes:
+    """A compressed volume of equal voxels; ``turned``: a qform of half a turn about z, which only counts without a sform."""
+    dim = struct.pack("<8h", len(shape), *(list(shape) + [1] * 7)[:7])
     head = struct.pack("<i", 348) + bytes(36) + dim + bytes(12) + struct.pack("<hhh", 0, 4, 16) + bytes(2)
-    head += struct.pack("<8f", 1, 1, 1, 1, 0, 0, 0, 0) + struct.pack("<3f", 352, 1, 0) + bytes(3) + bytes([unit]) + bytes(128)
-    head += struct.pack("<2h", form, form) + bytes(24) + struct.pack("<12f", 1, 0, 0, 0, 0, 1, 0, 0, 0, 0, 1, 0) + bytes(16) + b"n+1\0" + bytes(4)
-    return head + struct.pack("<h", value) * edge**3
+    head += struct.pack("<8f", qfac, *zooms, 0, 0, 0, 0) + struct.pack("<3f", 352, 1, 0) + bytes(3) + bytes([unit]) + bytes(128)
+    head += struct.pack("<2h", *forms[::-1]) + struct.pack("<6f", 0, 0, float(turned), 5, 6, 7) + struct.pack("<12f", 1, 0, 0, 0, 0, 1, 0, 0, 0, 0, 1, 0) + bytes(16) + b"n+1\0" + bytes(4)
+    return gzip.compress(head + struct.pack("<h", value) * math.prod(shape), 1)
 
 
-@query()
+#: Files of the scan below, each with what is wrong with it and how it lies in space.
+VOLUMES = {
+    "good": ({}, "", "RAS"), "small": ({"shape": (79, 80, 60)}, "shape", "RAS"), "four": ({"shape": (80, 80, 60, 2), "zooms": (1.0, 1.0, 1.0)}, "shape", "RAS"),
+    "coarse": ({"zooms": (1.3, 1.0, 1.0)}, "voxel_size", "RAS"), "later": ({"zooms": (1.0, 5.0, 5.0)}, "", "RAS"), "metres": ({"unit": 1}, "space_unit", "RAS"), "seconds": ({"unit": 10}, "", "RAS"),
+    "qfac": ({"qfac": 0.0}, "qfac", "RAS"), "turned": ({"forms": (0, 1), "turned": True}, "sform_code", "LPS"), "forms": ({"forms": (2, 2)}, "sform_code,qform_code", "RAS"),
+    "zero": ({"value": 0}, "all_zero,mean", "RAS"), "negative": ({"value": -1}, "values,mean", "RAS"), "dark": ({"value": 3}, "mean", "RAS"),
+}
+
+
+@query("select * from (values " + ", ".join(f"('{k}.nii.gz', '{e}', {str(not e).lower()}, '{o}')" for k, (_, e, o) in VOLUMES.items()) + ", ('broken.nii', 'load', false, null)) t(name, errors, valid, orientation)")
 def nifti_header_scan(spark, sf_dir):
-    """Rows only: volumes made from the suppliers' keys, parsed and judged."""
-    from cartulary.sources.nifti import parse_files
+    """Files with one fault each, written to the shared folder and read as any folder of volumes is."""
+    from cartulary.sources.nifti import read_headers
+
+    root = f"{shared_dir(spark)}/volumes-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    for name, data in [*((f"{k}.nii.gz", volume(**told)) for k, (told, _, _) in VOLUMES.items()), ("broken.nii", b"no volume")]:
+        out = fs.create(path(f"{root}/{name}"), False)
+        out.write(bytearray(data))
+        out.close()
+    out = validate_headers(read_headers(spark, root))
+    return out.select(F.element_at(F.split("path", "/"), -1).alias("name"), F.array_join("errors", ",").alias("errors"), "valid", "orientation")
+
+
+def either(*cases: int) -> str:
+    """SQL: the part's key or its size, counted round to 24, is one of ``cases``."""
+    listed = ", ".join(map(str, cases))
+    return f"(p_partkey % 24 in ({listed}) or p_size % 24 in ({listed}))"
+
+
+#: Columns of a header for each part: a case of each rule's bounds, two in a row where the key and the size differ.
+HEADER_COLUMNS = {
+    "shape": f"case when {either(1)} then {{0}}79, 80, 60{{1}} when {either(2)} then {{0}}512, 512, 512{{1}} when {either(3)} then {{0}}80, 80, 60, 1{{1}} when {either(4)} then {{0}}80, 80{{1}} when {either(5)} then {{0}}513, 80, 60{{1}} else {{0}}80, 80, 60{{1}} end",
+    "z1": f"cast(case when {either(8, 9)} then 1.2 when {either(6, 7)} then 1.0 else 1.1 end as float)",
+    "z2": f"cast(case when {either(8)} then 1.3 when {either(6)} then 5.0 else 1.2 end as float)",
+    "z3": f"cast(case when {either(6)} then 5.0 else 1.2 end as float)",
+    "units": f"case when {either(10)} then 10 when {either(11)} then 1 when {either(12)} then 0 else 2 end",
+    "qfac": f"cast(case when {either(13)} then 0 when {either(14)} then -1 else 1 end as double)",
+    "sform": f"case when {either(15)} then 2 when {either(17)} then 0 else 1 end",
+    "qform": f"case when {either(16)} then 2 when {either(17)} then 0 else 1 end",
+    "nonzero": f"case when {either(18)} then 0 else 7 end",
+    "vmin": f"cast(case when {either(19)} then -1 else 0 end as double)",
+    "vmax": f"cast(case when {either(20)} then 1000001 else 1000000 end as double)",
+    "vmean": f"cast(case when {either(21)} then 3.9 when {either(22)} then 'NaN' when {either(0)} then 100001 else 4 end as double)",
+    "datatype": f"case when {either(2, 12)} then 4 else 16 end",
+    "intent": f"case when {either(7)} then 3 else 0 end",
+    "shift": f"cast(case when {either(9)} then 0.01 when {either(10)} then 0.0001 else 0 end as double)",
+    "orientation": f"case when {either(14)} then 'LPS' else 'RAS' end",
+    "failed": f"case when {either(23)} then 'cut short' end",
+}
+HEADER_SQL = "with h as (select p_partkey, " + ", ".join(f"{c.format('[', ']').replace(chr(39) + 'NaN' + chr(39), 'null')} as {k}" for k, c in HEADER_COLUMNS.items() if k != "vmean")
+HEADER_SQL += ", " + HEADER_COLUMNS["vmean"].replace("'NaN'", "'NaN'::double") + " as vmean from part), "
+LATER = "z1 < 1.2::float or (z1 = 1.2::float and (z2 < 1.2::float or (z2 = 1.2::float and z3 <= 1.2::float)))"
+AXES = "z1 <= 1.2::float and z2 <= 1.2::float and z3 <= 1.2::float"
+SHAPE = "len(shape) = 3 and shape[1] between 80 and 512 and shape[2] between 80 and 512 and shape[3] between 60 and 512"
+
+
+def header_errors(voxel: str, more: bool) -> str:
+    told = {
+        "shape": f"not ({SHAPE})", "voxel_size": f"not ({voxel})", "datatype": "datatype <> 16" if more else None, "space_unit": "units % 8 <> 2", "qfac": "qfac not in (-1, 1)", "affine": "abs(shift) > 0.001" if more else None,
+        "values": "vmin < 0 or vmax > 1000000", "sform_code": "sform <> 1", "qform_code": "qform <> 1", "intent": "intent <> 0" if more else None, "all_zero": "nonzero = 0",
+        "mean": "not isnan(vmean) and (vmean < 4 or vmean > 100000)", "orientation": "orientation <> 'RAS'" if more else None,
+    }
+    return "case when failed is not null then 'load' else concat_ws(',', " + ", ".join(f"case when {c} then '{k}' end" for k, c in told.items() if c) + ") end"
+
+
+def header_table(spark, sf_dir):
+    h = table(spark, sf_dir, "part").selectExpr("p_partkey", *(f"{c.format('array(', ')')} as {k}" for k, c in HEADER_COLUMNS.items()))
+    affine = F.array(*(F.lit(float(i % 5 == 0)) + (F.col("shift") if i == 3 else F.lit(0.0)) for i in range(16)))
+    return h.select(
+        "p_partkey", "shape", F.array("z1", "z2", "z3").alias("zooms"), F.col("units").alias("xyzt_units"), "qfac", F.col("sform").alias("sform_code"), F.col("qform").alias("qform_code"), "nonzero", "vmin", "vmax", "vmean",
+        "datatype", F.col("intent").alias("intent_code"), affine.alias("affine"), "orientation", F.col("failed").alias("load_error"),
+    )
+
+
+@query(HEADER_SQL + f"e as (select p_partkey, {header_errors(LATER, False)} as errors from h) select p_partkey, errors, errors = '' as valid from e")
+def header_rules(spark, sf_dir):
+    """The rules that are on by default, at their bounds."""
+    return validate_headers(header_table(spark, sf_dir)).select("p_partkey", F.array_join("errors", ",").alias("errors"), "valid")
+
+
+@query(HEADER_SQL + f"e as (select p_partkey, {header_errors(AXES, True)} as errors from h) select p_partkey, errors, errors = '' as valid from e")
+def header_rules_all(spark, sf_dir):
+    """Every rule, voxel sizes axis by axis."""
+    rules = HeaderRules(strict_voxel=True, datatype=16, intent=0, orientation="RAS", affine=tuple(float(i % 5 == 0) for i in range(16)))
+    return validate_headers(header_table(spark, sf_dir), rules).select("p_partkey", F.array_join("errors", ",").alias("errors"), "valid")
+
+
+SCANNER_SQL = "scans as (select case p_partkey % 6 when 0 then 'seg' else p_type end as modality, case when p_partkey % 4 <> 1 then p_brand else '' end as maker, case p_size % 5 when 0 then '' when 1 then '1.5' when 2 then '10.5' else (p_size % 5)::varchar end as strength, case when p_partkey % 4 <> 1 then p_mfgr end as model from (select *, p_brand || 'X' as p_mfgr from part))"
+
+
+def scans(spark, sf_dir):
+    k, s = F.col("p_partkey"), F.col("p_size") % 5
+    known = k % 4 != 1
+    return table(spark, sf_dir, "part").select(
+        F.when(k % 6 == 0, "seg").otherwise(F.col("p_type")).alias("modality"), F.when(known, F.col("p_brand")).otherwise("").alias("maker"),
+        F.when(s == 0, "").when(s == 1, "1.5").when(s == 2, "10.5").otherwise(s.cast("string")).alias("strength"), F.when(known, F.concat("p_brand", F.lit("X"))).alias("model"),
+    )
+
 
-    @F.pandas_udf("binary")
-    def content(keys):
-        return keys.map(lambda k: volume(2 + int(k) % 3, int(k) % 7) if k % 5 else b"broken")
+@query(f"with {SCANNER_SQL}, k as (select *, maker <> '' or strength <> '' as known from scans where modality <> 'seg') select count(*) as n_total, count(*) filter (not known) as n_missing, round(100.0 * count(*) filter (known) / count(*), 2) as coverage, array_to_string(list_sort(list(distinct maker) filter (maker <> '')), ', ') as makers from k")
+def scanner_coverage(spark, sf_dir):
+    return reports.scanner_coverage(scans(spark, sf_dir), "modality", "maker", "strength")
 
-    files = table(spark, sf_dir, "supplier").select(F.concat(F.lit("v/"), "s_suppkey", F.lit(".nii")).alias("path"), content("s_suppkey").alias("content"))
-    out = validate_headers(parse_files(files))
-    return out.select("path", "ndim", "vmin", "vmax", "nonzero", "orientation", "load_error", F.array_join("errors", ",").alias("errors"), "valid")
+
+@query(f"with {SCANNER_SQL} select modality, count(*) as n_total, count(*) filter (maker = '' and strength = '') as n_missing from scans where modality <> 'seg' group by 1")
+def scanner_missing(spark, sf_dir):
+    return reports.scanner_missing(scans(spark, sf_dir), "modality", "maker", "strength")
+
+
+@query(f"with {SCANNER_SQL}, n as (select strength, count(*) as n from scans where modality <> 'seg' and strength <> '' group by 1) select strength, n, row_number() over (order by strength::double, strength) as place from n")
+def strength_counts(spark, sf_dir):
+    return reports.strength_counts(scans(spark, sf_dir), "modality", "strength")
+
+
+@query(f"with {SCANNER_SQL}, n as (select modality, maker, coalesce(model, '') as model, strength, count(*) as n from scans where modality <> 'seg' group by all) select *, row_number() over (order by modality, maker, model, strength) as place from n")
+def scanner_table(spark, sf_dir):
+    """The table of scanners in the order of its four keys, strengths as texts."""
+    told = reports.images_only(scans(spark, sf_dir), "modality").groupBy("modality", "maker", F.coalesce("model", F.lit("")).alias("model"), "strength").agg(F.count("*").alias("n"))
+    return reports.placed(told, ["modality", "maker", "model", "strength"])
+
+
+@query("select n_name, row_number() over (order by n_name) as place from nation")
+def datasets_by_name(spark, sf_dir):
+    return reports.placed(table(spark, sf_dir, "nation").select("n_name"), ["n_name"])
+
+
+@query("select kind, max(n) as most from (select user_id, event_type as kind, count(*) as n from events group by all) group by 1")
+def most_files(spark, sf_dir):
+    return reports.most_in_group(table(spark, sf_dir, "events").withColumnRenamed("event_type", "kind"), ["user_id"], "kind")
+
+
+@query("select conv_id, array_to_string(list_sort(list(distinct role)), ',') as roles, min(turn) as least_turn from conversations group by 1")
+def sorted_sessions(spark, sf_dir):
+    out = reports.distinct_sorted(table(spark, sf_dir, "conversations"), "conv_id", "role", "turn")
+    return out.select("conv_id", F.array_join("found", ",").alias("roles"), F.col("least_group").alias("least_turn"))
+
+
+@query(r"""with n as (select row_number() over (order by n_name) + 6 as line_no, replace(n_name, '_', '\_') || ' & ' || n_nationkey || ' \\' as line from nation)
+select * from n union all select * from (values (1::bigint, '\begin{longtable}{ll}'), (2, '\caption{Nations} \label{tab:n} \\'), (3, '\hline'), (4, 'n\_name & n\_nationkey \\'), (5, '\hline'), (6, '\endhead')) t
+union all select count(*) + 7, '\hline' from nation union all select count(*) + 8, '\end{longtable}' from nation""")
+def longtable_lines(spark, sf_dir):
+    return render.longtable(table(spark, sf_dir, "nation").select("n_name", "n_nationkey"), ["n_name"], "Nations", "tab:n")
 
 
 @query("select date_trunc('day', ts)::date as day, count(*) as n, max(value) as max_value, round(avg(value), 6) as mean_value from events group by 1")
 def streaming_metric_rollup(spark, sf_dir):
     """The daily metrics again, from a stream of files that is read as far as it has arrived."""
-    import uuid
-
     from cartulary.streaming.incremental import run_available, window_metrics
 
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        import tempfile
-
-        base = "file://" + tempfile.mkdtemp(prefix="cartulary-")
-    root = f"{base.rstrip('/')}/cartulary/stream-{uuid.uuid4().hex}"
+    root = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
     schema = table(spark, sf_dir, "events").schema
     fs, path = spark._jvm.org.apache.hadoop.fs, f"{sf_dir}/events.parquet"
     p = fs.Path(path)

@@ -59,3 +59,8 @@ select coalesce(modality, 'All') as modality, count(*) filter (split = 'train')
   round(100.0 * count(*) / (select count(*) from labelled), 1) as share from labelled group by rollup(modality)""")
 def distribution_table(spark, sf_dir):
     return split.distribution_table(labelled(spark, sf_dir))
+
+
+@query(f"with {RECORDS_SQL}, coverage as (select dataset, modality, count(distinct lower(subject)) as n from records group by all) select dataset, string_agg(modality, ',' order by n, modality) as modalities from coverage group by 1")
+def modality_order(spark, sf_dir):
+    return split.modality_order(records(spark, sf_dir)).select("dataset", F.array_join("modalities", ",").alias("modalities"))

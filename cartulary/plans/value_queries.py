@@ -56,10 +56,11 @@ def strip_prefix_key(spark, sf_dir):
 
 
 @query("""
-with last as (select *, row_number() over (partition by o_custkey order by o_orderdate desc, o_orderkey desc) as rn from orders where o_orderstatus = 'F' and o_totalprice > 250000)
-select c_custkey, c_mktsegment, o_orderkey, coalesce(o_orderpriority, '') as o_orderpriority from customer left join last on o_custkey = c_custkey and rn = 1""")
+with last as (select *, row_number() over (partition by o_custkey order by o_orderdate desc, o_orderkey desc) as rn from orders)
+select c_custkey, c_mktsegment, o_orderkey, coalesce(o_orderpriority, '') as o_orderpriority from customer left join last on o_custkey * 2 = c_custkey and rn = 1""")
 def demographics_left_join(spark, sf_dir):
-    people = table(spark, sf_dir, "orders").where("o_orderstatus = 'F' and o_totalprice > 250000").select(F.col("o_custkey").alias("c_custkey"), "o_orderkey", "o_orderpriority", "o_orderdate")
+    # customers with an odd key have nobody
+    people = table(spark, sf_dir, "orders").select((F.col("o_custkey") * 2).alias("c_custkey"), "o_orderkey", "o_orderpriority", "o_orderdate")
     out = joins.attach(table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment"), people, ["c_custkey"], ["o_orderdate", "o_orderkey"])
     return out.select("c_custkey", "c_mktsegment", "o_orderkey", F.coalesce("o_orderpriority", F.lit("")).alias("o_orderpriority"))
 
@@ -90,7 +91,7 @@ def settings_merge(spark, sf_dir):
 LEDGER_SQL = """
 with ledger as (
   select doc_id as dataset, 'quality' as flag, case when quality = 1 then 'true' else 'false' end as value from labels
-  union all select doc_id, 'toxic', case when doc_id % 5 = 0 then '"yes"' when toxic = 1 then 'true' else 'false' end from labels where doc_id % 7 <> 0),
+  union all select doc_id, 'toxic', case when doc_id % 7 = 0 then null when doc_id % 5 = 0 then '"yes"' when toxic = 1 then 'true' else 'false' end from labels),
 state as (select dataset, count(*) filter (flag in ('quality', 'toxic') and value in ('true', 'false')) = 2 as patched from ledger group by dataset)"""
 
 
@@ -98,7 +99,8 @@ def ledger(spark, sf_dir):
     labels = table(spark, sf_dir, "labels")
     word = lambda c: F.when(F.col(c) == 1, "true").otherwise("false")
     a = labels.select(F.col("doc_id").alias("dataset"), F.lit("quality").alias("flag"), word("quality").alias("value"))
-    b = labels.where("doc_id % 7 <> 0").select(F.col("doc_id").alias("dataset"), F.lit("toxic").alias("flag"), F.when(F.col("doc_id") % 5 == 0, '"yes"').otherwise(word("toxic")).alias("value"))
+    odd = F.when(F.col("doc_id") % 7 != 0, F.when(F.col("doc_id") % 5 == 0, '"yes"').otherwise(word("toxic")))
+    b = labels.select(F.col("doc_id").alias("dataset"), F.lit("toxic").alias("flag"), odd.alias("value"))
     return a.union(b)
 
 
@@ -148,3 +150,12 @@ def boolean_words(spark, sf_dir):
 @query(r"""select p_partkey, array_to_string(list_transform(regexp_extract_all(lower(p_name) || '_' || lower(p_type) || '3t', '[a-z]+|[^a-z]+'), lambda x: upper(x[1]) || lower(x[2:])), '') as title from part""")
 def title_words(spark, sf_dir):
     return table(spark, sf_dir, "part").select("p_partkey", scalars.title_case(F.concat(F.upper("p_name"), F.lit("_"), "p_type", F.lit("3t"))).alias("title"))
+
+
+@query("""select n_nationkey, case when n_nationkey % 2 = 0 and n_nationkey % 3 = 0 then 'skip' when n_nationkey % 2 = 0 then 'reset' when n_nationkey % 3 = 0 then 'skip' else 'run' end as action,
+  case when n_nationkey % 2 = 0 and n_nationkey % 3 = 0 then 'skip' when n_nationkey % 2 = 0 then 'reset' when n_nationkey % 3 = 0 then 'rerun' else 'run' end as redo from nation""")
+def stage_actions(spark, sf_dir):
+    """Flags held against what the folders hold."""
+    state = table(spark, sf_dir, "nation").select("n_nationkey", (F.col("n_nationkey") % 2 == 0).alias("done"), (F.col("n_nationkey") % 3 == 0).alias("filled"))
+    redone = settings.stage_actions(state, redo=True).select("n_nationkey", F.col("action").alias("redo"))
+    return settings.stage_actions(state).select("n_nationkey", "action").join(redone, "n_nationkey")

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cartulary.functions.patterns import glob_to_regex, matches_glob
+
 
 def subdirectories(spark: SparkSession, path: str, names_only: bool = False) -> list[str]:
     """Folders directly below ``path``, sorted; an error if that isn't a folder.  Any file system that Spark reads."""
@@ -24,7 +29,28 @@ def list_files(spark: SparkSession, path: str, glob: str | None = None) -> DataF
     reader = reader.option("pathGlobFilter", glob) if glob else reader
     root = path.removeprefix("file://").rstrip("/") + "/"
     inside = F.substring_index(F.col("path"), root, -1)
-    return reader.load(path).select(inside.alias("path"), "length", F.col("modificationTime").alias("modified")).distinct()
+    return reader.load(path).select(inside.alias("path"), "length", F.col("modificationTime").alias("modified"))
+
+
+def inventory(spark: SparkSession, root: str, globs: Sequence[str], verify: bool = True) -> DataFrame:
+    """path (relative to ``root``), length, modified of the files that a download should bring.
+
+    The root is listed; of its entries only those that match the first segment of a glob are
+    listed in depth (by Spark, in parallel); their files are then held against the whole globs.  Without
+    ``verify`` nothing is listed and the table is empty.
+    """
+    kind = "path string, length bigint, modified timestamp"
+    if not verify or not globs:
+        return spark.createDataFrame([], kind)
+    fs, p = (lambda q: (q.getFileSystem(spark._jsc.hadoopConfiguration()), q))(spark._jvm.org.apache.hadoop.fs.Path(root))
+    first = [re.compile(glob_to_regex(g.split("/")[0]).replace("\\z", "\\Z")) for g in globs]
+    found = [s.getPath() for s in fs.listStatus(p) if any(r.match(s.getPath().getName()) for r in first)]
+    if not found:
+        return spark.createDataFrame([], kind)
+    base = fs.makeQualified(p).toUri().getPath().rstrip("/") + "/"
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load([f.toString() for f in found])
+    told = files.select(F.substring_index("path", base, -1).alias("path"), "length", F.col("modificationTime").alias("modified"))
+    return told.where(matches_glob(F.col("path"), globs))
 
 
 def parse_remote_listing(line: Column) -> Column:

@@ -1,4 +1,4 @@
-"""NIfTI-1 volumes as a table of headers and voxel statistics; each file is read once, in the task that has it."""
+"""NIfTI-1 and NIfTI-2 volumes as a table of headers and voxel statistics; each file is read once, in the task that has it."""
 
 from __future__ import annotations
 
@@ -18,7 +18,50 @@ SCHEMA = (
 
 #: Fixed values of the format: number types by code.
 TYPES = {2: "u1", 4: "i2", 8: "i4", 16: "f4", 64: "f8", 256: "i1", 512: "u2", 768: "u4", 1024: "i8", 1280: "u8"}
-HEADER = 348
+#: Fixed values of the format: bytes of a header by version, and where its fields are (format of ``struct``, place).
+HEADERS = {
+    348: {"dim": ("8h", 40), "intent": ("h", 68), "datatype": ("h", 70), "pixdim": ("8f", 76), "offset": ("f", 108), "slope": ("f", 112), "inter": ("f", 116), "units": ("B", 123), "qform": ("h", 252), "sform": ("h", 254), "quatern": ("3f", 256), "qoffset": ("3f", 268), "srow": ("12f", 280)},
+    540: {"dim": ("8q", 16), "intent": ("i", 504), "datatype": ("h", 12), "pixdim": ("8d", 104), "offset": ("q", 168), "slope": ("d", 176), "inter": ("d", 184), "units": ("i", 500), "qform": ("i", 344), "sform": ("i", 348), "quatern": ("3d", 352), "qoffset": ("3d", 376), "srow": ("12d", 400)},
+}
+MAGIC = {348: (344, (b"n+1", b"ni1")), 540: (4, (b"n+2", b"ni2"))}
+
+
+def read_header(data: bytes) -> tuple[dict[str, tuple], str]:
+    """(fields, byte order); ``ValueError`` if it isn't a header."""
+    if len(data) < 348:
+        raise ValueError("too short for a header")
+    for end in "<>":
+        size = struct.unpack(f"{end}i", data[:4])[0]
+        if size in HEADERS:
+            at, magic = MAGIC[size]
+            if len(data) < size or data[at : at + 3] not in magic:
+                break
+            return {k: struct.unpack_from(end + f, data, p) for k, (f, p) in HEADERS[size].items()}, end
+    raise ValueError("not a NIfTI header")
+
+
+def affine_of(h: dict[str, tuple]) -> np.ndarray:
+    """Voxel to space: the sform, else the qform (a rotation as a quaternion, voxel sizes, an offset), else the sizes around the centre with x turned."""
+    zooms = np.array(h["pixdim"][1:4], dtype=float)
+    out = np.eye(4)
+    if h["sform"][0] > 0:
+        out[:3] = np.array(h["srow"], dtype=float).reshape(3, 4)
+    elif h["qform"][0] > 0:
+        b, c, d = (float(x) for x in h["quatern"])
+        a = np.sqrt(max(0.0, 1.0 - (b * b + c * c + d * d)))
+        turn = np.array([
+            [a * a + b * b - c * c - d * d, 2 * (b * c - a * d), 2 * (b * d + a * c)],
+            [2 * (b * c + a * d), a * a + c * c - b * b - d * d, 2 * (c * d - a * b)],
+            [2 * (b * d - a * c), 2 * (c * d + a * b), a * a + d * d - b * b - c * c],
+        ])
+        out[:3, :3] = turn * zooms * np.array([1.0, 1.0, -1.0 if h["pixdim"][0] < 0 else 1.0])
+        out[:3, 3] = h["qoffset"]
+    else:
+        sizes = zooms * np.array([-1.0, 1.0, 1.0])
+        shape = np.array([*h["dim"][1 : 1 + max(0, min(3, h["dim"][0]))], 1, 1, 1][:3], dtype=float)
+        out[:3, :3] = np.diag(sizes)
+        out[:3, 3] = -(shape - 1) / 2 * sizes
+    return out
 
 
 def axis_codes(affine: np.ndarray) -> str:
@@ -34,17 +77,9 @@ def parse_volume(data: bytes) -> dict:
     """The columns of ``SCHEMA`` but path and load_error; ``ValueError`` if it isn't a volume."""
     if data[:2] == b"\x1f\x8b":
         data = gzip.decompress(data)
-    if len(data) < HEADER + 4:
-        raise ValueError("too short for a header")
-    end = "<" if struct.unpack("<i", data[:4])[0] == HEADER else ">"
-    if struct.unpack(f"{end}i", data[:4])[0] != HEADER or data[344:347] not in (b"n+1", b"ni1"):
-        raise ValueError("not a NIfTI-1 header")
-    dim, pixdim = struct.unpack(f"{end}8h", data[40:56]), struct.unpack(f"{end}8f", data[76:108])
-    intent, datatype = struct.unpack(f"{end}h", data[68:70])[0], struct.unpack(f"{end}h", data[70:72])[0]
-    offset, slope, inter = struct.unpack(f"{end}3f", data[108:120])
-    qform, sform = struct.unpack(f"{end}2h", data[252:256])
-    rows = np.array(struct.unpack(f"{end}12f", data[280:328]), dtype=float).reshape(3, 4)
-    affine = np.vstack([rows, [0, 0, 0, 1]]) if sform > 0 else np.diag([*pixdim[1:4], 1.0])
+    h, end = read_header(data)
+    dim, pixdim, datatype, offset = h["dim"], h["pixdim"], h["datatype"][0], h["offset"][0]
+    slope, inter, affine = h["slope"][0], h["inter"][0], affine_of(h)
     if datatype not in TYPES:
         raise ValueError(f"number type {datatype} isn't read")
     shape = [int(d) for d in dim[1 : 1 + dim[0]]]
@@ -54,8 +89,8 @@ def parse_volume(data: bytes) -> dict:
     scale = slope if np.isfinite(slope) and slope != 0 else 1.0
     values = voxels.astype(np.float64) * scale + (inter if np.isfinite(inter) and slope != 0 else 0.0)
     return {
-        "ndim": dim[0], "shape": shape, "zooms": [float(z) for z in pixdim[1 : 1 + dim[0]]], "qfac": float(pixdim[0]), "xyzt_units": data[123],
-        "sform_code": sform, "qform_code": qform, "intent_code": intent, "datatype": datatype, "affine": affine.ravel().tolist(), "orientation": axis_codes(affine),
+        "ndim": dim[0], "shape": shape, "zooms": [float(z) for z in pixdim[1 : 1 + dim[0]]], "qfac": float(pixdim[0]), "xyzt_units": h["units"][0],
+        "sform_code": h["sform"][0], "qform_code": h["qform"][0], "intent_code": h["intent"][0], "datatype": datatype, "affine": affine.ravel().tolist(), "orientation": axis_codes(affine),
         "vmin": float(values.min()) if n else None, "vmax": float(values.max()) if n else None, "vmean": float(values.mean()) if n else None, "nonzero": int(np.count_nonzero(values)),
     }
 

@@ -43,6 +43,23 @@ def read_sidecars(spark: SparkSession, path: str) -> DataFrame:
     return found.select(F.col("_metadata.file_path").alias("path"), F.from_json("value", "map<string,string>").alias("fields"))
 
 
+def read_infos(spark: SparkSession, root: str, name: str = "info.yaml") -> DataFrame:
+    """dataset, info (a map of texts) of the file ``name`` in each folder below ``root``; one that can't be read as a mapping is empty."""
+
+    @F.udf("map<string,string>")  # one small file a dataset
+    def parsed(text):
+        import yaml
+
+        try:
+            told = yaml.safe_load(text)
+        except yaml.YAMLError:
+            told = None
+        return {str(k): "" if v is None else str(v) for k, v in told.items()} if isinstance(told, dict) else {}
+
+    found = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", name).text(root, wholetext=True)
+    return found.select(F.element_at(F.split("_metadata.file_path", "/"), -2).alias("dataset"), parsed("value").alias("info"))
+
+
 def root_sidecars(sidecars: DataFrame, modalities: tuple[str, ...] = ("t1w", "t2w", "flair")) -> DataFrame:
     """modality, fields of the sidecars that are named for a modality."""
     stem = F.lower(F.regexp_extract("path", r"([^/]+)\.json$", 1))
