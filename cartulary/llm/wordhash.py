@@ -82,7 +82,7 @@ class Words:
         return mix(h[at]), at
 
 
-def spans(column, limit: int = 2_000_000):
+def spans(column, limit: int = 500_000):
     """Slices (first, last) of an Arrow string column of about ``limit`` bytes, one text at least."""
     import pyarrow.compute as pc
 

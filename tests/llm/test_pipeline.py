@@ -21,7 +21,8 @@ def corpus(spark, tmp_path_factory):
     item = " ".join(prose(700, 30).split())
     rows = [(k, clean(k)) for k in range(30)] + [(40 + k, "word " * 80) for k in range(3)] + [(50, clean(1)), (51, None), (52, "")]
     rows += [(60, clean(2) + "\nthe tail and of it"), (70, clean(60) + "\n" + item)]
-    docs = spark.createDataFrame([(i, t, "en", "src0", len(t or "")) for i, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    kinds = "doc_id bigint, text string, lang string, source string, n_chars bigint, dedup int, row string, d int, h string, _gone int, n_words int, keeper string"
+    docs = spark.createDataFrame([(i, t, "en", "src0", len(t or ""), 1, "r", 2, "h", 3, 4, "k") for i, t in rows], kinds)
     docs.write.parquet(f"{path}/documents.parquet")
     spark.createDataFrame([(1, item)], "item_id bigint, text string").write.parquet(f"{path}/benchmark.parquet")
     return path
