@@ -48,6 +48,8 @@ from cartulary.llm.wordhash import ROLL, SPACE, Words, mix, spans
 RUN_WORDS, PERCENT = 5, 75
 #: Tokens, and sets, of a block of documents.
 BLOCK_TOKENS, BLOCK_SETS = 500_000, 65_000
+#: Sets that are unpacked at a time.
+SLICE = 512
 #: The longest extension of a rare-first prefix, and the cost of verifying a candidate in prefix entries.
 MOST_MATCHES, VERIFY_COST = 8, 8.0
 #: Bytes of texts whose tokens make up a bucket of hash range, which a task holds at once, and buckets of a partition.
@@ -267,8 +269,8 @@ def shared_sets(docs: DataFrame, wanted: DataFrame, buckets: int, partitions: in
             tokens = batch.column(1)
             for b in np.unique(block).tolist():
                 mine = np.flatnonzero(block == b).tolist()
-                for k in range(0, len(mine), 4096):
-                    t, n = np.unique(np.concatenate([np.frombuffer(tokens[i].as_py(), "<u8") for i in mine[k : k + 4096]]), return_counts=True)
+                for k in range(0, len(mine), SLICE):
+                    t, n = np.unique(np.concatenate([np.frombuffer(tokens[i].as_py(), "<u8") for i in mine[k : k + SLICE]]), return_counts=True)
                     bounds, numbers = split_by_bucket(t, buckets)
                     n = n.astype("<u4")
                     out: dict[str, list] = {x: [] for x in kinds}
@@ -313,7 +315,7 @@ def shared_sets(docs: DataFrame, wanted: DataFrame, buckets: int, partitions: in
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = {"doc": pa.int64(), "n": pa.int64(), "ell": pa.int32(), "tokens": pa.binary(), "prefix": pa.list_(pa.int64())}
         now, parts, table = None, [], None
-        for batch in batches:
+        for batch in (whole.slice(a, SLICE) for whole in batches for a in range(0, whole.num_rows, SLICE)):
             out: dict[str, list] = {k: [] for k in kinds}
             for block, kind, doc, tokens, times in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if block != now:
