@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 #: A key is heavy when it holds more than one row in this many, so there are never more heavy keys than this.
 HEAVY_SHARE = 1000
+#: Rows of an Arrow batch while a table is written, at most: texts and sets may be long.
+ARROW_ROWS = 1000
 #: Bits of the table that leaves rows out of a shuffle; it has at most FILTER_BITS / 64 rows whatever the data.
 FILTER_BITS = 1 << 24
 #: The place of rows without an id: after all others.
@@ -34,8 +36,13 @@ def work_dir(spark: SparkSession, label: str) -> str:
 
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: later uses don't recompute it, and a lost executor loses nothing."""
-    path = work_dir(df.sparkSession, label)
-    df.write.parquet(path)
+    path, conf = work_dir(df.sparkSession, label), df.sparkSession.conf
+    before = conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(min(ARROW_ROWS, int(before)) if int(before) > 0 else ARROW_ROWS))
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.written_to = path
     return out

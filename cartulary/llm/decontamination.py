@@ -43,8 +43,8 @@ SEED_WORDS = 3
 RARE_TIMES, RARE_FLOOR = 4, 8
 #: A window is aligned if it holds so many of an item's seeds (one, if the item has no more).
 SHARED_SEEDS = 2
-#: Bits of the map of the items' runs: 8 MB whatever the benchmark.
-MAP_BITS = 1 << 26
+#: Bits of the map of the items' runs: 4 MB whatever the benchmark.
+MAP_BITS = 1 << 25
 LEAST_SCORE = 0.5
 
 MATCHES = "d bigint, h bigint, item_id bigint, score double, matched_words bigint, item_words bigint, first_word bigint, last_word bigint"

@@ -47,7 +47,7 @@ from cartulary.llm.wordhash import ROLL, SPACE, Words, mix, spans
 
 RUN_WORDS, PERCENT = 5, 75
 #: Tokens, and sets, of a block of documents.
-BLOCK_TOKENS, BLOCK_SETS = 500_000, 65_000
+BLOCK_TOKENS, BLOCK_SETS = 250_000, 65_000
 #: Sets that are unpacked at a time.
 SLICE = 512
 #: The longest extension of a rare-first prefix, and the cost of verifying a candidate in prefix entries.
