@@ -75,8 +75,8 @@ class ShardStore:
         files = self.spark.read.parquet(f"{self.root}/data/{run}").groupBy(F.col("_metadata.file_path")).agg(F.max("_metadata.file_size").alias("bytes"), F.count("*").alias("rows"))
         found = files.agg(F.count("*").alias("files"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"), F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"))
         tier = F.when(F.col("bytes") < TIER_BYTES, 0).otherwise(F.floor(F.log(F.col("bytes") / TIER_BYTES) / F.log(F.lit(float(self.fanout)))) + 1)
-        r = found.select(F.lit(run), "files", "bytes", "rows", tier.cast("int")).first()
-        return self.spark.createDataFrame([tuple(r)], RUNS)
+        r = found.select(F.lit(run).alias("run"), "files", "bytes", "rows", tier.cast("int").alias("tier")).first()
+        return self.spark.range(1).select(*(F.lit(r[k]).cast(kind).alias(k) for k, kind in (c.split() for c in RUNS.split(", "))))
 
     def _publish(self, text: str, name: str) -> None:
         """Create a whole file at once; ``FileExistsError`` if there is one."""
