@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,6 +69,19 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` for mapInArrow, after which freed memory goes back to the machine: Spark keeps workers, and idle ones would hold their largest task's."""
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+        if trim:
+            trim(0)
+
+    return whole
+
+
 def fresh(columns: list[str], name: str) -> str:
     """``name``, with underscores after it until no column has it."""
     taken = {c.lower() for c in columns}

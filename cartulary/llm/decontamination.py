@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartulary.llm.alignment import align
-from cartulary.llm.common import NO_ID, discard, keyed, lookup_join, materialise, split_by_keys
+from cartulary.llm.common import NO_ID, discard, keyed, lookup_join, materialise, split_by_keys, tidy
 from cartulary.llm.wordhash import NOT_WORD, ROLL, Words, mix, spans
 
 SEED_WORDS = 3
@@ -90,7 +90,7 @@ def hashed_items(items: DataFrame) -> DataFrame:
             yield batch(kinds, out)
 
     told = items.where("text is not null").select(F.col("item_id").cast("bigint").alias("item_id"), "text").distinct().select(F.monotonically_increasing_id().alias("q"), "item_id", "text")
-    return materialise(told.mapInArrow(scan, "q bigint, item_id bigint, n int, words binary, runs array<struct<run: bigint, first: int, last: int>>"), "items")
+    return materialise(told.mapInArrow(tidy(scan), "q bigint, item_id bigint, n int, words binary, runs array<struct<run: bigint, first: int, last: int>>"), "items")
 
 
 def run_map(runs: DataFrame) -> bytes:
@@ -123,7 +123,7 @@ def find_runs(docs: DataFrame, mapped: bytes) -> DataFrame:
                     t = words.text[at]
                     yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (d[a + t], h[a + t], runs.view(np.int64), at - words.bounds[t])], names=list(kinds))
 
-    return docs.mapInArrow(scan, "d bigint, h bigint, run bigint, place bigint")
+    return docs.mapInArrow(tidy(scan), "d bigint, h bigint, run bigint, place bigint")
 
 
 def rare_seeds(items: DataFrame, hits: DataFrame) -> DataFrame:
@@ -175,7 +175,7 @@ def find_windows(pairs: DataFrame) -> DataFrame:
         yield batch(kinds, out)
 
     told = pairs.select("d", "h", "q", "n", "need", "run", "place", "first", "last").distinct()
-    return told.repartition("d", "h", "q").sortWithinPartitions("d", "h", "q", "place", "run").mapInArrow(scan, "d bigint, h bigint, q bigint, n int, low bigint, high bigint")
+    return told.repartition("d", "h", "q").sortWithinPartitions("d", "h", "q", "place", "run").mapInArrow(tidy(scan), "d bigint, h bigint, q bigint, n int, low bigint, high bigint")
 
 
 def cut_windows(docs: DataFrame, windows: DataFrame) -> DataFrame:
@@ -199,7 +199,7 @@ def cut_windows(docs: DataFrame, windows: DataFrame) -> DataFrame:
 
     by_doc = windows.groupBy("d", "h").agg(F.collect_list(F.struct("q", "n", "low", "high")).alias("at"))
     may, _ = split_by_keys(docs, windows, ["d", "h"])
-    return may.join(by_doc.hint("shuffle_hash"), ["d", "h"]).select("d", "h", "text", "at").mapInArrow(scan, "d bigint, h bigint, q bigint, low bigint, high bigint, first bigint, part binary")
+    return may.join(by_doc.hint("shuffle_hash"), ["d", "h"]).select("d", "h", "text", "at").mapInArrow(tidy(scan), "d bigint, h bigint, q bigint, low bigint, high bigint, first bigint, part binary")
 
 
 def score_windows(parts: DataFrame, least: float) -> DataFrame:
@@ -215,7 +215,7 @@ def score_windows(parts: DataFrame, least: float) -> DataFrame:
                     out.append((d, h, item_id, score / (2 * n), same, n, first + x, first + y))
             yield batch(kinds, out)
 
-    return parts.select("d", "h", "item_id", "n", "words", "low", "high", "first", "part").mapInArrow(scan, MATCHES)
+    return parts.select("d", "h", "item_id", "n", "words", "low", "high", "first", "part").mapInArrow(tidy(scan), MATCHES)
 
 
 def matches(docs: DataFrame, items: DataFrame, least: float) -> DataFrame:

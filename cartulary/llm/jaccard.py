@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartulary.llm.common import NO_ID, components, discard, keyed, lookup_join, materialise, split_by_keys
+from cartulary.llm.common import NO_ID, components, discard, keyed, lookup_join, materialise, split_by_keys, tidy
 from cartulary.llm.wordhash import ROLL, SPACE, Words, mix, spans
 
 RUN_WORDS, PERCENT = 5, 75
@@ -232,8 +232,8 @@ def eliminate(docs: DataFrame, buckets: int, partitions: int) -> tuple[DataFrame
             yield batch_of(out, out_kinds)
 
     told = docs.select("d", "h", F.coalesce("text", F.lit("")).alias("text"))
-    met = told.mapInArrow(scan, schema).repartition(partitions, "bucket").sortWithinPartitions("bucket").mapInArrow(meet, schema)
-    judged = met.repartition(partitions, "block").sortWithinPartitions("block", F.desc("kind")).mapInArrow(decide, "d bigint, h bigint, n bigint, key binary, alive boolean")
+    met = told.mapInArrow(tidy(scan), schema).repartition(partitions, "bucket").sortWithinPartitions("bucket").mapInArrow(tidy(meet), schema)
+    judged = met.repartition(partitions, "block").sortWithinPartitions("block", F.desc("kind")).mapInArrow(tidy(decide), "d bigint, h bigint, n bigint, key binary, alive boolean")
     sets = materialise(judged, "sets-of-documents")
     return sets.drop("alive"), sets.where("alive").select("key").distinct()
 
@@ -260,7 +260,7 @@ def shared_sets(docs: DataFrame, wanted: DataFrame, buckets: int, partitions: in
 
     may, _ = split_by_keys(docs.where("text is not null"), wanted, ["d", "h"])
     found = may.join(wanted.hint("shuffle_hash"), ["d", "h"]).select("doc", "text")  # once for each row that repeats id and text
-    sets = materialise(found.mapInArrow(extract, "block bigint, doc bigint, tokens binary").dropDuplicates(["doc"]), "sets")
+    sets = materialise(found.mapInArrow(tidy(extract), "block bigint, doc bigint, tokens binary").dropDuplicates(["doc"]), "sets")
 
     def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = {"bucket": pa.int32(), "block": pa.int64(), "tokens": pa.binary(), "times": pa.binary()}
@@ -349,11 +349,11 @@ def shared_sets(docs: DataFrame, wanted: DataFrame, buckets: int, partitions: in
                     c.append(v)
             yield batch_of(out, kinds)
 
-    told = sets.select("block", "tokens").mapInArrow(tell, "bucket int, block bigint, tokens binary, times binary")
-    counted = told.repartition(partitions, "bucket").sortWithinPartitions("bucket").mapInArrow(count, "block bigint, tokens binary, times binary")
+    told = sets.select("block", "tokens").mapInArrow(tidy(tell), "bucket int, block bigint, tokens binary, times binary")
+    counted = told.repartition(partitions, "bucket").sortWithinPartitions("bucket").mapInArrow(tidy(count), "block bigint, tokens binary, times binary")
     counted = counted.select("block", F.lit(0).alias("kind"), F.lit(None).cast("bigint").alias("doc"), "tokens", "times")
     both = counted.unionByName(sets.select("block", F.lit(1).alias("kind"), "doc", "tokens", F.lit(None).cast("binary").alias("times")))
-    chosen = both.repartition(partitions, "block").sortWithinPartitions("block", "kind").mapInArrow(choose, "doc bigint, n bigint, ell int, tokens binary, prefix array<bigint>")
+    chosen = both.repartition(partitions, "block").sortWithinPartitions("block", "kind").mapInArrow(tidy(choose), "doc bigint, n bigint, ell int, tokens binary, prefix array<bigint>")
     shared = materialise(chosen, "shared-sets")
     discard(sets)
     return shared
@@ -386,7 +386,7 @@ def verify(pairs: DataFrame, shapes: bool = False) -> DataFrame:
 
     more = "bits binary, rest binary" if shapes else "src bigint, dst bigint"
     told = pairs.select("x", "nx", "tx", "y", "ny", "ty", *(() if shapes else ("src", "dst")))
-    return told.mapInArrow(compare, f"x bigint, y bigint, common bigint, linked boolean, {more}")
+    return told.mapInArrow(tidy(compare), f"x bigint, y bigint, common bigint, linked boolean, {more}")
 
 
 def compare_within(shapes: DataFrame) -> DataFrame:

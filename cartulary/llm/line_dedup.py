@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, LongType, StringType, StructField, StructType
 
-from cartulary.llm.common import discard, fresh, keyed, lookup_join, materialise, split_by_keys
+from cartulary.llm.common import discard, fresh, keyed, lookup_join, materialise, split_by_keys, tidy
 from cartulary.llm.wordhash import spans
 
 EVERY, LEAST_LINES, LEAST_WORDS, MOST_WORDS = 3, 2, 20, 40
@@ -96,7 +96,7 @@ def chunk_keys(docs: DataFrame) -> DataFrame:
                     out[4] += [k.to_bytes(16, "big") for k in found.values()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds.values(), strict=True)], names=list(kinds))
 
-    return docs.select("d", "h", "text").mapInArrow(scan, "d bigint, h bigint, first int, last int, key binary")
+    return docs.select("d", "h", "text").mapInArrow(tidy(scan), "d bigint, h bigint, first int, last int, key binary")
 
 
 def lines_with_words(text: Column) -> Column:

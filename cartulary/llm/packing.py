@@ -33,6 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cartulary.llm.common import tidy
 from cartulary.llm.wordhash import BYTE, mix, place, spans
 
 SENTENCE_PENALTY, FORCED_PENALTY = 12, 64
@@ -276,4 +277,4 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, eos_id: int = 2, window
             yield rows(pack_block(block, sequence)[0])
 
     told = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    return told.sortWithinPartitions("doc_id", F.xxhash64("text")).mapInArrow(run, PIECES)
+    return told.sortWithinPartitions("doc_id", F.xxhash64("text")).mapInArrow(tidy(run), PIECES)
