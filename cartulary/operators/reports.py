@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cartulary.operators.ranking import ranked
+
 
 def present(c: Column) -> Column:
     return F.coalesce(c.cast("string") != "", F.lit(False))
@@ -66,17 +68,15 @@ def scanner_missing(df: DataFrame, kind: str, maker: str, strength: str) -> Data
     return images_only(df, kind).groupBy(kind).agg(F.count("*").alias("n_total"), F.count_if(~known).alias("n_missing"))
 
 
-def placed(df: DataFrame, order: Sequence[Column | str], most: int = 100_000) -> DataFrame:
-    """A report's rows with their ``place`` in ``order``; more than ``most`` rows are no report and raise."""
-    if df.limit(most + 1).count() > most:
-        raise ValueError(f"a report of more than {most} rows")
-    return df.withColumn("place", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*order)).cast("bigint"))
+def placed(df: DataFrame, order: Sequence[Column | str]) -> DataFrame:
+    """A report's rows with their ``place`` in ``order``."""
+    return ranked(df, order, "place")
 
 
 def strength_counts(df: DataFrame, kind: str, strength: str) -> DataFrame:
     """Rows of each present field strength, a text, with its place in numeric order."""
     told = images_only(df, kind).where(present(F.col(strength)))
-    return placed(told.groupBy(strength).agg(F.count("*").alias("n")), [F.expr(f"try_cast(`{strength}` as double)").asc_nulls_last(), strength])
+    return placed(told.groupBy(strength).agg(F.count("*").alias("n")), [F.col(strength).try_cast("double").asc_nulls_last(), strength])
 
 
 def most_in_group(df: DataFrame, keys: Sequence[str], kind: str) -> DataFrame:

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cartulary.session import shared_dir  # noqa: F401  (queries take it from here)
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
@@ -24,14 +25,3 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """A folder below ``spark.checkpoint.dir``, which all machines share; where that is unset, a temporary one if all runs in this process, else an error."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if spark.sparkContext.master.split("[")[0] != "local":
-            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-        base = f"file://{tempfile.mkdtemp(prefix='cartulary-')}"
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/cartulary"

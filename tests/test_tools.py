@@ -33,6 +33,15 @@ def test_numbered_lines(spark):
     assert render.markdown_lines(df.limit(0), ["k"]).count() == 2
 
 
+def test_ranks_of_a_whole_table(spark):
+    df = spark.range(3000).select(F.when(F.col("id") % 5 > 0, (F.col("id") * 7919) % 3000).alias("k"), F.col("id").alias("at"), F.lit("x").alias("part"))
+    order = [F.col("k").desc_nulls_last(), "at"]
+    got = [(r.k, r.at, r.rank) for r in ranking.ranked(df.repartition(7), order).collect()]
+    want = [(r.k, r.at, i + 1) for i, r in enumerate(df.orderBy(*order).collect())]
+    assert sorted(got, key=lambda r: r[2]) == want
+    assert ranking.ranked(df.limit(0), order, "place").columns == ["k", "at", "part", "place"] and ranking.ranked(df.limit(0), order).isEmpty()
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_containment_against_every_pair(spark, seed):
     r = random.Random(seed)
