@@ -134,10 +134,40 @@ def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cartulary.llm.fim import digest, fill_in_middle
+
+    return digest(fill_in_middle(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
+OP12_SQL = r"""
+with told as (
+  select doc_id, coalesce(text, '') as t, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') as u, sha256('1:' || coalesce(doc_id::varchar, '')) as h from documents
+), numbers as (
+  select *, len(u)::bigint as n, [('0x' || substr(h, 1 + 8 * k, 8))::bigint for k in range(4)] as h4 from told
+), cuts as (
+  select *, least(h4[1] % (n + 1), h4[2] % (n + 1)) as a, greatest(h4[1] % (n + 1), h4[2] % (n + 1)) as b,
+    case when n = 0 or regexp_matches(t, '<[PSM]>') or h4[3] % 100 >= 90 then 'plain' when h4[4] % 100 < 20 then 'spm' else 'psm' end as form from numbers
+), pieces as (
+  select *, array_to_string(u[1:a], '') as p, array_to_string(u[a + 1:b], '') as m, array_to_string(u[b + 1:], '') as s from cuts
+)
+select doc_id, n, form, case when form <> 'plain' then length(p) end::bigint as prefix_chars, case when form <> 'plain' then length(m) end::bigint as middle_chars,
+  sha256(case form when 'plain' then t when 'psm' then '<P>' || p || '<S>' || s || '<M>' || m else '<S>' || s || '<P>' || p || '<M>' || m end) as output_sha256,
+  sha256(t) as restored_sha256
+from pieces
+"""
+
+
+def op13_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cartulary.llm.mixing import mix_sources
+
+    return mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_packing, op2_chat_formatting, op3_jaccard_join, op4_warc, op5_sharding, op6_quality_rules, op7_toxicity, op8_decontamination, op9_line_dedup, op10_license_scans)
+    found = (op1_packing, op2_chat_formatting, op3_jaccard_join, op4_warc, op5_sharding, op6_quality_rules, op7_toxicity, op8_decontamination, op9_line_dedup, op10_license_scans, op12_fill_in_middle, op13_source_mixing)
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_chat_formatting": OP2_SQL, "op5_sharding": OP5_SQL}
+    return {"op2_chat_formatting": OP2_SQL, "op5_sharding": OP5_SQL, "op12_fill_in_middle": OP12_SQL}
