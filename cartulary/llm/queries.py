@@ -134,6 +134,44 @@ def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cartulary.llm.divergence import audit_sources
+
+    return audit_sources(table(spark, sf_dir, "documents"))
+
+
+OP11_SQL = r"""
+with docs as (
+  select row_number() over () as d, coalesce(lang, '') as lang, coalesce(source, '') as source, coalesce(text, '') as t from documents
+), terms as (
+  select d, lang, source, translate(unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as term from docs
+), kept as (
+  select lang, term, count(*) as in_lang from terms group by all having count(distinct d) >= 10
+), counts as (
+  select lang, source, term, count(*) as n from terms semi join kept using (lang, term) group by all
+), groups as (
+  select distinct lang, source from docs
+), langs as (
+  select lang, count(term) as v, coalesce(sum(in_lang), 0) as n from (select distinct lang from docs) left join kept using (lang) group by all
+), totals as (
+  select g.lang, g.source, l.v, coalesce(sum(c.n), 0) + 2 * l.v as whole, l.n + 2 * l.v as lang_whole from groups g join langs l using (lang) left join counts c using (lang, source) group by g.lang, g.source, l.v, l.n
+), shares as (
+  select t.lang, t.source, k.term, coalesce(c.n, 0) as n, 1 + (1000000000::hugeint * (coalesce(c.n, 0) + 2)) // t.whole as p, 1 + (1000000000::hugeint * (k.in_lang + 2)) // t.lang_whole as q
+  from totals t join kept k using (lang) left join counts c on c.lang = t.lang and c.source = t.source and c.term = k.term
+), pairs as (
+  select a.lang, a.source, b.source as item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) as value
+  from shares a join shares b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all
+), found as (
+  select a.lang, a.source, 'pair' as part, b.source as item, coalesce(p.value, 0)::bigint as value
+  from groups a join groups b on a.lang = b.lang and a.source <> b.source left join pairs p on p.lang = a.lang and p.source = a.source and p.item = b.source
+  union all
+  select lang, source, 'term', term, (((p - q) * (p - q)) // (p + q))::bigint from shares where n > 0 and p > q
+)
+select lang, source, part, item, value, (row_number() over (partition by lang, source, part order by value desc, item))::int as rank
+from found qualify part = 'pair' or rank <= 10
+"""
+
+
 def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cartulary.llm.fim import digest, fill_in_middle
 
@@ -165,9 +203,9 @@ def op13_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_packing, op2_chat_formatting, op3_jaccard_join, op4_warc, op5_sharding, op6_quality_rules, op7_toxicity, op8_decontamination, op9_line_dedup, op10_license_scans, op12_fill_in_middle, op13_source_mixing)
+    found = (op1_packing, op2_chat_formatting, op3_jaccard_join, op4_warc, op5_sharding, op6_quality_rules, op7_toxicity, op8_decontamination, op9_line_dedup, op10_license_scans, op11_source_divergence, op12_fill_in_middle, op13_source_mixing)
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_chat_formatting": OP2_SQL, "op5_sharding": OP5_SQL, "op12_fill_in_middle": OP12_SQL}
+    return {"op2_chat_formatting": OP2_SQL, "op5_sharding": OP5_SQL, "op11_source_divergence": OP11_SQL, "op12_fill_in_middle": OP12_SQL}
