@@ -1,4 +1,4 @@
-"""Lookups and comparisons between tables; a side is broadcast only after its rows have been counted."""
+"""Lookups and comparisons between tables."""
 
 from __future__ import annotations
 
@@ -8,19 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartulary.functions.scalars import truthy
+from cartulary.operators.containment import contains_join, last_containing, maybe_broadcast  # noqa: F401  (joins too)
 from cartulary.operators.grouping import last_wins
 
-#: Characters that begin a needle too short to hold whole words, by which it meets texts.
-SHORT_CHARS = 3
-#: The most rows of a side that is broadcast; beyond it rows meet by shuffle.
-BROADCAST_ROWS = 50_000
-
-
-def maybe_broadcast(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
-    """``df``, marked for broadcast if it has no more than ``most`` rows; counting stops there."""
-    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
-
-
 def attach(left: DataFrame, right: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
     """Left join to the last row of each key; left rows without one keep nulls.  Catalyst picks the join by size."""
     return left.join(last_wins(right, keys, order), list(keys), "left")
@@ -41,55 +31,6 @@ def exactly_one(df: DataFrame, keys: Sequence[str], value: str, strict: bool = F
     return counted.where("_n = 1").drop("_n")
 
 
-def contains_join(texts: DataFrame, needles: DataFrame, text: str, needle: str, most: int = BROADCAST_ROWS) -> DataFrame:
-    """Pairs where ``text`` contains ``needle``; an empty needle is in every text.
-
-    Pairs meet by a key, never each with each.  A needle of five words or more has its second to
-    fourth whole in any text that contains it, one of three or four its second; those meet by the hash of
-    those words.  A shorter one meets by its first ``SHORT_CHARS`` characters, fewer if it has
-    no more.  Only pairs that meet are searched.  Needles of one kind are broadcast if they are no more than ``most``.
-    """
-    words = F.split(F.col(needle), r"\s")
-    told = needles.where(F.col(needle).isNotNull()).withColumn("_m", F.when(F.length(needle) == 0, -1).when(F.size(words) >= 5, 3).when(F.size(words) >= 3, 1).otherwise(0))
-    w = F.split(F.col(text), r"\s")
-    runs = lambda n: F.array_distinct(F.transform(F.sequence(F.lit(1), F.size(w) - (n - 1)), lambda i: F.xxhash64(F.slice(w, i, n))))
-    chars = F.split(F.col(text), "")
-
-    def starts(k: int) -> Column:
-        pieces = F.transform(F.sequence(F.lit(1), F.size(chars) - (k - 1)), lambda i: F.xxhash64(F.array_join(F.slice(chars, i, k), "")))
-        return F.when(F.length(text) >= k, F.array_distinct(pieces)).otherwise(F.array().cast("array<bigint>"))
-
-    found = None
-    for n in (3, 1, 0, -1):
-        some = told.where(F.col("_m") == n)
-        if some.isEmpty():
-            continue
-        if n < 0:
-            mine, theirs = F.lit(0).cast("bigint"), F.when(F.col(text).isNotNull(), F.array(F.lit(0).cast("bigint")))
-        elif n:
-            mine, theirs = F.xxhash64(F.slice(words, 2, n)), F.when(F.size(w) >= n, runs(n))
-        else:
-            mine, theirs = F.xxhash64(F.substring(needle, 1, SHORT_CHARS)), F.array_union(F.array_union(starts(1), starts(2)), starts(SHORT_CHARS))
-        keyed = maybe_broadcast(some.withColumn("_k", mine).drop("_m"), most)
-        part = texts.withColumn("_k", F.explode(theirs)).join(keyed, "_k").where(F.contains(text, needle)).drop("_k")
-        found = part if found is None else found.unionByName(part)
-    return found if found is not None else texts.limit(0).join(needles.limit(0), F.lit(False))
-
-
-def last_containing(paths: DataFrame, wanted: DataFrame, path: str, parts: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
-    """``wanted`` with the last path, in ``order``, that contains every one of its ``parts``; null where none does.
-
-    Paths meet by the first part, which must be a whole segment or a name's beginning up to a mark.
-    """
-    pieces = F.array_distinct(F.split(F.col(path), r"[/_.]"))
-    told = paths.select(F.col(path).alias("_path"), F.struct(*order).alias("_order"), F.explode(pieces).alias("_k"))
-    met = wanted.withColumn("_k", F.col(parts[0])).join(told, "_k")
-    for p in parts:
-        met = met.where(F.contains("_path", p))
-    best = met.groupBy(*wanted.columns).agg(F.max_by("_path", F.struct("_order", "_path")).alias(path))
-    return wanted.join(best, list(wanted.columns), "left")
-
-
 def missing_extra(expected: DataFrame, found: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys of one side only, with status missing (expected only) or extra (found only): one full join of distinct keys."""
     a = expected.select(*keys).distinct().withColumn("_a", F.lit(1))

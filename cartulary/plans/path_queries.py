@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartulary.functions import patterns, scalars
-from cartulary.operators.joins import contains_join, exactly_one, last_containing, missing_extra, select_datasets
+from cartulary.operators.containment import contains_join, last_containing
+from cartulary.operators.joins import exactly_one, missing_extra, select_datasets
 from cartulary.operators.paths import PathRules, parse_paths, rebuilt
 from cartulary.plans.base import query, table
 from cartulary.sources.listing import parse_remote_listing
@@ -111,13 +112,14 @@ def exactly_one_match(spark, sf_dir):
 def contains_match(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     items = table(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("needle"))
-    return contains_join(docs, items, "text", "needle").select("doc_id", "item_id")
+    return contains_join(docs, items, "text", "needle", ["doc_id"]).select("doc_id", "item_id")
 
 
 @query(f"""
-with p as (select page_id, {PATH_SQL} as path from pages), w as (select n_nationkey, case n_nationkey % 3 when 0 then 'en' when 1 then 'de' else 'xx' end as lang, (n_nationkey % 10)::varchar as digit from nation)
-select n_nationkey, lang, digit, arg_max(path, (page_id, path)) as path from w left join p on list_contains(regexp_split_to_array(path, '[/_.]'), lang) and contains(path, digit) group by 1, 2, 3""")
+with p as (select page_id, {PATH_SQL} as path from pages), w as (select n_nationkey, case n_nationkey % 4 when 0 then 'en' when 1 then 'xamp' when 2 then 'e.com/d' else '~' end as part, (n_nationkey % 10)::varchar as digit from nation)
+select n_nationkey, part, digit, arg_max(path, (page_id, path)) as path from w left join p on contains(path, part) and contains(path, digit) group by 1, 2, 3""")
 def last_match_wins(spark, sf_dir):
     k = F.col("n_nationkey")
-    wanted = table(spark, sf_dir, "nation").select("n_nationkey", F.when(k % 3 == 0, "en").when(k % 3 == 1, "de").otherwise("xx").alias("lang"), (k % 10).cast("string").alias("digit"))
-    return last_containing(page_paths(spark, sf_dir), wanted, "path", ["lang", "digit"], ["page_id"])
+    part = F.when(k % 4 == 0, "en").when(k % 4 == 1, "xamp").when(k % 4 == 2, "e.com/d").otherwise("~")
+    wanted = table(spark, sf_dir, "nation").select("n_nationkey", part.alias("part"), (k % 10).cast("string").alias("digit"))
+    return last_containing(page_paths(spark, sf_dir), wanted, "path", ["part", "digit"], ["page_id"])

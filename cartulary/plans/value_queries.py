@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from cartulary.functions import scalars
 from cartulary.operators import joins, normalize, settings
+from cartulary.operators.containment import maybe_broadcast
 from cartulary.operators.normalize import Field
 from cartulary.operators.validate import outside, validate
 from cartulary.plans.base import query, table
@@ -75,7 +76,7 @@ def json_fallback_lookup(spark, sf_dir):
     events = table(spark, sf_dir, "events")
     near = F.from_json("props", "map<string,string>")
     far = events.where("event_type <> 'error'").groupBy("event_type").agg(F.max(F.get_json_object("props", "$.k").cast("int")).cast("string").alias("far_k"))
-    both = events.join(joins.maybe_broadcast(far), "event_type", "left")
+    both = events.join(maybe_broadcast(far), "event_type", "left")
     far_map = F.when(F.col("far_k").isNotNull(), F.create_map(F.lit("k"), "far_k", F.lit("unit"), F.lit("far")))
     near_map = F.when(F.col("event_id") % 3 > 0, near)
     return both.select("event_id", map_text(joins.fallback_lookup(near_map, far_map, ["k", "unit"])).alias("fields"))

@@ -42,27 +42,6 @@ def test_ranks_of_a_whole_table(spark):
     assert ranking.ranked(df.limit(0), order, "place").columns == ["k", "at", "part", "place"] and ranking.ranked(df.limit(0), order).isEmpty()
 
 
-@pytest.mark.parametrize("seed", range(3))
-def test_containment_against_every_pair(spark, seed):
-    r = random.Random(seed)
-    words = ["a", "bc", "bcd", "é", "x-y", "ab", ""]
-    texts = [(i, " ".join(r.choices(words, k=r.randint(0, 12)))) for i in range(60)] + [(99, None)]
-    needles = [(j, " ".join(r.choices(words, k=r.randint(1, 6)))) for j in range(40)]
-    needles += [(100 + j, t[a : a + r.randint(1, 20)]) for j, (_, t) in enumerate(texts[:30]) if t for a in [r.randrange(len(t))]] + [(200, None)]
-    a, b = spark.createDataFrame(texts, "i int, t string"), spark.createDataFrame(needles, "j int, n string")
-    want = sorted((i, j) for i, t in texts for j, n in needles if t is not None and n is not None and n in t)
-    for most in (0, 1000):
-        assert sorted((x.i, x.j) for x in joins.contains_join(a, b, "t", "n", most).collect()) == want
-
-
-def test_last_containing(spark):
-    paths = [(k, p) for k, p in enumerate(["s1/ses2/a_t1w.img", "s1/ses2/b_t1w.img", "s1/ses2/c_t2w.img", "s2/ses2/a_t1w.img", "xs1/ses2/z_t1w.img"])]
-    wanted = spark.createDataFrame([("s1", "ses2"), ("s2", "ses2"), ("s3", "ses2")], "s string, e string").withColumn("m", F.lit("t1w"))
-    df = spark.createDataFrame(paths, "k int, path string")
-    found = {r.s: r.path for r in joins.last_containing(df, wanted.select("s", "e", "m"), "path", ["s", "e", "m"], ["k"]).collect()}
-    assert found == {"s1": "s1/ses2/b_t1w.img", "s2": "s2/ses2/a_t1w.img", "s3": None}
-
-
 def header(version: int, **told) -> bytes:
     size = {1: 348, 2: 540}[version]
     data = bytearray(size + 4)
