@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from cartulary.functions import patterns, scalars
 from cartulary.operators.containment import contains_join, last_containing
 from cartulary.operators.joins import exactly_one, missing_extra, select_datasets
 from cartulary.operators.paths import PathRules, parse_paths, rebuilt
-from cartulary.plans.base import query, table
+from cartulary.plans.base import query, shared_dir, table
 from cartulary.sources.listing import parse_remote_listing
 
 PATH_SQL = "regexp_replace(url, '^https?://', '')"
@@ -92,6 +94,36 @@ def listing_parse(spark, sf_dir):
     return pages.select("page_id", parse_remote_listing(line).alias("r")).select("page_id", "r.*")
 
 
+def page_listing(spark, sf_dir):
+    """The pages' paths as a store's tool lists them, host by host: a folder for every seventh page, a file for the others; written to the shared folder."""
+    path = f"{shared_dir(spark)}/listing-{uuid.uuid4().hex}"
+    pages = page_paths(spark, sf_dir).select("page_id", F.split_part("path", F.lit("/"), F.lit(1)).alias("prefix"), F.regexp_replace("path", "^[^/]*/", "").alias("name"))
+    told = F.format_string("2024-%02d-01 10:00:%02d  %8d  %s", F.col("page_id") % 12 + 1, F.col("page_id") % 60, F.col("page_id") * 10, "name")
+    line = F.when(F.col("page_id") % 7 == 0, F.format_string("                           PRE %s/", "name")).otherwise(told)
+    pages.select("prefix", line.alias("value")).write.partitionBy("prefix").text(path)
+    return path
+
+
+@query(f"""
+with p as (select page_id, split_part({PATH_SQL}, '/', 1) as prefix, regexp_replace({PATH_SQL}, '^[^/]*/', '') as name from pages)
+select prefix, case when page_id % 7 = 0 then rtrim(name, '/') else name end as name, page_id % 7 = 0 as is_dir, case when page_id % 7 > 0 then page_id * 10 end as size, case when page_id % 7 > 0 then make_timestamp(2024, page_id % 12 + 1, 1, 10, 0, page_id % 60) end as modified from p""")
+def listing_scan(spark, sf_dir):
+    """A whole listing read back through the data source, a partition for each host's file or part of one."""
+    from cartulary.sources import remote
+
+    remote.register(spark)
+    return spark.read.format("listing").option("path", page_listing(spark, sf_dir)).load()
+
+
+@query(f"""
+with p as (select page_id, split_part({PATH_SQL}, '/', 1) as prefix, regexp_replace({PATH_SQL}, '^[^/]*/', '') as name from pages)
+select prefix, count(*) as n_files, sum(page_id * 10)::bigint as size from p where prefix like '%s%' and page_id % 7 > 0 and page_id * 10 >= 200 and name like 'en/%' group by 1""")
+def listing_pushed(spark, sf_dir):
+    """Files of some hosts: the conditions go to the source, so other hosts aren't listed."""
+    found = listing_scan(spark, sf_dir).where("prefix like '%s%' and not is_dir and size >= 200 and name like 'en/%'")
+    return found.groupBy("prefix").agg(F.count("*").alias("n_files"), F.sum("size").alias("size"))
+
+
 @query("""
 with e as (select distinct o_orderkey as k from orders where o_orderstatus <> 'P'), f as (select distinct l_orderkey as k from lineitem where l_returnflag = 'R')
 select coalesce(e.k, f.k) as orderkey, case when f.k is null then 'missing' else 'extra' end as status from e full join f on e.k = f.k where e.k is null or f.k is null""")

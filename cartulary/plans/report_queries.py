@@ -3,16 +3,17 @@
 from __future__ import annotations
 
 import gzip
-import math
 import struct
 import uuid
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartulary.functions import scalars
 from cartulary.operators import render, reports
 from cartulary.operators.validate import HeaderRules, validate_headers
 from cartulary.plans.base import query, shared_dir, table
+from cartulary.sources import nifti
 
 
 @query("""select count(distinct conv_id) as n_subjects, count(distinct (conv_id, role)) as n_sessions, count(*) as n_total, count(*) filter (role = 'user') as n_user,
@@ -151,38 +152,67 @@ def readme_text(spark, sf_dir):
     return table(spark, sf_dir, "region").select("r_regionkey", render.readme(F.col("r_name"), [("Note", note), ("Use", F.lit("free"))]).alias("text"))
 
 
-def volume(shape=(80, 80, 60), value: int = 100, zooms=(1.0, 1.0, 1.0), unit: int = 2, forms=(1, 1), qfac: float = 1.0, turned: bool = False) -> bytes:
-    """A compressed volume of equal voxels; ``turned``: a qform of half a turn about z, which only counts without a sform."""
-    dim = struct.pack("<8h", len(shape), *(list(shape) + [1] * 7)[:7])
-    head = struct.pack("<i", 348) + bytes(36) + dim + bytes(12) + struct.pack("<hhh", 0, 4, 16) + bytes(2)
-    head += struct.pack("<8f", qfac, *zooms, 0, 0, 0, 0) + struct.pack("<3f", 352, 1, 0) + bytes(3) + bytes([unit]) + bytes(128)
-    head += struct.pack("<2h", *forms[::-1]) + struct.pack("<6f", 0, 0, float(turned), 5, 6, 7) + struct.pack("<12f", 1, 0, 0, 0, 0, 1, 0, 0, 0, 0, 1, 0) + bytes(16) + b"n+1\0" + bytes(4)
-    return gzip.compress(head + struct.pack("<h", value) * math.prod(shape), 1)
-
-
-#: Files of the scan below, each with what is wrong with it and how it lies in space.
-VOLUMES = {
-    "good": ({}, "", "RAS"), "small": ({"shape": (79, 80, 60)}, "shape", "RAS"), "four": ({"shape": (80, 80, 60, 2), "zooms": (1.0, 1.0, 1.0)}, "shape", "RAS"),
-    "coarse": ({"zooms": (1.3, 1.0, 1.0)}, "voxel_size", "RAS"), "later": ({"zooms": (1.0, 5.0, 5.0)}, "", "RAS"), "metres": ({"unit": 1}, "space_unit", "RAS"), "seconds": ({"unit": 10}, "", "RAS"),
-    "qfac": ({"qfac": 0.0}, "qfac", "RAS"), "turned": ({"forms": (0, 1), "turned": True}, "sform_code", "LPS"), "forms": ({"forms": (2, 2)}, "sform_code,qform_code", "RAS"),
-    "zero": ({"value": 0}, "all_zero,mean", "RAS"), "negative": ({"value": -1}, "values,mean", "RAS"), "dark": ({"value": 3}, "mean", "RAS"),
+#: A volume for each part, told by its key k and its size s: sizes, numbers, order of bytes, scaling, faults.
+VOLUME_COLUMNS = {
+    "nx": "3 + s % 6", "ny": "4 + k % 3", "nt": "case when k % 17 = 0 then 2 else 1 end", "zoom": "case when k % 11 = 0 then 1.5 else 1.0 end", "unit": "case when k % 13 = 0 then 1 else 2 end", "sform": "case when k % 19 = 0 then 2 else 1 end",
+    "kind": "k % 4", "swapped": "k % 5 = 0", "version": "case when k % 3 = 0 then 2 else 1 end", "zipped": "k % 2 = 0", "scaled": "k % 7 = 0", "short": "k % 23 = 0",
 }
 
 
-@query("select * from (values " + ", ".join(f"('{k}.nii.gz', '{e}', {str(not e).lower()}, '{o}')" for k, (_, e, o) in VOLUMES.items()) + ", ('broken.nii', 'load', false, null)) t(name, errors, valid, orientation)")
+def volume_of(r) -> bytes:
+    """The file of a row of ``VOLUME_COLUMNS``: voxel i is (7 i + k) modulo s + 1, scaled by 2 i - 3 where told."""
+    import numpy as np
+
+    end, code, kind = (">" if r.swapped else "<"), (2, 4, 16, 64)[r.kind], ("u1", "i2", "f4", "f8")[r.kind]
+    size = {1: 348, 2: 540}[r.version]
+    dim = [3 + (r.nt > 1), r.nx, r.ny, 5, r.nt, 1, 1, 1]
+    fields = {"dim": dim, "datatype": [code], "pixdim": [1.0, float(r.zoom), 1, 1, 1, 1, 1, 1], "offset": [size + 4], "slope": [2 if r.scaled else 0], "inter": [-3 if r.scaled else 0], "units": [r.unit], "qform": [1], "sform": [r.sform], "srow": [1, 0, 0, 0, 0, 1, 0, 0, 0, 0, 1, 0]}
+    head = bytearray(size + 4)
+    struct.pack_into(end + "i", head, 0, size)
+    for k, v in fields.items():
+        f, at = nifti.HEADERS[size][k]
+        struct.pack_into(end + f, head, at, *v)
+    at, magic = nifti.MAGIC[size]
+    head[at : at + 3] = magic[0]
+    n = r.nx * r.ny * 5 * r.nt
+    data = bytes(head) + ((7 * np.arange(n) + r.k) % (r.s + 1)).astype(end + kind).tobytes()
+    data = data[:-1] if r.short else data
+    return gzip.compress(data, 1) if r.zipped else data
+
+
+def write_volumes(told: DataFrame, root: str) -> int:
+    """Write each row's file in the task that has the row; how many."""
+
+    def write(batches):
+        from pyarrow import fs
+
+        store, base = fs.FileSystem.from_uri(root)
+        for batch in batches:
+            for folder in sorted({f"{base}/{k % 100:02d}" for k in batch["k"]}):
+                store.create_dir(folder, recursive=True)
+            for r in batch.itertuples():
+                with store.open_output_stream(f"{base}/{r.k % 100:02d}/{r.k}.nii{'.gz' if r.zipped else ''}", compression=None) as f:
+                    f.write(volume_of(r))
+            yield batch[["k"]]
+
+    return told.mapInPandas(write, "k bigint").count()
+
+
+@query("with p as (select p_partkey as k, p_size as s from part), v as (select k, s, " + ", ".join(f"{c} as {n}" for n, c in VOLUME_COLUMNS.items()) + """ from p),
+x as (select k, unnest(range(nx * ny * 5 * nt)) as i from v), y as (select k, (case when scaled then 2 * ((7 * i + k) % (s + 1)) - 3 else (7 * i + k) % (s + 1) end)::double as value from x join v using (k)),
+t as (select k, min(value) as vmin, max(value) as vmax, round(sum(value) / count(*), 9) as vmean, count(*) filter (value <> 0) as nonzero from y group by 1),
+e as (select *, concat_ws(',', case when nt > 1 or nx not between 4 and 7 or ny not between 4 and 5 then 'shape' end, case when zoom > 1.2 then 'voxel_size' end, case when unit <> 2 then 'space_unit' end, case when vmin < 0 then 'values' end,
+  case when sform <> 1 then 'sform_code' end, case when nonzero = 0 then 'all_zero' end, case when vmean < 4 then 'mean' end) as found from v join t using (k))
+select k || case when zipped then '.nii.gz' else '.nii' end as name, case when short then 'load' else found end as errors, not short and found = '' as valid, case when not short then 'RAS' end as orientation,
+  case when not short then vmin end as vmin, case when not short then vmax end as vmax, case when not short then vmean end as vmean, case when not short then nonzero end as nonzero from e""")
 def nifti_header_scan(spark, sf_dir):
-    """Files with one fault each, written to the shared folder and read as any folder of volumes is."""
-    from cartulary.sources.nifti import read_headers
-
+    """A volume for each part, written by the tasks to the shared folder and read as any folder of volumes is."""
     root = f"{shared_dir(spark)}/volumes-{uuid.uuid4().hex}"
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    fs = path(root).getFileSystem(spark._jsc.hadoopConfiguration())
-    for name, data in [*((f"{k}.nii.gz", volume(**told)) for k, (told, _, _) in VOLUMES.items()), ("broken.nii", b"no volume")]:
-        out = fs.create(path(f"{root}/{name}"), False)
-        out.write(bytearray(data))
-        out.close()
-    out = validate_headers(read_headers(spark, root))
-    return out.select(F.element_at(F.split("path", "/"), -1).alias("name"), F.array_join("errors", ",").alias("errors"), "valid", "orientation")
+    told = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("k"), F.col("p_size").alias("s"))
+    write_volumes(told.select("k", "s", *(F.expr(c).alias(n) for n, c in VOLUME_COLUMNS.items())).repartition("k"), root)
+    rules = HeaderRules(least_shape=(4, 4, 5), most_shape=(7, 5, 5))
+    out = validate_headers(nifti.read_headers(spark, root), rules)
+    return out.select(F.element_at(F.split("path", "/"), -1).alias("name"), F.array_join("errors", ",").alias("errors"), "valid", "orientation", "vmin", "vmax", F.round("vmean", 9).alias("vmean"), "nonzero")
 
 
 def either(*cases: int) -> str:
