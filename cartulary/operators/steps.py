@@ -11,6 +11,7 @@ from cartulary.operators.paths import PathRules, parse_paths
 from cartulary.operators.registry import exporters, mappers, preprocessors, validators
 from cartulary.operators.split import Ratios, assign_splits, label_records
 from cartulary.operators.validate import HeaderRules, validate_headers
+from cartulary.sources.copying import copy_tree
 
 
 @mappers.register("segments")
@@ -35,3 +36,10 @@ def pass_through(records: DataFrame, path: str = "path") -> DataFrame:
 def split(records: DataFrame, seed: int = 42, **ratios: float) -> DataFrame:
     """Records with the split of their subject (settings: a seed and those of ``Ratios``)."""
     return label_records(records, assign_splits(records, Ratios(**ratios), seed))
+
+
+@exporters.register("file_tree")
+def file_tree(plan: DataFrame, target: str, overwrite: bool = False) -> DataFrame:
+    """Copy the files of ``plan(src, path)`` into a tree at ``target``, all or none; the plan again."""
+    copy_tree(plan, target, overwrite)
+    return plan

@@ -13,7 +13,8 @@ from cartulary.functions import scalars
 from cartulary.operators import render, reports
 from cartulary.operators.validate import HeaderRules, validate_headers
 from cartulary.plans.base import query, shared_dir, table
-from cartulary.sources import nifti
+from cartulary.sources import copying, nifti, sinks
+from cartulary.sources.stores import store_of
 
 
 @query("""select count(distinct conv_id) as n_subjects, count(distinct (conv_id, role)) as n_sessions, count(*) as n_total, count(*) filter (role = 'user') as n_user,
@@ -184,9 +185,7 @@ def write_volumes(told: DataFrame, root: str) -> int:
     """Write each row's file in the task that has the row; how many."""
 
     def write(batches):
-        from pyarrow import fs
-
-        store, base = fs.FileSystem.from_uri(root)
+        store, base = store_of(root)
         for batch in batches:
             for folder in sorted({f"{base}/{k % 100:02d}" for k in batch["k"]}):
                 store.create_dir(folder, recursive=True)
@@ -336,6 +335,35 @@ def longtable_lines(spark, sf_dir):
     return render.longtable(table(spark, sf_dir, "nation").select("n_name", "n_nationkey"), ["n_name"], "Nations", "tab:n")
 
 
+def page_files(spark, sf_dir) -> str:
+    """Each page's html as a file, written by the tasks to the shared folder."""
+    root = f"{shared_dir(spark)}/pages-{uuid.uuid4().hex}"
+
+    def write(batches):
+        store, base = store_of(root)
+        for batch in batches:
+            for folder in sorted({f"{base}/{k % 10}" for k in batch["page_id"]}):
+                store.create_dir(folder, recursive=True)
+            for r in batch.itertuples():
+                with store.open_output_stream(f"{base}/{r.page_id % 10}/page {r.page_id}.html", compression=None) as f:
+                    f.write((r.html or "").encode())
+            yield batch[["page_id"]]
+
+    table(spark, sf_dir, "pages").select("page_id", "html").mapInPandas(write, "page_id bigint").count()
+    return root
+
+
+@query("select page_id, page_id % 10 || '/page ' || page_id || '.html' as path, octet_length(encode(coalesce(html, ''))) as size, md5(coalesce(html, '')) as digest from pages where page_id % 3 > 0")
+def copied_tree(spark, sf_dir):
+    """The files of the pages that a table names, copied by the tasks into a tree of their own and read back."""
+    source, target = page_files(spark, sf_dir), f"{shared_dir(spark)}/slim-{uuid.uuid4().hex}"
+    named = table(spark, sf_dir, "pages").where("page_id % 3 > 0").select(F.create_map(F.lit("page"), F.format_string("%d/page %d.html", F.col("page_id") % 10, "page_id")).alias("files"))
+    copying.copy_tree(sinks.copy_plan(named, "files", source, target).select("src", F.substring_index("dst", f"{target}/", -1).alias("path")), target)
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(target)
+    path = F.substring_index("path", f"/{target.rpartition('/')[2]}/", -1)
+    return found.select(F.regexp_extract("path", r"page (\d+)\.html$", 1).cast("bigint").alias("page_id"), path.alias("path"), F.col("length").alias("size"), F.md5("content").alias("digest"))
+
+
 @query("select date_trunc('day', ts)::date as day, count(*) as n, max(value) as max_value, round(avg(value), 6) as mean_value from events group by 1")
 def streaming_metric_rollup(spark, sf_dir):
     """The daily metrics again, from a stream of files that is read as far as it has arrived."""

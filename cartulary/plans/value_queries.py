@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from cartulary.functions import scalars
@@ -9,7 +11,8 @@ from cartulary.operators import joins, normalize, settings
 from cartulary.operators.containment import maybe_broadcast
 from cartulary.operators.normalize import Field
 from cartulary.operators.validate import outside, validate
-from cartulary.plans.base import query, table
+from cartulary.plans.base import query, shared_dir, table
+from cartulary.sources.ledger import FlagLedger
 
 ORDER_FIELDS = [
     Field("order_id", ("O_ORDERKEY",)),
@@ -120,6 +123,20 @@ def stage_pending(spark, sf_dir):
     return settings.pending(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("dataset")), ledger(spark, sf_dir), "quality")
 
 
+@query(LEDGER_SQL + """, reset as (select dataset, flag, case when patched then 'false' else value end as value from ledger join state using (dataset) where flag <> 'toxic' or dataset % 11 > 0)
+select dataset, flag, value from reset union all select doc_id, 'isCreated', 'true' from documents""")
+def ledger_versions(spark, sf_dir):
+    """A ledger of three writers' updates: flags of two kinds, a reset of what is there, flags taken out; read back from its versions."""
+    told = ledger(spark, sf_dir)
+    store = FlagLedger(spark, f"{shared_dir(spark)}/ledger-{uuid.uuid4().hex}")
+    store.update(told.where("flag = 'quality'"))
+    store.update(told.where("flag = 'toxic'"))
+    store.update(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("dataset"), F.lit("isCreated").alias("flag"), F.lit("true").alias("value")))
+    store.update(lambda now: settings.reset_flags(now, ["quality", "toxic"]).where("patched").select("dataset", "flag", "value"))
+    store.remove(lambda now: now.where("flag = 'toxic' and dataset % 11 = 0"))
+    return store.read().select(F.col("dataset").cast("bigint").alias("dataset"), "flag", "value")
+
+
 @query("select n_nationkey, case when n_nationkey % 2 = 0 then 'N' || n_nationkey else n_name end as n_name from nation union all select 100, 'new'")
 def ledger_upsert(spark, sf_dir):
     nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")

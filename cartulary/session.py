@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -31,4 +32,7 @@ def shared_dir(spark: SparkSession) -> str:
             raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         base = f"file://{tempfile.mkdtemp(prefix='cartulary-')}"
         spark.conf.set("spark.checkpoint.dir", base)
+    if "://" not in base:  # tasks that open files by themselves need to know the store
+        p = spark._jvm.org.apache.hadoop.fs.Path(base)
+        base = re.sub("^file:/+", "file:///", p.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(p).toString())
     return f"{base.rstrip('/')}/cartulary"

@@ -15,7 +15,8 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+
+from cartulary.sources.stores import store_of
 
 #: Bytes that are read, inflated and counted at once.
 PIECE = 1 << 20
@@ -200,11 +201,7 @@ def told_of(path: str, pieces: Iterable[bytes]) -> dict:
 
 def pieces_of(uri: str) -> Iterator[bytes]:
     """A file's bytes, ``PIECE`` at a time, from any store that Arrow reads; names may hold any character, as Spark gives them."""
-    from urllib.parse import quote
-
-    from pyarrow import fs
-
-    store, path = fs.FileSystem.from_uri(quote(uri, safe=":/"))
+    store, path = store_of(uri)
     with store.open_input_stream(path, compression=None) as f:
         while data := f.read(PIECE):
             yield data
@@ -242,4 +239,4 @@ def read_headers(spark: SparkSession, path: str, whole: bool = False) -> DataFra
     found = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.{nii,nii.gz}").load(path)
     if whole:
         return parse_files(found)
-    return scan_files(found.select(F.regexp_replace("path", "^file:/+", "file:///").alias("path")))
+    return scan_files(found.select("path"))

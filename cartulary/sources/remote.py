@@ -25,6 +25,8 @@ from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualNullSafe, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition, IsNotNull, LessThan, LessThanOrEqual, StringContains, StringEndsWith, StringStartsWith
 from pyspark.sql.types import StructType
 
+from cartulary.sources.stores import store_of
+
 COLUMNS = "prefix string, name string, is_dir boolean, size bigint, modified timestamp_ntz"
 SCHEMA = pa.schema([("prefix", pa.string()), ("name", pa.string()), ("is_dir", pa.bool_()), ("size", pa.int64()), ("modified", pa.timestamp("us"))])
 
@@ -55,17 +57,12 @@ class CapturedListing(Lister):
     ``bytes`` of a file that a task reads at most (16 MiB); a line belongs to the task in whose range it begins.
     """
 
-    def _store(self):
-        from pyarrow import fs
-
-        return fs.FileSystem.from_uri(self.options["path"])
-
     def prefixes(self) -> Sequence[str]:
         from urllib.parse import unquote
 
         from pyarrow import fs
 
-        store, root = self._store()
+        store, root = store_of(self.options["path"])
         found = store.get_file_info(fs.FileSelector(root))
         self.folders = {unquote(f.base_name.removeprefix("prefix=")): f.path for f in found if f.type == fs.FileType.Directory and f.base_name.startswith("prefix=")}
         return sorted(self.folders)
@@ -73,14 +70,14 @@ class CapturedListing(Lister):
     def parts(self, prefix: str) -> Sequence[tuple]:
         from pyarrow import fs
 
-        store, _ = self._store()
+        store, _ = store_of(self.options["path"])
         step = int(self.options.get("bytes", 16 << 20))
         files = [f for f in store.get_file_info(fs.FileSelector(self.folders[prefix], recursive=True)) if f.is_file and f.size and not f.base_name.startswith(("_", "."))]
         return [(f.path, at, min(at + step, f.size)) for f in sorted(files, key=lambda f: f.path) for at in range(0, f.size, step)]
 
     def entries(self, prefix: str, part: tuple) -> Iterator[pa.RecordBatch]:
         path, at, end = part
-        store, _ = self._store()
+        store, _ = store_of(self.options["path"])
         with store.open_input_file(path) as f:
             f.seek(max(0, at - 1))
             first = f.read(1) if at else b"\n"

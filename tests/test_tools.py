@@ -121,7 +121,7 @@ def test_flags_on_the_command_line(spark, tmp_path):
 
 
 def test_named_steps(spark):
-    assert [r.names() for r in (registry.mappers, registry.validators, registry.preprocessors, registry.exporters)] == [["segments"], ["headers"], ["pass_through"], ["split"]]
+    assert [r.names() for r in (registry.mappers, registry.validators, registry.preprocessors, registry.exporters)] == [["segments"], ["headers"], ["pass_through"], ["file_tree", "split"]]
     files = spark.createDataFrame([("p1/v1/anat/t1.img",)], "path string")
     out = registry.mappers.run(files, "segments", subject="^p", session="^v", type="^anat", modality=(("t1", "^t1"),)).first()
     assert (out.subject, out.session, out.modality) == ("p1", "v1", "t1")
