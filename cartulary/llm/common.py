@@ -132,8 +132,9 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, component): the smallest node reachable over undirected ``edges(src, dst)``.
 
     Large-star and small-star steps: each replaces edges by edges to the smallest neighbour, never
-    makes more edges than there were, and deals hot nodes by ordinary partial aggregation; they are
-    repeated until nothing changes.  Loops and repeated edges are ignored; without edges the result is empty.
+    makes more edges than there were, and is repeated until nothing changes.  A node's smallest neighbour is
+    a partial aggregation; the edges of a node of very many are split where they meet it, so a hub is no
+    hot task.  Loops and repeated edges are ignored; without edges the result is empty.
     """
     pair = lambda df: df.select(F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst")).where("src <> dst").distinct()
     current, seen = materialise(pair(edges), "edges"), None
@@ -143,12 +144,12 @@ def components(edges: DataFrame) -> DataFrame:
             break
         seen = now
         both = current.union(current.select("dst", "src"))
-        least = both.groupBy("src").agg(F.min("dst").alias("m")).select("src", F.least("src", "m").alias("m"))
-        large = both.join(least, "src").where("dst > src").select(F.col("dst").alias("src"), F.col("m").alias("dst"))
-        large = large.where("src <> dst").distinct()
-        down = large.groupBy("src").agg(F.min("dst").alias("m"))
-        small = large.join(down, "src").select(F.col("dst").alias("src"), F.col("m").alias("dst")).union(down.select("src", "m"))
+        least = both.groupBy("src").agg(F.min("dst").alias("m"), F.count("*").alias("times")).select("src", F.least("src", "m").alias("m"), "times")
+        large = lookup_join(both, least, "src", "times", 2 * now[0], "inner").where("dst > src").select(F.col("dst").alias("src"), F.col("m").alias("dst"))
+        large = materialise(large.where("src <> dst").distinct(), "stars")
+        down = large.groupBy("src").agg(F.min("dst").alias("m"), F.count("*").alias("times"))
+        small = lookup_join(large, down, "src", "times", now[0], "inner").select(F.col("dst").alias("src"), F.col("m").alias("dst")).union(down.select("src", "m"))
         before, current = current, materialise(pair(small), "edges")
-        discard(before)
+        discard(before, large)
     stars = current.select(F.col("src").alias("node"), F.col("dst").alias("component"))
     return stars.union(current.select("dst", "dst").distinct())
