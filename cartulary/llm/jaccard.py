@@ -39,6 +39,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,6 +53,8 @@ BLOCK_TOKENS, BLOCK_SETS = 250_000, 65_000
 SLICE = 512
 #: The longest extension of a rare-first prefix, and the cost of verifying a candidate in prefix entries.
 MOST_MATCHES, VERIFY_COST = 8, 8.0
+#: Rows of a side of a token's join that a task has at most.
+PAIR_ROWS = 2048
 #: Bytes of texts whose tokens make up a bucket of hash range, which a task holds at once, and buckets of a partition.
 BUCKET_BYTES, BUCKETS = 4 << 20, 8
 
@@ -242,25 +245,34 @@ def shared_sets(docs: DataFrame, wanted: DataFrame, buckets: int, partitions: in
     """doc, n, ell, tokens (shared ones, rare first), prefix of the sets ``wanted(doc, d, h)``, found in ``docs(d, h, text)``, that have enough shared tokens."""
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        block, held = TaskContext.get().partitionId() << 32, 0
-        kinds = {"block": pa.int64(), "doc": pa.int64(), "tokens": pa.binary()}
+        kinds = {"doc": pa.int64(), "tokens": pa.binary()}
         for batch in batches:
             ids, column = batch.columns
             for a, z in spans(column):
                 out: dict[str, list] = {k: [] for k in kinds}
                 for doc, tokens in zip(ids[a:z].to_pylist(), token_sets(column[a:z].to_pylist()), strict=True):
-                    for c, v in zip(out.values(), (block, doc, tokens.tobytes()), strict=True):
+                    for c, v in zip(out.values(), (doc, tokens.tobytes()), strict=True):
                         c.append(v)
-                    held += len(tokens)
-                    if held >= BLOCK_TOKENS:
-                        block, held = block + 1, 0
                 yield batch_of(out, kinds)
 
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Sets that stand together as blocks, so that what a block tells a bucket is a few rows and not one a set."""
+        from pyspark import TaskContext
+
+        block, held = TaskContext.get().partitionId() << 32, 0
+        for batch in batches:
+            blocks = np.empty(batch.num_rows, np.int64)
+            for i, n in enumerate(pc.binary_length(batch.column(1)).to_pylist()):
+                blocks[i] = block
+                held += n // 8
+                if held >= BLOCK_TOKENS:
+                    block, held = block + 1, 0
+            yield pa.RecordBatch.from_arrays([pa.array(blocks), *batch.columns], ["block", "doc", "tokens"])
+
     may, _ = split_by_keys(docs.where("text is not null"), wanted, ["d", "h"])
     found = may.join(wanted.hint("shuffle_hash"), ["d", "h"]).select("doc", "text")  # once for each row that repeats id and text
-    sets = materialise(found.mapInArrow(tidy(extract), "block bigint, doc bigint, tokens binary").dropDuplicates(["doc"]), "sets")
+    once = found.mapInArrow(tidy(extract), "doc bigint, tokens binary").dropDuplicates(["doc"])
+    sets = materialise(once.mapInArrow(tidy(deal), "block bigint, doc bigint, tokens binary"), "sets")
 
     def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = {"bucket": pa.int32(), "block": pa.int64(), "tokens": pa.binary(), "times": pa.binary()}
@@ -461,6 +473,20 @@ def merged(groups: DataFrame, c: str, links: DataFrame) -> DataFrame:
     return groups.join(more, c, "left").withColumn(c, F.coalesce("_to", c)).drop("_to")
 
 
+def meet_in_blocks(x: DataFrame, y: DataFrame, on: list[str], most: int | None = None) -> DataFrame:
+    """``x.join(y, on)`` where a key of more than ``most`` (``PAIR_ROWS``) rows of a side is joined in blocks: each row goes to one part of its own side and to all parts of the other, so that no task has more than ``most`` of both."""
+    key, most = F.struct(*on), most or PAIR_ROWS
+    both = x.groupBy(key.alias("_key")).agg(F.count("*").alias("nx")).join(y.groupBy(key.alias("_key")).agg(F.count("*").alias("ny")), "_key")
+    both = materialise(both.withColumn("px", F.ceil(F.col("nx") / most)).withColumn("py", F.ceil(F.col("ny") / most)), "sizes-of-keys")
+    dealt = []
+    for side, n, mine, theirs in ((x, "nx", "px", "py"), (y, "ny", "py", "px")):
+        rows = lookup_join(side.withColumn("_key", key), both, "_key", n, side.count(), "inner")
+        part = F.pmod(F.xxhash64(*(F.col(c) for c in side.columns)), F.col(mine)).cast("bigint").alias(f"_{mine}")
+        rows = rows.select(*side.columns, part, F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(theirs) - 1)).alias(f"_{theirs}"))
+        dealt.append(rows)
+    return dealt[0].join(dealt[1], [*on, "_px", "_py"]).drop("_px", "_py")
+
+
 def group_sets(sets: DataFrame) -> DataFrame:
     """doc, c: the component of each of ``sets(doc, n, ell, tokens, prefix)``."""
     entries = materialise(sets.select(F.explode("prefix").alias("token"), "doc", "n", "ell", (F.octet_length("tokens") / 8 / F.col("n")).alias("fill")), "entries")
@@ -491,13 +517,14 @@ def group_sets(sets: DataFrame) -> DataFrame:
     rows = materialise(entries.select("token", "doc").join(now, "doc"), "entries-in-groups")
     mixed = rows.groupBy("token").agg(F.count("*").alias("times"), F.min("c").alias("c1"), F.max("c").alias("c2")).where("c1 <> c2").select("token", "times", "c1")
     mixed = materialise(mixed, "mixed-tokens")
-    rows = materialise(lookup_join(rows, mixed, "token", "times", total).where("c1 is not null"), "mixed-entries")
+    before, rows = rows, materialise(lookup_join(rows, mixed, "token", "times", total).where("c1 is not null"), "mixed-entries")
+    discard(before, entries)
     # sets of sizes that may link are of the same size class or of neighbouring ones
     size = F.floor(F.log("n") / F.log(F.lit(100 / PERCENT))).cast("int")
     side = lambda s, *more: rows.select("token", size.alias("size"), *(F.col(k).alias(f"{s}_{k}") for k in ("doc", "n", "ell", "pivot", "c", *more)))
     x, y = side("x", "c1").where("x_c <> x_c1").drop("x_c1"), side("y", "c1")
     x = x.withColumn("size", F.explode(F.array(F.col("size") - 1, F.col("size"), F.col("size") + 1)))
-    met = x.join(y, ["token", "size"]).where(
+    met = meet_in_blocks(x, y, ["token", "size"]).where(
         (F.col("x_c") != F.col("y_c"))
         & ((F.col("y_c") == F.col("y_c1")) | (F.col("x_doc") < F.col("y_doc")))
         & (100 * F.least("x_n", "y_n") >= PERCENT * F.greatest("x_n", "y_n"))
@@ -507,6 +534,7 @@ def group_sets(sets: DataFrame) -> DataFrame:
     (x, y), (src, dst) = ordered("doc"), ordered("c")
     pairs = met.groupBy(x.alias("x"), y.alias("y")).agg(F.count("*").alias("k"), F.first(F.least("x_ell", "y_ell")).alias("ell"), F.first(src).alias("src"), F.first(dst).alias("dst"))
     pairs = materialise(pairs.where("k >= ell").select("x", "y", "src", "dst"), "pairs")
+    discard(rows, mixed, within)
     if pairs.isEmpty():
         return now.select("doc", "c")
     more = materialise(verify(with_sets(pairs, sets)).where("linked").select("src", "dst").distinct(), "links-between")

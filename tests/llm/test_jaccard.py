@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from cartulary.llm import jaccard
+from cartulary.llm import common, jaccard
 from cartulary.llm.jaccard import keep_one, link_documents
 from tests.llm.conftest import prose
 
@@ -82,3 +82,45 @@ def test_rows_without_id(spark):
 def test_buckets_grow_with_the_texts(spark):
     buckets, partitions = jaccard.bucket_count(spark, 100 << 40)
     assert (100 << 40) / buckets <= jaccard.BUCKET_BYTES * 1.01 and buckets / partitions <= jaccard.BUCKETS * 1.01
+
+
+def test_hot_keys_meet_in_blocks(spark):
+    r = random.Random(3)
+    x = spark.createDataFrame([(k, 7 if r.random() < 0.5 else r.randrange(9), r.randrange(2)) for k in range(200)], "x int, token int, size int")
+    y = spark.createDataFrame([(k, 7 if r.random() < 0.5 else r.randrange(12), r.randrange(3)) for k in range(150)], "y int, token int, size int")
+    want = sorted(tuple(t) for t in x.join(y, ["token", "size"]).select("token", "size", "x", "y").collect())
+    for most in (1, 7, 10**6):
+        assert sorted(tuple(t) for t in jaccard.meet_in_blocks(x, y, ["token", "size"], most).select("token", "size", "x", "y").collect()) == want
+
+
+@pytest.mark.parametrize("blocks", [1, 3])
+def test_links_with_small_blocks(spark, monkeypatch, blocks):
+    monkeypatch.setattr(jaccard, "PAIR_ROWS", blocks)
+    monkeypatch.setattr(jaccard, "BLOCK_TOKENS", 500)
+    monkeypatch.setattr(common, "HEAVY_SHARE", 10)
+    r = random.Random(blocks)
+    hot = prose(5, 90)
+    rows = list(enumerate([edited(hot, k, r.choice([0.0, 0.02, 0.05, 0.08])) for k in range(60)] + [prose(k, 60) for k in range(20)]))
+    assert sorted(map(tuple, link_documents(spark.createDataFrame(rows, "doc_id bigint, text string")).collect())) == brute(rows)
+
+
+def test_components_of_hubs(spark, monkeypatch):
+    monkeypatch.setattr(common, "HEAVY_SHARE", 10)
+    r = random.Random(9)
+    edges = [(5, k) for k in range(6, 2000)] + [(k, 3000) for k in range(1, 5)] + [(r.randrange(2000, 4000), r.randrange(2000, 4000)) for _ in range(700)] + [(1500, 1500), (4001, 4001), (9, 5), (5, 9)]
+    edges += [(5000 + k, 5001 + k) for k in range(40)]
+    root = {}
+
+    def find(a):
+        root.setdefault(a, a)
+        while root[a] != a:
+            a = root[a]
+        return a
+
+    for a, b in edges:
+        if a != b:
+            x, y = sorted((find(a), find(b)))
+            root[y] = x
+    want = sorted((k, find(k)) for k in root)
+    got = sorted(map(tuple, common.components(spark.createDataFrame(edges, "src bigint, dst bigint")).collect()))
+    assert got == want
