@@ -177,3 +177,25 @@ def stage_actions(spark, sf_dir):
     state = table(spark, sf_dir, "nation").select("n_nationkey", (F.col("n_nationkey") % 2 == 0).alias("done"), (F.col("n_nationkey") % 3 == 0).alias("filled"))
     redone = settings.stage_actions(state, redo=True).select("n_nationkey", F.col("action").alias("redo"))
     return settings.stage_actions(state).select("n_nationkey", "action").join(redone, "n_nationkey")
+
+
+REPORT_SQL = "select user_id as dataset, ts as at, event_id as seq, case when event_type in ('purchase', 'error') then 'done' when event_type in ('view', 'click') then 'content' end as kind, event_type in ('purchase', 'view') as value from events"
+
+
+@query("""
+with s as (select user_id as dataset, coalesce(arg_max(event_type = 'purchase', (ts, event_id)) filter (event_type in ('purchase', 'error')), false) as done,
+  coalesce(arg_max(event_type = 'view', (ts, event_id)) filter (event_type in ('view', 'click')), false) as filled from events where event_type in ('purchase', 'error', 'view', 'click') group by 1)
+select dataset::varchar as dataset, done, filled, case when done and filled then 'skip' when done then 'reset' when filled then 'rerun' else 'run' end as action from s""")
+def streaming_stage_actions(spark, sf_dir):
+    """What is to be done for each user, from reports that arrive in three parts; each part is taken by a stream that starts from the checkpoint of the one before."""
+    from cartulary.streaming.incremental import run_available, write_by_batch
+    from cartulary.streaming.stages import follow_stages, newest_actions
+
+    root = f"{shared_dir(spark)}/reports-{uuid.uuid4().hex}"
+    table(spark, sf_dir, "events").createOrReplaceTempView("events_reported")
+    reports = spark.sql(REPORT_SQL.replace("from events", "from events_reported"))
+    for k in range(3):
+        reports.where((F.dayofmonth("at") - 1).between(11 * k, 11 * k + 10)).write.mode("append").parquet(f"{root}/reports")
+        stream = spark.readStream.schema(reports.schema).parquet(f"{root}/reports")
+        run_available(follow_stages(stream, redo=True), write_by_batch(f"{root}/out"), f"{root}/checkpoint", mode="update")
+    return newest_actions(spark.read.parquet(f"{root}/out"), "batch")
