@@ -13,7 +13,7 @@ from cartulary.functions import scalars
 from cartulary.operators import render, reports
 from cartulary.operators.validate import HeaderRules, validate_headers
 from cartulary.plans.base import query, shared_dir, table
-from cartulary.sources import copying, nifti, sinks
+from cartulary.sources import catalogue, copying, nifti, sinks
 from cartulary.sources.stores import store_of
 
 
@@ -378,3 +378,27 @@ def streaming_metric_rollup(spark, sf_dir):
     stream = reader.parquet(path) if folder else reader.option("pathGlobFilter", "events.parquet").parquet(sf_dir)
     run_available(window_metrics(stream, "ts", "value"), lambda b, k: b.write.mode("overwrite").parquet(f"{root}/out"), f"{root}/checkpoint", mode="complete")
     return spark.read.parquet(f"{root}/out").select(F.col("start").cast("date").alias("day"), "n", "max_value", "mean_value")
+
+
+#: Orders of a catalogue document, about, and bytes of the ranges in which it is read.
+DOCUMENT_ORDERS, DOCUMENT_RANGE = 4000, 1 << 18
+
+
+def order_documents(spark, sf_dir) -> str:
+    """Catalogue documents, each the lists of some customers' orders; names and texts hold quotes, brackets and backslashes."""
+    root = f"{shared_dir(spark)}/orders-{uuid.uuid4().hex}"
+    orders = table(spark, sf_dir, "orders")
+    documents = max(1, orders.count() // DOCUMENT_ORDERS)
+    entry = F.struct("o_orderkey", F.concat(F.lit('}], "\\'), "o_orderpriority", F.lit('\\" [{')).alias("note"), F.struct("o_orderstatus", "o_totalprice").alias("of"))
+    lists = orders.groupBy("o_custkey").agg(F.collect_list(entry).alias("es"))  # a customer's orders
+    named = lists.select(F.pmod(F.xxhash64("o_custkey"), F.lit(documents)).alias("document"), F.struct(F.concat(F.lit('c"{'), "o_custkey").alias("name"), "es").alias("member"))
+    told = named.groupBy("document").agg(F.to_json(F.map_from_entries(F.collect_list("member"))).alias("value"))
+    told.write.partitionBy("document").text(root)
+    return root
+
+
+@query("""select 'c"{' || o_custkey as dataset, o_orderkey, '}], "\\' || o_orderpriority || '\\" [{' as note, o_orderstatus, o_totalprice from orders""")
+def catalogue_in_ranges(spark, sf_dir):
+    """Entries of whole documents, each read by as many tasks as it has ranges of bytes."""
+    entry = "struct<o_orderkey:bigint,note:string,of:struct<o_orderstatus:string,o_totalprice:double>>"
+    return catalogue.read_large_catalogue(spark, f"{order_documents(spark, sf_dir)}/*", entry, DOCUMENT_RANGE).select("dataset", "o_orderkey", "note", "of.*")
