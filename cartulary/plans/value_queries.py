@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from cartulary.functions import scalars
+from cartulary.functions import scalars, variants
 from cartulary.operators import joins, normalize, settings
 from cartulary.operators.containment import maybe_broadcast
 from cartulary.operators.normalize import Field
@@ -199,3 +199,33 @@ def streaming_stage_actions(spark, sf_dir):
         stream = spark.readStream.schema(reports.schema).parquet(f"{root}/reports")
         run_available(follow_stages(stream, redo=True), write_by_batch(f"{root}/out"), f"{root}/checkpoint", mode="update")
     return newest_actions(spark.read.parquet(f"{root}/out"), "batch")
+
+
+NESTED_SQL = """
+with d as (select event_id, json_extract_string(props, '$.k')::int as k from events),
+s as (select event_id, case when event_id % 5 = 0 then '"yes"' when event_id % 5 = 1 then null when k % 2 = 0 then 'true' else 'false' end as done, case when event_id % 7 = 0 then '1' when event_id % 7 = 1 then 'null' else 'true' end as fresh, k from d),
+t as (select *, coalesce(done in ('true', 'false'), false) and fresh = 'true' as patched from s)"""
+
+
+def nested_settings(spark, sf_dir):
+    """Settings of each event as JSON text, flags inside objects: of the wrong kind, null or not there in some."""
+    i, k = F.col("event_id"), F.get_json_object("props", "$.k").cast("int")
+    done = F.when(i % 5 == 0, '"yes"').when(i % 5 != 1, F.when(k % 2 == 0, "true").otherwise("false"))
+    fresh = F.when(i % 7 == 0, "1").when(i % 7 == 1, "null").otherwise("true")
+    stage = F.concat(F.lit('{"k": '), k, F.coalesce(F.concat(F.lit(', "isDone": '), done), F.lit("")), F.lit("}"))
+    return table(spark, sf_dir, "events").select("event_id", F.concat(F.lit('{"stage": '), stage, F.lit(', "isFresh": '), fresh, F.lit("}")).alias("settings"))
+
+
+@query(NESTED_SQL + """ select event_id, patched, case when patched then '{"isFresh":false,"stage":{"isDone":false,"k":' || k || '}}'
+  else '{"stage": {"k": ' || k || coalesce(', "isDone": ' || done, '') || '}, "isFresh": ' || fresh || '}' end as settings from t""")
+def nested_flag_reset(spark, sf_dir):
+    """Flags inside JSON objects, reset where all are there and boolean."""
+    return variants.reset_nested(nested_settings(spark, sf_dir), "settings", ["stage.isDone", "isFresh"])
+
+
+@query(NESTED_SQL + """ select event_id, flag, kind, value from (
+  select event_id, 'stage.isDone' as flag, case when done is null then 'MISSING' when done = '"yes"' then 'STRING' else 'BOOLEAN' end as kind, case when done in ('true', 'false') then done = 'true' end as value from t
+  union all select event_id, 'isFresh', case fresh when '1' then 'BIGINT' when 'null' then 'VOID' else 'BOOLEAN' end, case when fresh = 'true' then true end from t)""")
+def nested_flags(spark, sf_dir):
+    """What kind of value each flag has inside the JSON objects."""
+    return variants.flags_of(nested_settings(spark, sf_dir), "event_id", "settings", ["stage.isDone", "isFresh"])
