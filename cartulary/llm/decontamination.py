@@ -10,8 +10,9 @@
    hold more than a thousandth of all rows are split.
 3. Seeds of one item that stand close together in a document make a candidate:
    a window of the document and a band of diagonals.  Windows are cut from the
-   texts of candidate documents and aligned within their band, so a document of
-   any length costs memory for its windows only.
+   texts of candidate documents and aligned within their band, which is as wide as
+   any reported alignment, so a document of any length costs memory for its
+   windows only and an item of any length is scored exactly.
 
 Words are letters and digits of the lower-cased text.  An alignment scores +2 a
 match, -1 a mismatch or gap; a pair is reported if that reaches ``least`` of the
@@ -27,6 +28,7 @@ gives no rows; other columns are not read.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -50,9 +52,9 @@ LEAST_SCORE = 0.5
 MATCHES = "d bigint, h bigint, item_id bigint, score double, matched_words bigint, item_words bigint, first_word bigint, last_word bigint"
 
 
-def slack(words: int) -> int:
-    """How far from the diagonals of its seeds an alignment of an item of ``words`` words may run: as far as any that is reported, for short items."""
-    return min(words, 64 + words // 8)
+def slack(words: int, least: float) -> int:
+    """How far from the diagonals of its seeds an alignment of an item of ``words`` words runs at most: each step aside costs one of the 2 points a word that a whole copy has, and ``least`` of those are left."""
+    return math.ceil(2 * words * (1 - least))
 
 
 def word_hashes(texts: list[str]) -> Words:
@@ -178,7 +180,7 @@ def find_windows(pairs: DataFrame) -> DataFrame:
     return told.repartition("d", "h", "q").sortWithinPartitions("d", "h", "q", "place", "run").mapInArrow(tidy(scan), "d bigint, h bigint, q bigint, n int, low bigint, high bigint")
 
 
-def cut_windows(docs: DataFrame, windows: DataFrame) -> DataFrame:
+def cut_windows(docs: DataFrame, windows: DataFrame, least: float) -> DataFrame:
     """``windows`` with first and part: their first word's place in the document and their words' hashes."""
     kinds = {"d": pa.int64(), "h": pa.int64(), "q": pa.int64(), "low": pa.int64(), "high": pa.int64(), "first": pa.int64(), "part": pa.binary()}
 
@@ -187,7 +189,7 @@ def cut_windows(docs: DataFrame, windows: DataFrame) -> DataFrame:
             for d, h, text, at in zip(*(c.to_pylist() for c in some.columns), strict=True):
                 words, out, size = word_hashes([text]).hash, [], 0
                 for w in at:
-                    low, high = w["low"] - slack(w["n"]), w["high"] + slack(w["n"])
+                    low, high = w["low"] - slack(w["n"], least), w["high"] + slack(w["n"], least)
                     first = max(0, low)
                     part = words[first : max(first, w["n"] + high)]
                     out.append((d, h, w["q"], low - first, high - first, first, part.tobytes()))
@@ -227,7 +229,7 @@ def matches(docs: DataFrame, items: DataFrame, least: float) -> DataFrame:
     pairs = lookup_join(hits, seeds, "run", "times", hits.count(), "inner").select("d", "h", "run", "place", F.inline("at"))
     windows = materialise(find_windows(pairs), "windows")
     discard(hits, seeds)
-    parts = cut_windows(told, windows)
+    parts = cut_windows(told, windows, least)
     wanted = known.join(windows.groupBy("q").agg(F.count("*").alias("times")), "q").select("q", "item_id", "n", "words", "times")
     found = score_windows(lookup_join(parts, wanted, "q", "times", windows.count(), "inner"), least)
     columns = [c.split()[0] for c in MATCHES.split(", ")][3:]

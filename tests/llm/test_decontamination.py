@@ -93,6 +93,32 @@ def test_long_text_and_scattered_copies(spark):
     assert sorted(r.text for r in drop_contaminated(df, many).collect()) == ["other", "short"]
 
 
+@pytest.mark.parametrize("seed", range(2))
+def test_long_items_with_long_insertions(spark, seed):
+    """Items of 100 to 1000 words, up to 200 words put in at one place or several: scored as by an alignment without a band."""
+    r = random.Random(seed)
+    items = [(k, prose(800 + 10 * seed + k, n)) for k, n in enumerate((100, 150, 230, 300, 400, 520, 700, 1000))]
+    docs = []
+    for k, (_, text) in enumerate(items):
+        for c, pieces in enumerate((1, 3)):
+            words = text.split()
+            for p in range(pieces):
+                at = r.randrange(len(words))
+                words[at:at] = prose(7000 + 100 * k + 10 * c + p, 200 // pieces).split()
+            docs.append((10 * k + c, " ".join([prose(100 + k + c, 50), *words, prose(300 + k, 50)])))
+    number = {}
+    coded = lambda t: np.array([number.setdefault(w, len(number)) for w in "".join(x if x.isalnum() else " " for x in t.lower()).split()])
+    want = {}
+    for d, t in docs:
+        for i, a in items:
+            score = align(coded(a), coded(t))[0]
+            if score >= len(a.split()):
+                want[d, i] = score / (2 * len(a.split()))
+    got = {(x.doc_id, x.item_id): x.score for x in find_contamination(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")).collect()}
+    assert len(want) >= 14 and set(got) == set(want)
+    assert all(abs(want[k] - s) < 1e-9 for k, s in got.items())
+
+
 def test_hot_item_is_found_everywhere(spark):
     _, df, items = corpus(spark)
     text = items.where("item_id = 5").first().text
