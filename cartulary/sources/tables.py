@@ -60,10 +60,10 @@ def read_infos(spark: SparkSession, root: str, name: str = "info.yaml") -> DataF
     return found.select(F.element_at(F.split("_metadata.file_path", "/"), -2).alias("dataset"), parsed("value").alias("info"))
 
 
-def root_sidecars(sidecars: DataFrame, modalities: tuple[str, ...] = ("t1w", "t2w", "flair")) -> DataFrame:
-    """modality, fields of the sidecars that are named for a modality."""
+def root_sidecars(sidecars: DataFrame, modalities: tuple[str, ...] = ("t1w", "t2w", "flair"), keep: tuple[str, ...] = ()) -> DataFrame:
+    """modality, fields (and the columns ``keep``) of the sidecars that are named for a modality."""
     stem = F.lower(F.regexp_extract("path", r"([^/]+)\.json$", 1))
-    return sidecars.select(stem.alias("modality"), "fields").where(F.col("modality").isin(*modalities))
+    return sidecars.select(*keep, stem.alias("modality"), "fields").where(F.col("modality").isin(*modalities))
 
 
 def read_settings(path: str, create: bool = False) -> dict[str, Any]:
@@ -83,14 +83,24 @@ def read_settings(path: str, create: bool = False) -> dict[str, Any]:
         return {}
 
 
-def read_rules(path: str) -> list[Field]:
-    """Fields of a YAML schema: a list ``fields`` of name, aliases, valid_patterns and valid_values."""
+def read_yaml(path: str) -> dict[str, Any]:
+    """A YAML mapping; {} if the file is missing, malformed or something else."""
     try:
         import yaml
     except ImportError as e:
         raise RuntimeError("reading rules takes PyYAML") from e
-    with open(path, encoding="utf-8") as f:
-        told = yaml.safe_load(f) or {}
+    try:
+        with open(path, encoding="utf-8") as f:
+            told = yaml.safe_load(f)
+    except (OSError, UnicodeDecodeError, yaml.YAMLError):
+        log.exception("%s can't be read", path)
+        return {}
+    return told if isinstance(told, dict) else {}
+
+
+def read_rules(path: str) -> list[Field]:
+    """Fields of a YAML schema: a list ``fields`` of name, aliases, valid_patterns and valid_values; none if it can't be read."""
+    told = read_yaml(path)
     out = []
     for f in told.get("fields", []):
         values = {v["main_value"]: v.get("aliases") or [] for v in f.get("valid_values") or []} or None
