@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: The words that mean yes and no.
 YES, NO = ("yes", "true", "t", "y", "1"), ("no", "false", "f", "n", "0")
 NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 
@@ -19,6 +20,7 @@ def title_case(c: Column) -> Column:
 
 
 def latex_escape(c: Column) -> Column:
+    """With a backslash before what LaTeX takes for marks (fixed values)."""
     return F.regexp_replace(c, r"([&%$#_{}])", r"\\$1")
 
 

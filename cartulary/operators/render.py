@@ -28,7 +28,7 @@ def latex_row(columns: Sequence[str]) -> Column:
 
 
 def longtable(df: DataFrame, order: Sequence[str], caption: str, label: str) -> DataFrame:
-    """(line_no, line) of a LaTeX table that may run over several pages: opening with a repeated header, a line a row, closing."""
+    """(line_no, line) of a LaTeX table that may run over several pages: opening with a repeated header, a line a row, closing.  LaTeX's keywords are fixed values."""
     spark, header = df.sparkSession, " & ".join(re.sub(r"([&%$#_{}])", r"\\\1", c) for c in df.columns) + " \\\\"
     opening = ["\\begin{longtable}{" + "l" * len(df.columns) + "}", f"\\caption{{{caption}}} \\label{{{label}}} \\\\", "\\hline", header, "\\hline", "\\endhead"]
     top = spark.createDataFrame([(i + 1, x) for i, x in enumerate(opening)], "line_no bigint, line string")

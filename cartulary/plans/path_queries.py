@@ -125,11 +125,12 @@ def listing_pushed(spark, sf_dir):
 
 
 @query("""
-with e as (select distinct o_orderkey as k from orders where o_orderstatus <> 'P'), f as (select distinct l_orderkey as k from lineitem where l_returnflag = 'R')
+with e as (select distinct case when o_orderkey % 3 = 0 then -o_orderkey else o_orderkey end as k from orders), f as (select distinct case when l_orderkey % 5 = 0 then -l_orderkey else l_orderkey end as k from lineitem)
 select coalesce(e.k, f.k) as orderkey, case when f.k is null then 'missing' else 'extra' end as status from e full join f on e.k = f.k where e.k is null or f.k is null""")
 def verify_missing_extra(spark, sf_dir):
-    expected = table(spark, sf_dir, "orders").where("o_orderstatus <> 'P'").select(F.col("o_orderkey").alias("orderkey"))
-    found = table(spark, sf_dir, "lineitem").where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("orderkey"))
+    # all rows of both; keys that one side alone has come from arithmetic
+    expected = table(spark, sf_dir, "orders").select(F.expr("if(o_orderkey % 3 = 0, -o_orderkey, o_orderkey)").alias("orderkey"))
+    found = table(spark, sf_dir, "lineitem").select(F.expr("if(l_orderkey % 5 = 0, -l_orderkey, l_orderkey)").alias("orderkey"))
     return missing_extra(expected, found, ["orderkey"])
 
 

@@ -70,7 +70,7 @@ def demographics_left_join(spark, sf_dir):
 
 
 @query("""
-with far as (select event_type, max(json_extract_string(props, '$.k')::int)::varchar as k from events where event_type <> 'error' group by 1)
+with far as (select replace(event_type, 'error', 'fault') as event_type, max(json_extract_string(props, '$.k')::int)::varchar as k from events group by 1)
 select e.event_id, case when json_extract_string(props, '$.k') <> '0' and event_id % 3 > 0 then 'k=' || json_extract_string(props, '$.k') || ',unit='
   when far.k is not null then 'k=' || far.k || ',unit=far' else '' end as fields from events e left join far using (event_type)""")
 def json_fallback_lookup(spark, sf_dir):
@@ -78,7 +78,8 @@ def json_fallback_lookup(spark, sf_dir):
 
     events = table(spark, sf_dir, "events")
     near = F.from_json("props", "map<string,string>")
-    far = events.where("event_type <> 'error'").groupBy("event_type").agg(F.max(F.get_json_object("props", "$.k").cast("int")).cast("string").alias("far_k"))
+    named = F.replace("event_type", F.lit("error"), F.lit("fault"))  # so that errors find no far one
+    far = events.groupBy(named.alias("event_type")).agg(F.max(F.get_json_object("props", "$.k").cast("int")).cast("string").alias("far_k"))
     both = events.join(maybe_broadcast(far), "event_type", "left")
     far_map = F.when(F.col("far_k").isNotNull(), F.create_map(F.lit("k"), "far_k", F.lit("unit"), F.lit("far")))
     near_map = F.when(F.col("event_id") % 3 > 0, near)
