@@ -9,7 +9,7 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartulary.functions import scalars
+from cartulary.functions import bibtex, scalars
 from cartulary.operators import render, reports
 from cartulary.operators.validate import HeaderRules, validate_headers
 from cartulary.plans.base import query, shared_dir, table
@@ -147,6 +147,26 @@ def citation_keys(spark, sf_dir):
     return table(spark, sf_dir, "nation").select("n_nationkey", render.citation_key(bib).alias("cite"))
 
 
+@query(r"""
+with d as (select doc_id as k, coalesce(source, 'none') as source, coalesce(lang, 'xx') as lang from documents)
+select k as doc_id, case when k % 17 = 0 or k % 19 = 0 then null else 'doc' || k end as key,
+  case when k % 17 = 0 or k % 19 = 0 then '' else 'Müller, J.-P., van ' || lang || ', Q. R., & The ' || source || ' and Friends (' || case when k % 5 = 0 then 'n.d.' else (2000 + k % 25)::varchar end || '). On {' || k || '} & More. Journal of ' || source
+    || ', ' || (k % 90 + 1) || case when k % 3 = 0 then '(' || k % 12 || ')' else '' end || ', ' || k || '–' || (k + 9) || '.' || case when k % 2 = 0 then ' https://doi.org/10.1/' || k else '' end end as apa,
+  case when k % 17 = 0 then 'broken' when k % 19 = 0 then '2 entries' end as problem from d""")
+def references(spark, sf_dir):
+    """An entry for each document, some malformed, some doubled, as a reference in APA style."""
+    k, source, lang = F.col("doc_id"), F.coalesce("source", F.lit("none")), F.coalesce("lang", F.lit("xx"))
+    year = F.when(k % 5 > 0, F.concat(F.lit(", year = y # "), F.lpad((k % 25).cast("string"), 2, "0")))
+    number = F.when(k % 3 == 0, F.concat(F.lit(", number="), k % 12))
+    doi = F.when(k % 2 == 0, F.concat(F.lit(", doi={https://doi.org/10.1/"), k, F.lit("}")))
+    start = F.concat(F.lit('@string{y = "20"} @article{doc'), k, F.lit(', author = "M{\\\"u}ller, Jean-Paul and Quentin Roland van '), lang, F.lit(" and {The "), source, F.lit(' and Friends}", title={On \\{'), k, F.lit("\\} {\\& {M}ore}.}, journal = {Journal of } # {"), source, F.lit("}"))
+    more = F.concat(F.lit(", volume="), k % 90 + 1, F.lit(", pages={"), k, F.lit("--"), k + 9, F.lit("}"))
+    entry = F.concat(start, *(F.coalesce(x, F.lit("")) for x in (year, number, more, doi)), F.when(k % 17 == 0, "").otherwise("}"), F.when(k % 19 == 0, " @misc{x, year=1}").otherwise(""))
+    told = table(spark, sf_dir, "documents").select(k, bibtex.reference(entry).alias("r"))
+    problem = F.when(F.col("r.error").endswith(" entries"), F.col("r.error")).when(F.col("r.error").isNotNull(), "broken")
+    return told.select("doc_id", "r.key", "r.apa", problem.alias("problem"))
+
+
 @query("""select r_regionkey, '# ' || r_name || chr(10) || chr(10) || case when r_regionkey % 2 = 0 then '## Note' || chr(10) || chr(10) || 'n' || r_regionkey || chr(10) || chr(10) else '' end || '## Use' || chr(10) || chr(10) || 'free' || chr(10) as text from region""")
 def readme_text(spark, sf_dir):
     note = F.when(F.col("r_regionkey") % 2 == 0, F.concat(F.lit("n"), "r_regionkey")).otherwise(" ")
