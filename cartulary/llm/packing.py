@@ -40,6 +40,8 @@ SENTENCE_PENALTY, FORCED_PENALTY = 12, 64
 FORCED_STEP, LONG_SENTENCE = 256, 512
 BLOCK_TOKENS = 1_000_000
 CACHE_UNITS = 800_000
+#: Units tokenised in one call, and bytes of texts encoded at once: what a worker holds besides its cache.
+LEARN_UNITS, ENCODE_BYTES = 10_000, 400_000
 SENTENCE = re.compile(r" (?<=[.!?] )|\n")
 
 PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
@@ -119,6 +121,10 @@ class Units:
         self.first = np.zeros(1 << 16, dtype=np.int64)  # unit k has pool[first[k]:first[k + 1]]
 
     def learn(self, hashes: list[int], units: list[str]) -> None:
+        for k in range(0, len(units), LEARN_UNITS):
+            self._learn(hashes[k : k + LEARN_UNITS], units[k : k + LEARN_UNITS])
+
+    def _learn(self, hashes: list[int], units: list[str]) -> None:
         ids = np.array(self.tokenizer.encode(" ".join(units), add_special_tokens=False).ids, dtype="<u4")
         stops = np.flatnonzero(self.ends[ids]) + 1
         if len(stops) != len(units):
@@ -264,7 +270,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, eos_id: int = 2, window
 
         for batch in batches:
             ids_column, text_column = batch.columns
-            for a, z in spans(text_column, 1_000_000):
+            for a, z in spans(text_column, ENCODE_BYTES):
                 texts = text_column[a:z].to_pylist()
                 for doc_id, (ids, sentences) in zip(ids_column[a:z].to_pylist(), tokens.encode(texts), strict=True):
                     block.append((doc_id, ids + end, sentences))
