@@ -10,11 +10,11 @@ import re
 from collections.abc import Sequence
 from functools import reduce
 
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import PySparkException
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from cartulary.functions.pythonregex import Untranslatable, to_java
+
 
 def glob_to_regex(glob: str) -> str:
     """A Java and Python regular expression for the whole text; ``*``, ``?``, ``[...]`` and ``[!...]`` as in shells, case kept."""
@@ -51,22 +51,17 @@ def matches_glob_first_level(c: Column, globs: Sequence[str]) -> Column:
 
 
 def from_start(regex: str) -> str:
-    return f"^(?:{regex})"
+    """A Python pattern as Java's, matched from the start of the text."""
+    return f"^(?:{to_java(regex).regex})"
 
 
 def compile_patterns(patterns: dict[str, str]) -> dict[str, str | None]:
-    """Blank patterns become None; one that isn't a regular expression raises ``ValueError`` naming its key, before any plan is built.
-
-    Patterns are checked by the Java library that runs them in the plan, or by Python's where there is no session yet.
-    """
-    session = SparkSession.getActiveSession()
+    """Python's patterns as they are; blank ones become None.  One that isn't a regular expression, or that Java can't express, raises ``ValueError`` naming its key, before any plan is built."""
     out: dict[str, str | None] = {}
     for key, p in patterns.items():
         try:
-            out[key] = None if not p or not p.strip() else p
-            if out[key]:
-                session._jvm.java.util.regex.Pattern.compile(p) if session else re.compile(p)
-        except (re.error, Py4JJavaError, PySparkException) as e:
+            out[key] = p if p and p.strip() and to_java(p) else None
+        except (re.error, Untranslatable) as e:
             raise ValueError(f"pattern of {key}: {e}") from e
     return out
 

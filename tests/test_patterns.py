@@ -58,9 +58,10 @@ def test_bad_pattern_is_named():
 
 
 def test_patterns_are_those_of_the_plan(spark):
-    """Syntax that only Python knows is refused before a task meets it; what only Java knows passes."""
+    """Syntax that only Python knows is translated for the plan; what only Java knows is refused before a task meets it."""
+    assert patterns.compile_patterns({"subject": "(?P<a>x)"}) == {"subject": "(?P<a>x)"} and patterns.from_start("(?P<a>x)") == "^(?:(x))"
     with pytest.raises(ValueError, match="subject"):
-        patterns.compile_patterns({"subject": "(?P<a>x)"})
+        patterns.compile_patterns({"subject": r"\p{L}x"})
     assert patterns.compile_patterns({"a": "[a-z&&[^b]]"}) == {"a": "[a-z&&[^b]]"}
 
 
