@@ -73,6 +73,13 @@ def assign_two_pools(subjects: DataFrame, ratios: Ratios | None = None, seed: in
     return rank_by_digest(subjects.select("subject", "pool"), ["pool"], digest_of("subject", seed), ["subject"], "_rn", "_n").select("subject", "pool", split.alias("split"))
 
 
+def records_by_subject(records: DataFrame) -> DataFrame:
+    """dataset, subject (lower case), n_records, spellings, modalities: the records of each subject, whose spellings may differ in case; no array is longer than what it lists is distinct."""
+    return records.groupBy("dataset", F.lower("subject").alias("subject")).agg(
+        F.count("*").alias("n_records"), F.array_sort(F.collect_set("subject")).alias("spellings"), F.array_sort(F.collect_set("modality")).alias("modalities")
+    )
+
+
 def modality_order(records: DataFrame) -> DataFrame:
     """dataset, modalities: those of its subjects, the one that the fewest have first."""
     held = records.select("dataset", F.lower("subject").alias("subject"), "modality").distinct()

@@ -64,3 +64,14 @@ def distribution_table(spark, sf_dir):
 @query(f"with {RECORDS_SQL}, coverage as (select dataset, modality, count(distinct lower(subject)) as n from records group by all) select dataset, string_agg(modality, ',' order by n, modality) as modalities from coverage group by 1")
 def modality_order(spark, sf_dir):
     return split.modality_order(records(spark, sf_dir)).select("dataset", F.array_join("modalities", ",").alias("modalities"))
+
+
+@query(f"""
+with {RECORDS_SQL}, cased as (select dataset, case when o_orderkey % 2 = 0 then subject else lower(subject) end as subject, modality from records)
+select dataset, lower(subject) as subject, count(*) as n_records, array_to_string(list_sort(list(distinct subject)), ',') as spellings, array_to_string(list_sort(list(distinct modality)), ',') as modalities from cased group by 1, 2""")
+def subject_records(spark, sf_dir):
+    """The records of each subject, however it is spelt."""
+    told = records(spark, sf_dir)
+    cased = told.withColumn("subject", F.when(F.col("o_orderkey") % 2 == 0, F.col("subject")).otherwise(F.lower("subject")))
+    out = split.records_by_subject(cased)
+    return out.select("dataset", "subject", "n_records", F.array_join("spellings", ",").alias("spellings"), F.array_join("modalities", ",").alias("modalities"))
