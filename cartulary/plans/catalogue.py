@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cartulary.plans import group_queries, path_queries, report_queries, split_queries, value_queries  # noqa: F401  (they register)
+from cartulary.plans import group_queries, path_queries, report_queries, source_queries, split_queries, value_queries  # noqa: F401  (they register)
 from cartulary.plans.base import QUERIES, SQL, Query
 
 

@@ -30,7 +30,7 @@ from cartulary.session import shared_dir
 from cartulary.sources import nifti
 from cartulary.sources.ledger import FlagLedger
 from cartulary.sources.listing import list_files, subdirectories
-from cartulary.sources.tables import read_sidecars, read_tsv, root_sidecars
+from cartulary.sources.tables import file_path, read_sidecars, read_tsv, root_sidecars
 
 log = logging.getLogger(__name__)
 
@@ -60,7 +60,7 @@ def chosen(names: Sequence[str], overrides: Mapping[str, Any]) -> list[str]:
 
 def read_all_settings(spark: SparkSession, root: str, names: Sequence[str], defaults: Mapping[str, Any]) -> dict[str, dict]:
     """Each dataset's settings over the defaults; a malformed file counts as empty; datasets that aren't to be included are left out."""
-    found = spark.read.text(f"{root.rstrip('/')}/*/{SETTINGS}", wholetext=True).select(F.element_at(F.split("_metadata.file_path", "/"), -2).alias("dataset"), "value")
+    found = spark.read.text(f"{root.rstrip('/')}/*/{SETTINGS}", wholetext=True).select(F.element_at(F.split(file_path(), "/"), -2).alias("dataset"), "value")
     told = {}
     for r in found.where(F.col("dataset").isin(list(names))).collect():  # one small file a dataset
         try:

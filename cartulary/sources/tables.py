@@ -6,7 +6,7 @@ import json
 import logging
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartulary.operators.normalize import Field
@@ -37,10 +37,15 @@ def read_catalogue(spark: SparkSession, path: str, entry: str = ENTRY) -> DataFr
     return parsed.select(F.explode("m").alias("dataset", "entries")).select("dataset", F.explode("entries").alias("e")).select("dataset", "e.*")
 
 
+def file_path() -> Column:
+    """The file that a row was read from, its name as it is: Spark gives it with its spaces and other marks encoded."""
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+
+
 def read_sidecars(spark: SparkSession, path: str) -> DataFrame:
     """path, fields (a map of texts) of every JSON file below ``path``; a malformed one has null fields."""
     found = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").text(path, wholetext=True)
-    return found.select(F.col("_metadata.file_path").alias("path"), F.from_json("value", "map<string,string>").alias("fields"))
+    return found.select(file_path().alias("path"), F.from_json("value", "map<string,string>").alias("fields"))
 
 
 def read_infos(spark: SparkSession, root: str, name: str = "info.yaml") -> DataFrame:
@@ -57,7 +62,7 @@ def read_infos(spark: SparkSession, root: str, name: str = "info.yaml") -> DataF
         return {str(k): "" if v is None else str(v) for k, v in told.items()} if isinstance(told, dict) else {}
 
     found = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", name).text(root, wholetext=True)
-    return found.select(F.element_at(F.split("_metadata.file_path", "/"), -2).alias("dataset"), parsed("value").alias("info"))
+    return found.select(F.element_at(F.split(file_path(), "/"), -2).alias("dataset"), parsed("value").alias("info"))
 
 
 def root_sidecars(sidecars: DataFrame, modalities: tuple[str, ...] = ("t1w", "t2w", "flair"), keep: tuple[str, ...] = ()) -> DataFrame:
