@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from cartulary.functions import scalars, variants
-from cartulary.operators import joins, normalize, settings
+from cartulary.operators import joins, normalize, parallel, settings
 from cartulary.operators.containment import maybe_broadcast
 from cartulary.operators.normalize import Field
 from cartulary.operators.validate import outside, validate
@@ -230,3 +230,13 @@ def nested_flag_reset(spark, sf_dir):
 def nested_flags(spark, sf_dir):
     """What kind of value each flag has inside the JSON objects."""
     return variants.flags_of(nested_settings(spark, sf_dir), "event_id", "settings", ["stage.isDone", "isFresh"])
+
+
+@query("select event_id, case when event_id % 9 not in (4, 5) then json_extract_string(props, '$.k')::bigint end as k, case event_id % 9 when 4 then 'JSONDecodeError' when 5 then 'KeyError' end as error from events")
+def mapped_rows(spark, sf_dir):
+    """A Python function over every event; where it fails, the row says so."""
+    import json
+
+    told = table(spark, sf_dir, "events").select("event_id", F.when(F.col("event_id") % 9 == 4, "{broken").when(F.col("event_id") % 9 == 5, "{}").otherwise(F.col("props")).alias("props"))
+    out = parallel.map_rows(told, lambda row: {"k": json.loads(row["props"])["k"]}, "k bigint")
+    return out.select("row.event_id", "result.k", F.split_part("error", F.lit(":"), F.lit(1)).alias("error"))

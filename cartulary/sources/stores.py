@@ -14,3 +14,16 @@ def store_of(uri: str):
     if "://" not in uri:
         return fs.LocalFileSystem(), uri
     return fs.FileSystem.from_uri(quote(uri, safe=":/" if uri.startswith("file:") else ":/@?&="))
+
+
+def read_text(uri: str) -> str:
+    """A small file as text; ``FileNotFoundError`` if it isn't there."""
+    store, path = store_of(uri)
+    with store.open_input_stream(path, compression=None) as f:
+        return f.read().decode("utf-8")
+
+
+def write_text(uri: str, text: str) -> None:
+    store, path = store_of(uri)
+    with store.open_output_stream(path, compression=None) as f:
+        f.write(text.encode("utf-8"))

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartulary.operators.normalize import Field
+from cartulary.sources.stores import read_text, write_text
 
 log = logging.getLogger(__name__)
 
@@ -72,18 +73,16 @@ def root_sidecars(sidecars: DataFrame, modalities: tuple[str, ...] = ("t1w", "t2
 
 
 def read_settings(path: str, create: bool = False) -> dict[str, Any]:
-    """A JSON object; {} if it is malformed; a missing file is an error unless ``create``."""
+    """A JSON object from any store that Arrow reads; {} if it is malformed; a missing file is an error unless ``create``."""
     try:
-        with open(path, encoding="utf-8") as f:
-            out = json.load(f)
+        out = json.loads(read_text(path))
         return out if isinstance(out, dict) else {}
     except FileNotFoundError:
         if not create:
             raise
-        with open(path, "w", encoding="utf-8") as f:
-            f.write("{}")
+        write_text(path, "{}")
         return {}
-    except json.JSONDecodeError:
+    except (json.JSONDecodeError, UnicodeDecodeError):
         log.exception("%s is malformed", path)
         return {}
 
@@ -95,8 +94,7 @@ def read_yaml(path: str) -> dict[str, Any]:
     except ImportError as e:
         raise RuntimeError("reading rules takes PyYAML") from e
     try:
-        with open(path, encoding="utf-8") as f:
-            told = yaml.safe_load(f)
+        told = yaml.safe_load(read_text(path))
     except (OSError, UnicodeDecodeError, yaml.YAMLError):
         log.exception("%s can't be read", path)
         return {}
