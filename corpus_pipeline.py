@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartulary.llm.common import materialise
+from cartulary.llm.common import discard, materialise
 from cartulary.llm.decontamination import drop_contaminated
 from cartulary.llm.jaccard import keep_one
 from cartulary.llm.line_dedup import dedup_lines
@@ -68,7 +68,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The packed pieces of what the stages keep of the documents."""
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
         docs = materialise(stage(spark, docs, sf_dir), f"stage-{name}")
+        if before is not None:  # what the stage before has written is read no more
+            discard(before)
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)
