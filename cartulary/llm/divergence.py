@@ -16,7 +16,7 @@ so that nothing overflows, and ``floor((p - q)^2 / (p + q))``.
 
 Terms that a source lacks all have one p, so a bucket works on the entries that there are, not on every source and term.
 The pairs of a language's sources are the result itself and grow with their square;
-each task holds the pairs of one language at most.
+a task holds those of ``TILE`` sources, a bucket being read again for every further ``TILE``.
 
 Defined results: a null text, language or source is an empty one; a text without terms counts
 as a document of its group; a group without terms, and a language without kept terms, has
@@ -39,6 +39,8 @@ from cartulary.llm.common import lookup_join, materialise, tidy
 LEAST_DOCS, SCALE, TOP_TERMS = 10, 10**9, 10
 #: Bytes of text tokenized at once; entries of a bucket.
 BLOCK_BYTES, ENTRIES = 4 << 20, 1 << 15
+#: Sources that a task compares with all of their language.
+TILE = 256
 #: Bytes looked through at once for a place where a long text can be cut.
 STEP = 1 << 16
 
@@ -228,11 +230,12 @@ FOUND = "lang string, source string, part string, item string, value bigint"
 FOUND_SCHEMA = pa.schema([("lang", pa.string()), ("source", pa.string()), ("part", pa.string()), ("item", pa.string()), ("value", pa.int64())])
 
 
-def compare_sources(entries: pa.Table, groups: pa.Table, top: int = TOP_TERMS) -> pa.Table:
-    """Divergences of a bucket: of each source to each other over the bucket's terms, and of each source's best terms to its language.
+def compare_sources(entries: pa.Table, groups: pa.Table, top: int = TOP_TERMS, tile: int = TILE) -> pa.Table:
+    """Divergences of a bucket over its terms: of each source to each other of one tile, and of the best terms of the tile's sources to their language.
 
-    ``entries``: source, term, n (in the source), in_lang (in the language), sorted by neither; ``groups``: every source of the
-    language with total (its N) and lang_total (the language's), n_kept (V).
+    ``entries``: source, term, n (in the source), in_lang (in the language), in any order; ``groups``: every source of the
+    language with total (its N) and lang_total (the language's), n_kept (V), and the number of the tile: so many sources of them in
+    byte order.
     """
     if not groups.num_rows:
         return FOUND_SCHEMA.empty_table()
@@ -242,11 +245,15 @@ def compare_sources(entries: pa.Table, groups: pa.Table, top: int = TOP_TERMS) -
     at = np.fromiter((place[s] for s in groups["source"].to_pylist()), np.int64, len(names))
     total = np.zeros(len(names), np.int64)
     total[at] = groups["total"].to_numpy()
+    first = groups["tile"][0].as_py() * tile
+    chosen_sources = np.arange(first, min(first + tile, len(names)))
     n_kept, whole = groups["n_kept"][0].as_py(), groups["lang_total"][0].as_py() + 2 * groups["n_kept"][0].as_py()
     total = total + 2 * n_kept
+    apart = np.arange(len(names))[:, None] != chosen_sources[None, :]
+    i, j = np.nonzero(apart)
+    others = [names[k] for k in chosen_sources[j]]
     if n_kept == 0:
-        i, j = np.nonzero(~np.eye(len(names), dtype=bool))
-        return found_table(lang, names, i, "pair", [names[k] for k in j], np.zeros(len(i), np.int64))
+        return found_table(lang, names, i, "pair", others, np.zeros(len(i), np.int64))
     # a CSR matrix: entries by source, terms in byte order
     terms = entries["term"].to_pylist()
     words = sorted(set(terms), key=str.encode)
@@ -268,21 +275,32 @@ def compare_sources(entries: pa.Table, groups: pa.Table, top: int = TOP_TERMS) -
             out[filled] = np.add.reduceat(values, heads)
         return out
 
-    one, both, shared = (np.zeros((len(names), len(names)), np.int64) for _ in range(3))
     starts = np.concatenate([[0], np.cumsum(size)])
     other, has = np.empty(len(words), np.int64), np.empty(len(words), np.int64)
-    for j in range(len(names)):
-        mine = slice(starts[j], starts[j + 1])
-        other[:], has[:] = absent[j], 0
+
+    def spread(source: int) -> None:
+        """``other``: the source's p of every term; ``has``: which of them it has."""
+        mine = slice(starts[source], starts[source + 1])
+        other[:], has[:] = absent[source], 0
         other[column[mine]], has[column[mine]] = p[mine], 1
-        d, h = distance(p, other[column]), has[column]
-        one[:, j], both[:, j], shared[:, j] = row_sums(d), row_sums(d * h), row_sums(h)
-    neither = len(words) - size[:, None] - size[None, :] + shared
-    value = one + one.T - both + neither * distance(absent[:, None], absent[None, :])
-    i, j = np.nonzero(~np.eye(len(names), dtype=bool))
-    pairs = found_table(lang, names, i, "pair", [names[k] for k in j], value[i, j])
 
-    above = np.flatnonzero(p > q)
+    one, both, shared, back = (np.zeros((len(names), len(chosen_sources)), np.int64) for _ in range(4))
+    for k, source in enumerate(chosen_sources.tolist()):
+        spread(source)
+        d, h = distance(p, other[column]), has[column]
+        one[:, k], both[:, k], shared[:, k] = row_sums(d), row_sums(d * h), row_sums(h)
+    # the other way: the tile's own entries against every source
+    mine = slice(starts[first], starts[min(first + tile, len(names))])
+    tile_row, tile_column, tile_p = row[mine], column[mine], p[mine]
+    tile_heads = np.flatnonzero(np.diff(tile_row, prepend=-1))
+    for source in range(len(names)) if len(tile_heads) else ():
+        spread(source)
+        back[source, tile_row[tile_heads] - first] = np.add.reduceat(distance(tile_p, other[tile_column]), tile_heads)
+    neither = len(words) - size[:, None] - size[None, chosen_sources] + shared
+    value = one + back - both + neither * distance(absent[:, None], absent[None, chosen_sources])
+    pairs = found_table(lang, names, i, "pair", others, value[i, j])
+
+    above = np.flatnonzero((p > q) & (row >= first) & (row < first + tile))
     f = distance(p[above], q[above])
     best = np.lexsort((column[above], -f, row[above]))  # by source, then value, then term
     owner = row[above][best]
@@ -297,7 +315,7 @@ def found_table(lang, names, rows, part, items, values) -> pa.Table:
     return pa.table([pa.array([lang] * n, pa.string()), pa.array([names[k] for k in rows], pa.string()), pa.array([part] * n, pa.string()), pa.array(items, pa.string()), pa.array(values, pa.int64())], schema=FOUND_SCHEMA)
 
 
-def audit_sources(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source", least_docs: int = LEAST_DOCS, top: int = TOP_TERMS, entries: int = ENTRIES) -> DataFrame:
+def audit_sources(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source", least_docs: int = LEAST_DOCS, top: int = TOP_TERMS, entries: int = ENTRIES, tile: int = TILE) -> DataFrame:
     """lang, source, part (pair or term), item, value, rank: how far each source's use of terms is from each other source's, and its most typical terms."""
     told = docs.select(text, lang, source).mapInArrow(tidy(count_terms), COUNTS)
     counts = materialise(told.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")), "terms")
@@ -307,13 +325,15 @@ def audit_sources(docs: DataFrame, text: str = "text", lang: str = "lang", sourc
     totals = kept.groupBy("lang", "source").agg(F.sum("n").alias("total"), F.count("*").alias("entries"))
     per_lang = by_term.groupBy("lang").agg(F.count("*").alias("n_kept"), F.sum("in_lang").alias("lang_total"))
     weights = totals.groupBy("lang").agg(F.sum("entries").alias("entries"))
-    langs = groups.select("lang").distinct().join(per_lang, "lang", "left").join(weights, "lang", "left").na.fill(0, ["n_kept", "lang_total", "entries"])
+    langs = groups.groupBy("lang").agg(F.ceil(F.count("*") / tile).cast("int").alias("tiles")).join(per_lang, "lang", "left").join(weights, "lang", "left").na.fill(0, ["n_kept", "lang_total", "entries"])
     langs = materialise(langs.withColumn("buckets", F.greatest(F.lit(1), F.ceil(F.col("entries") / entries)).cast("int")), "langs")
     n = kept.count()
-    dealt = lookup_join(kept, langs, "lang", "entries", n, "inner").withColumn("bucket", F.pmod(F.xxhash64("term"), F.col("buckets")).cast("int")).select("lang", "bucket", "source", "term", "n", "in_lang")
+    every = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+    dealt = lookup_join(kept, langs, "lang", "entries", n, "inner").withColumn("bucket", F.pmod(F.xxhash64("term"), F.col("buckets")).cast("int")).withColumn("tile", every("tiles")).select("lang", "bucket", "tile", "source", "term", "n", "in_lang")
     of_group = groups.join(totals.select("lang", "source", "total"), ["lang", "source"], "left").na.fill(0, ["total"])
-    of_group = of_group.join(langs.select("lang", "n_kept", "lang_total", "buckets"), "lang").withColumn("bucket", F.explode(F.sequence(F.lit(0), F.col("buckets") - 1))).drop("buckets")
-    found = dealt.groupBy("lang", "bucket").cogroup(of_group.groupBy("lang", "bucket")).applyInArrow(lambda a, b: compare_sources(a, b, top), FOUND)
+    of_group = of_group.join(langs.select("lang", "n_kept", "lang_total", "buckets", "tiles"), "lang").withColumn("bucket", every("buckets")).withColumn("tile", every("tiles")).drop("buckets", "tiles")
+    keys = ["lang", "bucket", "tile"]
+    found = dealt.groupBy(*keys).cogroup(of_group.groupBy(*keys)).applyInArrow(lambda a, b: compare_sources(a, b, top, tile), FOUND)
     summed = found.groupBy("lang", "source", "part", "item").agg(F.sum("value").alias("value"))
     rank = F.row_number().over(Window.partitionBy("lang", "source", "part").orderBy(F.col("value").desc(), "item"))
     return summed.select("*", rank.cast("int").alias("rank")).where((F.col("part") == "pair") | (F.col("rank") <= top))

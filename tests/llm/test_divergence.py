@@ -45,8 +45,8 @@ def test_against_exact_counting(spark, seed):
     rows += [("rare only once", "xx", "a"), (None, "xx", "b"), ("", "yy", "c")]
     docs = spark.createDataFrame(rows, "text string, lang string, source string").repartition(5)
     want = audit(rows)
-    for entries in (1 << 15, 7):
-        assert sorted(tuple(x) for x in d.audit_sources(docs, entries=entries).collect()) == want
+    for entries, tile in ((1 << 15, 256), (7, 256), (20, 2), (1 << 15, 4)):
+        assert sorted(tuple(x) for x in d.audit_sources(docs, entries=entries, tile=tile).collect()) == want
     assert {x[2] for x in want} == {"pair", "term"}
 
 
