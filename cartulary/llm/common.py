@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import tempfile
+import threading
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -15,6 +16,11 @@ from pyspark.sql import functions as F
 HEAVY_SHARE = 1000
 #: Rows of an Arrow batch while a table is written, at most: texts and sets may be long.
 ARROW_ROWS = 1000
+#: Bytes of one, about: rows of very long texts are fewer.
+ARROW_BYTES = 4 << 20
+ARROW_LIMITS = {"spark.sql.execution.arrow.maxRecordsPerBatch": ARROW_ROWS, "spark.sql.execution.arrow.maxBytesPerBatch": ARROW_BYTES}
+#: The limits are settings of the session, so one table is written at a time.
+WRITING = threading.RLock()
 #: Bits of the table that leaves rows out of a shuffle; it has at most FILTER_BITS / 64 rows whatever the data.
 FILTER_BITS = 1 << 24
 #: The place of rows without an id: after all others.
@@ -37,14 +43,21 @@ def work_dir(spark: SparkSession, label: str) -> str:
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: later uses don't recompute it, and a lost executor loses nothing."""
+    """Write ``df`` to the shared folder and read it back: later uses don't recompute it, and a lost executor loses nothing.
+
+    While it is written, Arrow batches have ``ARROW_ROWS`` rows and ``ARROW_BYTES`` bytes at most; threads of one session write one after the other.
+    """
     path, conf = work_dir(df.sparkSession, label), df.sparkSession.conf
-    before = conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
-    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(min(ARROW_ROWS, int(before)) if int(before) > 0 else ARROW_ROWS))
-    try:
-        df.write.parquet(path)
-    finally:
-        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    with WRITING:
+        before = {k: conf.get(k) for k in ARROW_LIMITS}
+        for k, most in ARROW_LIMITS.items():
+            held = int(before[k].rstrip("b"))
+            conf.set(k, str(min(most, held) if held > 0 else most))
+        try:
+            df.write.parquet(path)
+        finally:
+            for k, v in before.items():
+                conf.set(k, v)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.written_to = path
     return out
