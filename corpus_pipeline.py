@@ -50,8 +50,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of the documents in sequences of 4096 tokens."""
-    return pack_documents(docs, tokenizer_path())
+    """The pieces of the documents in sequences of 4096 tokens, written once, in the small batches in which tables are."""
+    return materialise(pack_documents(docs, tokenizer_path()), "packed")
 
 
 STAGES = [
