@@ -193,11 +193,14 @@ def streaming_stage_actions(spark, sf_dir):
     from cartulary.streaming.stages import follow_stages, newest_actions
 
     root = f"{shared_dir(spark)}/reports-{uuid.uuid4().hex}"
-    table(spark, sf_dir, "events").createOrReplaceTempView("events_reported")
-    reports = spark.sql(REPORT_SQL.replace("from events", "from events_reported"))
+    # a session of its own: a stream keeps as many partitions of state as it begins with, here no more than there are cores
+    own = spark.newSession()
+    own.conf.set("spark.sql.shuffle.partitions", str(max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism))))
+    table(own, sf_dir, "events").createOrReplaceTempView("events_reported")
+    reports = own.sql(REPORT_SQL.replace("from events", "from events_reported"))
     for k in range(3):
         reports.where((F.dayofmonth("at") - 1).between(11 * k, 11 * k + 10)).write.mode("append").parquet(f"{root}/reports")
-        stream = spark.readStream.schema(reports.schema).parquet(f"{root}/reports")
+        stream = own.readStream.schema(reports.schema).parquet(f"{root}/reports")
         run_available(follow_stages(stream, redo=True), write_by_batch(f"{root}/out"), f"{root}/checkpoint", mode="update")
     return newest_actions(spark.read.parquet(f"{root}/out"), "batch")
 
