@@ -87,14 +87,19 @@ def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) ->
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from run(batches)
-        pa.default_memory_pool().release_unused()
-        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
-        if trim:
-            trim(0)
+        give_back()
 
     return whole
 
 
+def give_back() -> None:
+    """Return freed memory of this process to the machine."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim:
+        trim(0)
+
+
 def fresh(columns: list[str], name: str) -> str:
     """``name``, with underscores after it until no column has it."""
     taken = {c.lower() for c in columns}

@@ -21,6 +21,7 @@ read.  A null id is kept as null.
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from collections import deque
@@ -33,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartulary.llm.common import tidy
+from cartulary.llm.common import give_back, tidy
 from cartulary.llm.wordhash import BYTE, mix, place, spans
 
 SENTENCE_PENALTY, FORCED_PENALTY = 12, 64
@@ -42,6 +43,8 @@ BLOCK_TOKENS = 1_000_000
 CACHE_UNITS = 800_000
 #: Units tokenised in one call, and bytes of texts encoded at once: what a worker holds besides its cache.
 LEARN_UNITS, ENCODE_BYTES = 10_000, 400_000
+#: After so many encoded pieces freed memory goes back to the machine.
+TRIM_EVERY = 4
 SENTENCE = re.compile(r" (?<=[.!?] )|\n")
 
 PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
@@ -107,6 +110,7 @@ class Units:
     HARD[:9] = HARD[14:32] = True
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core; more threads would each keep memory
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -261,7 +265,8 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, eos_id: int = 2, window
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        tokens, block, size = units_of(tokenizer_path), [], 0
+        give_back()
+        tokens, block, size, done = units_of(tokenizer_path), [], 0, 0
         sequence = TaskContext.get().partitionId() << 40
         schema = pa.schema([(k.split()[0], pa.int64()) for k in PIECES.split(", ")])
 
@@ -279,6 +284,10 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, eos_id: int = 2, window
                         out, sequence = pack_block(block, sequence)
                         block, size = [], 0
                         yield rows(out)
+                        give_back()
+                done += 1
+                if done % TRIM_EVERY == 0:
+                    give_back()
         if block:
             yield rows(pack_block(block, sequence)[0])
 
