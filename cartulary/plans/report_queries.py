@@ -13,7 +13,7 @@ from cartulary.functions import bibtex, scalars
 from cartulary.operators import render, reports
 from cartulary.operators.validate import HeaderRules, validate_headers
 from cartulary.plans.base import query, shared_dir, table
-from cartulary.sources import catalogue, copying, nifti, sinks
+from cartulary.sources import catalogue, copying, listing, nifti, sinks
 from cartulary.sources.stores import store_of
 
 
@@ -379,7 +379,7 @@ def copied_tree(spark, sf_dir):
     source, target = page_files(spark, sf_dir), f"{shared_dir(spark)}/slim-{uuid.uuid4().hex}"
     named = table(spark, sf_dir, "pages").where("page_id % 3 > 0").select(F.create_map(F.lit("page"), F.format_string("%d/page %d.html", F.col("page_id") % 10, "page_id")).alias("files"))
     copying.copy_tree(sinks.copy_plan(named, "files", source, target).select("src", F.substring_index("dst", f"{target}/", -1).alias("path")), target)
-    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(target)
+    found = listing.read_files(spark, target)
     path = F.substring_index("path", f"/{target.rpartition('/')[2]}/", -1)
     return found.select(F.regexp_extract("path", r"page (\d+)\.html$", 1).cast("bigint").alias("page_id"), path.alias("path"), F.col("length").alias("size"), F.md5("content").alias("digest"))
 

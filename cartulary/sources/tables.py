@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartulary.operators.normalize import Field
+from cartulary.sources.listing import read_files
 from cartulary.sources.stores import read_text, write_text
 
 log = logging.getLogger(__name__)
@@ -45,8 +46,8 @@ def file_path() -> Column:
 
 def read_sidecars(spark: SparkSession, path: str) -> DataFrame:
     """path, fields (a map of texts) of every JSON file below ``path``; a malformed one has null fields."""
-    found = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").text(path, wholetext=True)
-    return found.select(file_path().alias("path"), F.from_json("value", "map<string,string>").alias("fields"))
+    found = read_files(spark, path, "*.json")
+    return found.select(F.regexp_replace("path", "^file:/+", "file:///").alias("path"), F.from_json(F.col("content").cast("string"), "map<string,string>").alias("fields"))
 
 
 def read_infos(spark: SparkSession, root: str, name: str = "info.yaml") -> DataFrame:
@@ -62,8 +63,8 @@ def read_infos(spark: SparkSession, root: str, name: str = "info.yaml") -> DataF
             told = None
         return {str(k): "" if v is None else str(v) for k, v in told.items()} if isinstance(told, dict) else {}
 
-    found = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", name).text(root, wholetext=True)
-    return found.select(F.element_at(F.split(file_path(), "/"), -2).alias("dataset"), parsed("value").alias("info"))
+    found = read_files(spark, root, name)
+    return found.select(F.element_at(F.split("path", "/"), -2).alias("dataset"), parsed(F.col("content").cast("string")).alias("info"))
 
 
 def root_sidecars(sidecars: DataFrame, modalities: tuple[str, ...] = ("t1w", "t2w", "flair"), keep: tuple[str, ...] = ()) -> DataFrame:

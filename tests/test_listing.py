@@ -1,9 +1,11 @@
 """Folders listed by the tasks: as Spark's reader lists them, and without the list on its way through the driver."""
 
+import urllib.parse
+
 import pytest
 from pyspark.sql import functions as F
 
-from cartulary.sources import listing, nifti
+from cartulary.sources import listing, nifti, tables
 from cartulary.sources.listing import binary_files, list_files, read_files
 
 NAMES = ["a/b c/x%20y.json", "a/b c/+.json", "a/_hidden/x.json", "a/.dot/x.json", "a/_k=1/x.json", "_metadata/x.json", "a/.x.json", "a/x.json._COPYING_", "é/[1]/{2}.nii", "é/[1]/x.nii.gz", "é/[1]/x.NII", "top.json", "a/a/a/a/deep.txt", "r/r/r.json"]
@@ -51,6 +53,8 @@ def test_stores_of_spark_alone(spark, tmp_path):
     spark.sparkContext._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.only.link./in", f"file://{tmp_path}")
     root = "viewfs://only/in"
     assert sorted(r.path.rpartition("/")[2] for r in list_files(spark, root).collect()) == ["info.yaml", "x.json"]
+    assert [(urllib.parse.unquote(r.path).rpartition("/in/")[2], r.fields) for r in tables.read_sidecars(spark, root).collect()] == [("a b/x.json", {"k": "1"})]
+    assert [(r.dataset, r.info) for r in tables.read_infos(spark, root).collect()] == [("a b", {"k": "1"})]
 
 
 def sent(spark, work) -> int:
@@ -75,3 +79,4 @@ def test_the_driver_gets_no_list(spark, tmp_path):
     listed = sent(spark, lambda: out(binary_files(spark, root).select("path")))
     assert listed > n * 1000
     assert sent(spark, lambda: out(nifti.read_headers(spark, root).select(F.length("path")))) < listed / 10
+    assert sent(spark, lambda: out(tables.read_sidecars(spark, root))) < listed / 10
