@@ -181,7 +181,7 @@ def prepare(spark: SparkSession, root: str, defaults: Mapping[str, Any] | None =
     sidecars = read_sidecars(spark, root)
     inside = F.split(F.substring_index("path", f"/{root.rstrip('/').rpartition('/')[2]}/", -1), "/")
     told = sidecars.where(inside[1] == DOWNLOAD).select(inside[0].alias("dataset"), F.array_join(F.slice(inside, 3, F.size(inside)), "/").alias("path"), "fields")
-    entries = attach_scanner(entries, told)
+    entries = attach_scanner(entries, written(told, "sidecars"))
     headers = spark.createDataFrame([], "path string, errors array<string>, valid boolean")
     if rules is not None:
         entries, headers = attach_headers(entries, root, rules)

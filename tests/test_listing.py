@@ -1,10 +1,12 @@
 """Folders listed by the tasks: as Spark's reader lists them, and without the list on its way through the driver."""
 
+import json
 import urllib.parse
 
 import pytest
 from pyspark.sql import functions as F
 
+from cartulary.prepare import prepare
 from cartulary.sources import listing, nifti, tables
 from cartulary.sources.listing import binary_files, list_files, read_files
 
@@ -75,8 +77,11 @@ def test_the_driver_gets_no_list(spark, tmp_path):
     n = 1500
     for k in range(n):
         put(tmp_path / "raw", [f"D/Download/sub-{k}/anat/{'t' * 150}T1w.nii.gz", f"D/Download/sub-{k}/anat/{'t' * 150}T1w.json"], "{}")
+    regex = {"subject": "^sub-.*$", "session": "", "type": "^anat$", "modality": {"t1w": "^.*T1w.nii.gz$"}}
+    put(tmp_path / "raw", ["D/metadata.json"], json.dumps({"mapping": {"regex": regex}}))
     root, out = f"file://{tmp_path}/raw", lambda df: df.write.format("noop").mode("overwrite").save()
     listed = sent(spark, lambda: out(binary_files(spark, root).select("path")))
     assert listed > n * 1000
     assert sent(spark, lambda: out(nifti.read_headers(spark, root).select(F.length("path")))) < listed / 10
     assert sent(spark, lambda: out(tables.read_sidecars(spark, root))) < listed / 10
+    assert sent(spark, lambda: out(prepare(spark, root).entries)) < listed / 2  # of its many small stages, whatever the number of files
