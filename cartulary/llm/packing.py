@@ -27,7 +27,6 @@ import zlib
 from collections import deque
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -120,20 +119,33 @@ class Units:
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[int, int] = {}
+        self.known = np.zeros(0, dtype=np.uint64)  # ascending; arrays, since a dictionary takes ten times their memory
+        self.number = np.zeros(0, dtype=np.int32)  # the unit of each of them
         self.pool = np.zeros(1 << 16, dtype="<u4")
         self.first = np.zeros(1 << 16, dtype=np.int64)  # unit k has pool[first[k]:first[k + 1]]
 
-    def learn(self, hashes: list[int], units: list[str]) -> None:
-        for k in range(0, len(units), LEARN_UNITS):
-            self._learn(hashes[k : k + LEARN_UNITS], units[k : k + LEARN_UNITS])
+    def look_up(self, hashes: np.ndarray) -> np.ndarray:
+        """The units of hashes, -1 for those not met before."""
+        if not len(self.known):
+            return np.full(len(hashes), -1, dtype=np.int64)
+        at = np.minimum(np.searchsorted(self.known, hashes), len(self.known) - 1)
+        return np.where(self.known[at] == hashes, self.number[at], -1).astype(np.int64)
 
-    def _learn(self, hashes: list[int], units: list[str]) -> None:
+    def learn(self, hashes: np.ndarray, units: list[str]) -> None:
+        n = len(self.known)
+        for k in range(0, len(units), LEARN_UNITS):
+            self._tokenise(n + k, units[k : k + LEARN_UNITS])
+        order = np.argsort(hashes)
+        into = np.searchsorted(self.known, hashes[order])
+        self.known = np.insert(self.known, into, hashes[order])
+        self.number = np.insert(self.number, into, n + order)
+
+    def _tokenise(self, n: int, units: list[str]) -> None:
+        """Ids of the units ``n`` and following."""
         ids = np.array(self.tokenizer.encode(" ".join(units), add_special_tokens=False).ids, dtype="<u4")
         stops = np.flatnonzero(self.ends[ids]) + 1
         if len(stops) != len(units):
             raise ValueError("the tokenizer joins or splits units in another way")
-        n = len(self.known)
         used = int(self.first[n])
         while used + len(ids) > len(self.pool):
             self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
@@ -141,7 +153,6 @@ class Units:
             self.first = np.concatenate([self.first, np.zeros_like(self.first)])
         self.pool[used : used + len(ids)] = ids
         self.first[n + 1 : n + 1 + len(units)] = used + stops
-        self.known.update(zip(hashes, range(n, n + len(units)), strict=True))
 
     def whole(self, text: str) -> tuple[bytes, list[int]]:
         parts = [e.ids for e in self.tokenizer.encode_batch(SENTENCE.split(text), add_special_tokens=False)]
@@ -170,7 +181,7 @@ class Units:
             hashes, one, which = np.unique(mix(np.add.reduceat(terms, start - start[0])), return_index=True, return_inverse=True)
         else:
             hashes, one, which = np.zeros(0, np.uint64), start, start
-        found = np.fromiter(map(self.known.get, hashes.tolist(), repeat(-1)), np.int64, len(hashes))
+        found = self.look_up(hashes)
         if len(missing := np.flatnonzero(found < 0)):
             k = one[missing]
             inside = np.searchsorted(bounds, start[k], side="right") - 1
@@ -179,7 +190,7 @@ class Units:
             here, k = missing[easy], k[easy]
             if len(here):
                 n = len(self.known)
-                self.learn(hashes[here].tolist(), [joined[x:y].decode() for x, y in zip(start[k].tolist(), end[k].tolist(), strict=True)])
+                self.learn(hashes[here], [joined[x:y].decode() for x, y in zip(start[k].tolist(), end[k].tolist(), strict=True)])
                 found[here] = np.arange(n, n + len(here))
         unit = found[which]
         if hard:
@@ -190,8 +201,8 @@ class Units:
                 joined = b.tobytes()
                 for i in again.tolist():
                     seen.setdefault(int(hashes[which[i]]), joined[start[i] : end[i]].decode())
-                self.learn(list(seen), list(seen.values()))
-                unit[again] = [self.known[int(hashes[which[i]])] for i in again.tolist()]
+                self.learn(np.fromiter(seen, np.uint64, len(seen)), list(seen.values()))
+                unit[again] = self.look_up(hashes[which[again]])
             unit[unit < 0] = 0
         size = np.diff(self.first)[unit] if len(unit) else unit
         upto = np.concatenate([[0], np.cumsum(size)])

@@ -1,12 +1,14 @@
+import gc
 import itertools
 import random
+import tracemalloc
 import zlib
 from collections import defaultdict
 
 import numpy as np
 import pytest
 
-from cartulary.llm.packing import pack_documents, plan_cuts
+from cartulary.llm.packing import Units, pack_documents, plan_cuts
 from cartulary.llm.queries import tokenizer_path
 from tests.llm.conftest import prose
 
@@ -74,3 +76,24 @@ def test_little_padding_and_order(spark):
 
 def test_empty_table(no_docs):
     assert pack_documents(no_docs, tokenizer_path()).count() == 0
+
+
+def test_known_units_take_little_memory():
+    """Spark keeps several workers, and each keeps its units from task to task."""
+    units, r = Units(tokenizer_path()), random.Random(1)
+    words = ["".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=9)) for _ in range(100_000)]
+    hard = ["it's " + " ".join(words[:500])]  # its words are first met in a text that goes whole
+    texts = hard + [" ".join(words[k : k + 1000]) + "." for k in range(0, len(words), 1000)]
+    ids = [np.array(units.tokenizer.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes() for t in texts]
+    tracemalloc.start()
+    try:
+        got = [out for k in range(0, len(texts), 20) for out, _ in units.encode(texts[k : k + 20])]
+        again = [out for out, _ in units.encode(texts[::-1])][::-1]
+        same = got == ids, again == ids
+        del got, again
+        gc.collect()
+        held = tracemalloc.get_traced_memory()[0]
+    finally:
+        tracemalloc.stop()
+    assert same == (True, True)
+    assert len(units.known) >= len(set(words)) and held < 100 * len(units.known)
